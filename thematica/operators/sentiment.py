@@ -1,0 +1,311 @@
+"""Sentence and cluster sentiment (SEN1-SEN14).
+
+SEN1 is a rule-based valence scorer (Hutto & Gilbert 2014) written as one
+DataFrame job:
+
+1. On the sentence row, array functions build for every token its cleaned
+   form, its caps flag and the three preceding lower-cased tokens; the
+   first "but" and the punctuation counts are read off the same row.
+2. The tokens are exploded and joined to the lexicon.  The lexicon is
+   broadcast only after its row count has been checked; beyond the bound it
+   is joined by shuffle.
+3. Every look-back rule is already on the token row, so each token's final
+   valence is a projection and the sentence roll-up is a plain sum.  The
+   partial aggregate collapses a sentence's tokens where they were
+   exploded, so the shuffle carries one row per sentence.
+
+Cluster statistics use exact aggregates.  The median is taken from a
+histogram of the (4-decimal) compound values, a table of at most 20,001
+rows per cluster, so a cluster holding a third of all rows never lands in
+one task.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .. import constants as C
+from ..functions.text import PUNCT, WS, count_char, is_all_caps, strip_punct_token, unicode_strip
+from ..schemas import LEXICON
+from ..session import shuffle_partitions
+
+LEXICON_BROADCAST_MAX_ROWS = 2_000_000
+
+_WS_CHARS = WS[1:-1]
+# A whitespace-separated token with an upper-case letter and no lower-case one.
+CAPS_TOKEN = (rf"(?<=^|{WS})[^\p{{Ll}}{_WS_CHARS}]*\p{{Lu}}[^\p{{Ll}}{_WS_CHARS}]*(?={WS}|$)")
+# A token that reads "but" once its surrounding punctuation is stripped.
+BUT_TOKEN = rf"(?<=^|{WS}){PUNCT}*[bB][uU][tT]{PUNCT}*(?={WS}|$)"
+
+
+def classify(c, mode: str = "standard") -> Column:
+    """SEN3: positive at >= +t, negative at <= -t (bounds inclusive)."""
+    t = C.THRESHOLDS.get(mode, C.THRESHOLDS["standard"])
+    x = F.col(c) if isinstance(c, str) else c
+    return (F.when(x >= t, F.lit("positive")).when(x <= -t, F.lit("negative"))
+            .otherwise(F.lit("neutral")))
+
+
+def lexicon_df(spark: SparkSession, entries=C.STARTER_LEXICON) -> DataFrame:
+    return spark.createDataFrame([(t, float(v)) for t, v in entries], LEXICON)
+
+
+def _lexicon_side(lexicon: DataFrame, max_rows: int) -> DataFrame:
+    lex = (lexicon.select(F.lower("token").alias("_lw"), F.col("valence").cast("double"))
+           .groupBy("_lw").agg(F.avg("valence").alias("_valence")))
+    # Broadcast only a lexicon whose size has been checked.
+    return F.broadcast(lex) if lex.count() <= max_rows else lex
+
+
+def _negated(w: Column) -> Column:
+    return F.coalesce(w.isin(*C.NEGATION_WORDS) | w.contains("n't"), F.lit(False))
+
+
+def _boost(w: Column) -> Column:
+    return (F.when(w.isin(*C.BOOSTER_INCREMENT_WORDS), F.lit(C.BOOST_STEP))
+            .when(w.isin(*C.BOOSTER_DECREMENT_WORDS), F.lit(-C.BOOST_STEP))
+            .otherwise(F.lit(0.0)))
+
+
+def _sign(v: Column) -> Column:
+    return F.when(v < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+
+
+def score_sentences(sentences: DataFrame, lexicon: DataFrame, text_col: str = "sentence",
+                    key=("request_id", "dataset", "pos"), mode: str = "standard",
+                    broadcast_max_rows: int = LEXICON_BROADCAST_MAX_ROWS) -> DataFrame:
+    """SEN1, SEN2, SEN3, SEN4: add ``neg_score, neu_score, pos_score, compound, label``.
+
+    ``key`` must identify a sentence; all other input columns are carried.
+    """
+    key = list(key)
+    carry = [c for c in sentences.columns if c not in key]
+    text = unicode_strip(text_col)
+    # Hash-partition sentences by their key: the roll-up below is then
+    # already clustered (no second exchange), and tokenising spreads over
+    # all tasks even when the input arrives in a few large splits.
+    s = sentences.repartition(shuffle_partitions(sentences), *key).select(
+        *key, *carry,
+        F.when(text == "", F.array().cast("array<string>"))
+        .otherwise(F.split(text, f"{WS}+")).alias("_toks"),
+        F.least(count_char(text_col, "!"), F.lit(C.EXCLAIM_MAX)).alias("_excl"),
+        count_char(text_col, "?").alias("_qm"),
+        F.regexp_count(text, F.lit(CAPS_TOKEN)).alias("_ncaps"),
+        F.regexp_instr(text, F.lit(BUT_TOKEN)).alias("_but_at"),
+        text.alias("_text"))
+    # Token index of the first "but": whitespace runs before its first char.
+    but = (F.when(F.col("_but_at") == 0, F.lit(-1)).when(F.col("_but_at") == 1, F.lit(0))
+           .otherwise(F.regexp_count(F.substring("_text", 1, F.col("_but_at") - 1),
+                                     F.lit(f"{WS}+"))))
+    toks, n = F.col("_toks"), F.size("_toks")
+
+    def shifted(k):  # token k places before, NULL at the start; same length
+        return F.slice(F.concat(F.array_repeat(F.lit(None).cast("string"), k), toks), 1, n)
+
+    # Each token row carries its three predecessors, so every look-back rule
+    # is a projection after the explode (all built-in, codegen'd functions).
+    s = s.select(
+        *key, *carry, "_excl", "_qm",
+        ((F.col("_ncaps") > 0) & (F.col("_ncaps") < n)).alias("_capdiff"),
+        but.alias("_but"),
+        F.arrays_zip(toks.alias("raw"), shifted(1).alias("r1"), shifted(2).alias("r2"),
+                     shifted(3).alias("r3")).alias("_z"))
+    t = s.select(*key, *carry, "_excl", "_qm", "_capdiff", "_but",
+                 F.posexplode_outer("_z").alias("_i", "_t"))
+
+    def clean(c):
+        return F.lower(strip_punct_token(c))
+
+    t = t.select(*key, *carry, "_excl", "_qm", "_capdiff", "_but",
+                 F.struct(F.col("_i").alias("i"), clean("_t.raw").alias("lw"),
+                          is_all_caps("_t.raw").alias("caps"), clean("_t.r1").alias("p1"),
+                          clean("_t.r2").alias("p2"), clean("_t.r3").alias("p3")).alias("t"))
+    lex = _lexicon_side(lexicon, broadcast_max_rows)
+    t = t.join(lex, F.col("t.lw") == F.col("_lw"), "left")
+
+    # One column per rule step keeps each expression small (no re-nesting of
+    # the previous step), so the stage stays inside whole-stage codegen.
+    base = [*key, *carry, "_excl", "_qm", "_capdiff", "_but", "t", "_valence"]
+    v = F.coalesce(F.col("_valence"), F.lit(0.0))
+    t = t.select(*base, (v + F.when(F.col("t.caps") & F.col("_capdiff"),
+                                    _sign(v) * C.CAPS_STEP).otherwise(0.0)).alias("_v0"))
+    for dist, prev in ((1, "t.p1"), (2, "t.p2"), (3, "t.p3")):
+        p, cur = F.col(prev), F.col(f"_v{dist - 1}")
+        boosted = cur + _sign(cur) * _boost(p) * C.BOOST_DISTANCE_FACTORS[dist - 1]
+        t = t.select(*base, boosted.alias("_b"))
+        t = t.select(*base, F.when(_negated(p), F.col("_b") * C.NEGATION_SCALAR)
+                     .otherwise(F.col("_b")).alias(f"_v{dist}"))
+    i, v3 = F.col("t.i"), F.col("_v3")
+    v = (F.when((F.col("_but") >= 0) & (i < F.col("_but")), v3 * C.BUT_BEFORE)
+         .when((F.col("_but") >= 0) & (i > F.col("_but")), v3 * C.BUT_AFTER).otherwise(v3))
+    has_val = F.col("_valence").isNotNull() & (F.col("_valence") != 0)
+    val = F.when(has_val, v).otherwise(F.lit(0.0))
+    t = t.select(*key, *carry, "_excl", "_qm", val.alias("_v"),
+                 F.col("t.i").isNotNull().alias("_is_tok"))
+
+    # Carried columns depend on the key, so they join the grouping key: the
+    # roll-up stays a hash aggregate and collapses map-side.
+    agg = t.groupBy(*key, *carry, "_excl", "_qm").agg(
+        F.sum("_v").alias("_sum"),
+        F.sum(F.when(F.col("_v") > 0, F.col("_v") + 1).otherwise(0.0)).alias("_pos"),
+        F.sum(F.when(F.col("_v") < 0, F.col("_v") - 1).otherwise(0.0)).alias("_neg"),
+        F.sum(F.when(F.col("_is_tok") & (F.col("_v") == 0), 1).otherwise(0)).alias("_neu"),
+        F.sum(F.col("_is_tok").cast("int")).alias("_n"))
+
+    q = F.col("_qm")
+    punct = (F.col("_excl") * C.EXCLAIM_STEP
+             + F.when(q > 1, F.when(q <= 3, q * C.QUESTION_STEP)
+                      .otherwise(C.QUESTION_MAX_AMPLIFIER)).otherwise(0.0))
+    ssum = F.col("_sum")
+    s2 = F.when(ssum > 0, ssum + punct).when(ssum < 0, ssum - punct).otherwise(ssum)
+    comp = s2 / F.sqrt(s2 * s2 + C.NORMALIZE_ALPHA)
+    comp = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), comp))
+    pos_s = F.when(F.col("_pos") > F.abs("_neg"), F.col("_pos") + punct).otherwise(F.col("_pos"))
+    neg_s = F.when(F.col("_pos") < F.abs("_neg"), F.col("_neg") - punct).otherwise(F.col("_neg"))
+    total = pos_s + F.abs(neg_s) + F.col("_neu")
+    empty = F.col("_n") == 0
+    out = agg.select(
+        *key, *carry,
+        F.when(empty, 0.0).otherwise(F.round(F.abs(neg_s / total), 3)).alias("neg_score"),
+        F.when(empty, 1.0).otherwise(F.round(F.abs(F.col("_neu") / total), 3)).alias("neu_score"),
+        F.when(empty, 0.0).otherwise(F.round(F.abs(pos_s / total), 3)).alias("pos_score"),
+        F.when(empty, 0.0).otherwise(F.round(comp, 4)).alias("compound"))
+    return out.withColumn("label", classify("compound", mode))
+
+
+def sentence_details(scores: DataFrame) -> DataFrame:
+    """SEN10 + SEN13: per-sentence detail row (text cut to 100 chars)."""
+    return scores.select(
+        "request_id", "dataset", "pos", "id",
+        F.substring("sentence", 1, 100).alias("text"),
+        F.col("label").alias("sentiment"),
+        F.round("compound", 3).alias("compound"),
+        F.round("pos_score", 2).alias("pos"),
+        F.round("neu_score", 2).alias("neu"),
+        F.round("neg_score", 2).alias("neg"),
+        F.greatest("pos_score", "neg_score", "neu_score").alias("confidence"))
+
+
+def exact_median(df: DataFrame, group: list[str], value: str, weight: str | None = None,
+                 out: str = "median") -> DataFrame:
+    """Exact (weighted) median per group from a value histogram.
+
+    ``value`` must take few distinct values per group (rounded scores), so the
+    histogram, not the group, is what a task holds.  Even totals give the mean
+    of the two middle values, as ``statistics.median`` does.
+    """
+    w = F.col(weight) if weight else F.lit(1)
+    hist = df.groupBy(*group, value).agg(F.sum(w).cast("long").alias("_c")).where("_c > 0")
+    win = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    hist = hist.withColumn("_cum", F.sum("_c").over(win)).withColumn(
+        "_n", F.sum("_c").over(Window.partitionBy(*group)))
+    k1 = F.floor((F.col("_n") + 1) / 2)
+    k2 = F.floor(F.col("_n") / 2) + 1
+    return hist.groupBy(*group).agg(
+        ((F.min(F.when(F.col("_cum") >= k1, F.col(value)))
+          + F.min(F.when(F.col("_cum") >= k2, F.col(value)))) / 2).alias(out))
+
+
+def cluster_sentiment(scored: DataFrame, group=("request_id", "dataset", "cluster_id"),
+                      mode: str = "standard") -> DataFrame:
+    """SEN5-SEN9: distribution, percentages, overall (median), statistics.
+
+    ``scored`` holds one row per sentence with the grouping columns and
+    ``compound`` (4 decimals).  One pass builds the histogram of compound
+    values per group (map-side combined, at most 20,001 rows a group); every
+    statistic, the exact median included, is read off that histogram.
+    """
+    group = list(group)
+    t = C.THRESHOLDS.get(mode, C.THRESHOLDS["standard"])
+    hist = scored.groupBy(*group, "compound").agg(F.count(F.lit(1)).alias("_c"))
+    win = Window.partitionBy(*group).orderBy("compound").rowsBetween(Window.unboundedPreceding, 0)
+    hist = hist.withColumn("_cum", F.sum("_c").over(win)).withColumn(
+        "_n", F.sum("_c").over(Window.partitionBy(*group)))
+    v, c = F.col("compound"), F.col("_c")
+    k1 = F.floor((F.col("_n") + 1) / 2)
+    k2 = F.floor(F.col("_n") / 2) + 1
+    agg = hist.groupBy(*group).agg(
+        F.sum(c).alias("total_sentences"),
+        F.sum(F.when(v >= t, c).otherwise(0)).alias("positive"),
+        F.sum(F.when((v < t) & (v > -t), c).otherwise(0)).alias("neutral"),
+        F.sum(F.when(v <= -t, c).otherwise(0)).alias("negative"),
+        F.sum(v * c).alias("_s1"),
+        F.sum(v * v * c).alias("_s2"),
+        F.min(v).alias("_min"),
+        F.max(v).alias("_max"),
+        ((F.min(F.when(F.col("_cum") >= k1, v)) + F.min(F.when(F.col("_cum") >= k2, v))) / 2)
+        .alias("_median"))
+    n = F.col("total_sentences")
+    var = (F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / (n - 1)
+    return agg.select(
+        *group, "total_sentences", "positive", "neutral", "negative",
+        F.round(F.col("positive") * 100.0 / n, 1).alias("pct_positive"),
+        F.round(F.col("neutral") * 100.0 / n, 1).alias("pct_neutral"),
+        F.round(F.col("negative") * 100.0 / n, 1).alias("pct_negative"),
+        classify(F.round("_median", 9), mode).alias("overall"),
+        F.round(F.col("_s1") / n, 3).alias("average_score"),
+        F.round("_median", 3).alias("median"),
+        F.when(n > 1, F.round(F.sqrt(F.greatest(var, F.lit(0.0))), 3)).otherwise(F.lit(0.0))
+        .alias("std"),
+        F.round("_min", 3).alias("min"),
+        F.round("_max", 3).alias("max"))
+
+
+def empty_cluster_sentiment(clusters: DataFrame, sentiment: DataFrame,
+                            group=("request_id", "dataset", "cluster_id")) -> DataFrame:
+    """SEN11: a cluster with no sentences reports neutral, 100% neutral, zeros."""
+    group = list(group)
+    j = clusters.select(*group).join(sentiment, group, "left")
+    z = F.lit(0.0)
+    return j.select(
+        *group,
+        F.coalesce("total_sentences", F.lit(0).cast("long")).alias("total_sentences"),
+        F.coalesce("positive", F.lit(0)).alias("positive"),
+        F.coalesce("neutral", F.lit(0)).alias("neutral"),
+        F.coalesce("negative", F.lit(0)).alias("negative"),
+        F.coalesce("pct_positive", z).alias("pct_positive"),
+        F.coalesce("pct_neutral", F.lit(100.0)).alias("pct_neutral"),
+        F.coalesce("pct_negative", z).alias("pct_negative"),
+        F.coalesce("overall", F.lit("neutral")).alias("overall"),
+        F.coalesce("average_score", z).alias("average_score"),
+        F.coalesce("median", z).alias("median"),
+        F.coalesce("std", z).alias("std"),
+        F.coalesce("min", z).alias("min"),
+        F.coalesce("max", z).alias("max"))
+
+
+def overall_sentiment(cluster_sent: DataFrame, group=("request_id",),
+                      size_col: str = "total_sentences") -> DataFrame:
+    """SEN12: median of each cluster's rounded average, weighted by size.
+
+    Requests with no cluster, or only empty ones, are neutral (the caller
+    left-joins from its request list and fills ``neutral``).
+    """
+    group = list(group)
+    med = exact_median(cluster_sent, group, "average_score", weight=size_col, out="_wmedian")
+    return med.select(*group, F.round("_wmedian", 6).alias("weighted_median"),
+                      classify(F.round("_wmedian", 9)).alias("overall_sentiment"))
+
+
+def aspect_sentiment(scored: DataFrame, aspects: DataFrame,
+                     group=("request_id", "dataset")) -> DataFrame:
+    """SEN14: sentiment per aspect term table ``(aspect, term)``.
+
+    A sentence counts toward an aspect when one of its lower-case words is an
+    aspect term; the term table is broadcast after a size check.
+    """
+    from ..functions.text import word_tokens
+    group = list(group)
+    terms = aspects.select("aspect", F.lower("term").alias("_term")).distinct()
+    terms = F.broadcast(terms) if terms.count() <= LEXICON_BROADCAST_MAX_ROWS else terms
+    words = scored.select(*group, "pos", "compound", "label",
+                          F.explode(F.array_distinct(word_tokens("sentence", 2))).alias("_term"))
+    hits = words.join(terms, "_term").select(*group, "aspect", "pos", "compound", "label") \
+        .dropDuplicates([*group, "aspect", "pos"])
+    return hits.groupBy(*group, "aspect").agg(
+        F.count(F.lit(1)).alias("mentions"),
+        F.round(F.avg("compound"), 3).alias("average_score"),
+        F.sum((F.col("label") == "positive").cast("int")).alias("positive"),
+        F.sum((F.col("label") == "neutral").cast("int")).alias("neutral"),
+        F.sum((F.col("label") == "negative").cast("int")).alias("negative"))

@@ -1,0 +1,83 @@
+"""Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
+
+Every query reads the given tables whole and runs the library's operators
+on them; column names match the oracle SQL in :mod:`thematica.plans.oracle`.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import sentiment as S
+from ..operators.validation import Limits, keep_first, violations
+from .inputs import doc_aspects, doc_lexicon, doc_lines, doc_sentences
+
+SCORE_COLS = ["request_id", "dataset", "pos", "id", "neg_score", "neu_score", "pos_score",
+              "compound", "label"]
+THEME_KEY = ["request_id", "dataset", "theme"]
+
+
+def scored_doc_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.score_sentences(doc_sentences(spark, sf_dir), doc_lexicon(spark))
+
+
+# -- sources and validation -------------------------------------------------
+
+def q_sentences_documents(spark, sf_dir):
+    """SRC4: every document line as a sentence row."""
+    return doc_lines(spark, sf_dir)
+
+
+def q_validation_violations(spark, sf_dir):
+    """VAL1-VAL9: all violations of the service limits, one row each."""
+    return violations(doc_lines(spark, sf_dir), limits=Limits())
+
+
+def q_keep_first_by_text(spark, sf_dir):
+    """VAL11: content-addressed ids (md5 of the sentence), first copy kept."""
+    s = doc_sentences(spark, sf_dir).withColumn("id", F.md5("sentence"))
+    return keep_first(s).select("request_id", "dataset", "id", "pos")
+
+
+# -- sentiment ---------------------------------------------------------------
+
+def q_sentence_scores(spark, sf_dir):
+    """SEN1-SEN4: rule-based scores and labels of every valid sentence."""
+    return scored_doc_sentences(spark, sf_dir).select(*SCORE_COLS)
+
+
+def q_sentence_details(spark, sf_dir):
+    """SEN10, SEN13: per-sentence detail rows."""
+    return S.sentence_details(scored_doc_sentences(spark, sf_dir))
+
+
+def theme_sentiment(spark, sf_dir):
+    return S.cluster_sentiment(scored_doc_sentences(spark, sf_dir), group=THEME_KEY)
+
+
+def q_theme_sentiment(spark, sf_dir):
+    """SEN5-SEN9: sentiment per (survey, dataset, given theme)."""
+    return theme_sentiment(spark, sf_dir)
+
+
+def q_request_sentiment(spark, sf_dir):
+    """SEN12: overall sentiment per survey from size-weighted theme averages."""
+    return S.overall_sentiment(theme_sentiment(spark, sf_dir), group=["request_id"])
+
+
+def q_aspect_sentiment(spark, sf_dir):
+    """SEN14: sentiment per aspect from an aspect-term table."""
+    return S.aspect_sentiment(scored_doc_sentences(spark, sf_dir), doc_aspects(spark))
+
+
+QUERIES = {
+    "sentences_documents": q_sentences_documents,
+    "validation_violations": q_validation_violations,
+    "keep_first_by_text": q_keep_first_by_text,
+    "sentence_scores": q_sentence_scores,
+    "sentence_details": q_sentence_details,
+    "theme_sentiment": q_theme_sentiment,
+    "request_sentiment": q_request_sentiment,
+    "aspect_sentiment": q_aspect_sentiment,
+}

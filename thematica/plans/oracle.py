@@ -1,0 +1,333 @@
+"""DuckDB twins of the registered queries (the correctness oracle).
+
+Each entry is plain SQL over the pre-registered views (``documents``,
+``embeddings``, ``events`` ...).  The SQL is written independently of the
+Spark plans: windows and lists where Spark uses partial aggregates, but the
+same rules, constants and rounding.
+"""
+
+from __future__ import annotations
+
+from .. import constants as C
+from ..functions.text import NON_WORD, PUNCT, WS
+from ..sources.tables import LINE_STRIDE
+from .inputs import DOC_ASPECTS, DOC_LEXICON
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _in_list(words) -> str:
+    return "(" + ", ".join(_q(w) for w in words) + ")"
+
+
+def _values(rows, cols) -> str:
+    body = ", ".join("(" + ", ".join(_q(v) if isinstance(v, str) else f"CAST({v!r} AS DOUBLE)"
+                                     for v in r) + ")" for r in rows)
+    return f"(VALUES {body}) AS v({', '.join(cols)})"
+
+
+def strip(x: str) -> str:
+    return "regexp_replace(" + x + f", '^{WS}+|{WS}+$', '', 'g')"
+
+
+DOC_LINES = f"""
+SELECT d.source AS request_id,
+       CASE WHEN d.doc_id % 2 = 0 THEN 'baseline' ELSE 'comparison' END AS dataset,
+       CAST(d.doc_id * {LINE_STRIDE} + (u.i - 1) AS BIGINT) AS pos,
+       CAST(d.doc_id AS VARCHAR) || '-' || CAST(u.i - 1 AS VARCHAR) AS id,
+       u.line AS sentence,
+       d.lang AS theme
+FROM documents d, unnest(string_split(d.text, chr(10))) WITH ORDINALITY AS u(line, i)
+"""
+
+DOC_VALID = f"""
+SELECT request_id, dataset, pos, id, {strip('sentence')} AS sentence, theme
+FROM ({DOC_LINES}) l
+WHERE {strip('sentence')} <> ''
+"""
+
+
+def dround(x: str, n: int) -> str:
+    """Half-up rounding of the decimal value (Spark's ``round`` on doubles)."""
+    return f"CAST(round(CAST({x} AS DECIMAL(38, 10)), {n}) AS DOUBLE)"
+
+
+def _sign(v: str) -> str:
+    return f"(CASE WHEN {v} < 0 THEN -1.0 ELSE 1.0 END)"
+
+
+def _boost(p: str) -> str:
+    return (f"(CASE WHEN {p} IN {_in_list(C.BOOSTER_INCREMENT_WORDS)} THEN {C.BOOST_STEP}::DOUBLE "
+            f"WHEN {p} IN {_in_list(C.BOOSTER_DECREMENT_WORDS)} THEN {-C.BOOST_STEP}::DOUBLE "
+            f"ELSE 0.0::DOUBLE END)")
+
+
+def _negated(p: str) -> str:
+    return f"coalesce({p} IN {_in_list(C.NEGATION_WORDS)} OR contains({p}, 'n''t'), false)"
+
+
+def _classify(x: str, t: float = C.THRESHOLDS["standard"]) -> str:
+    return (f"(CASE WHEN {x} >= {t} THEN 'positive' WHEN {x} <= {-t} THEN 'negative' "
+            f"ELSE 'neutral' END)")
+
+
+CAPS_RE = r"'^[^\p{Ll}]*\p{Lu}[^\p{Ll}]*$'"
+
+
+def scores_sql(sentences_sql: str, lexicon=DOC_LEXICON) -> str:
+    """Rule-based sentence scores; one row per sentence of ``sentences_sql``."""
+    punct_strip = f"regexp_replace(raw, '^{PUNCT}+|{PUNCT}+$', '', 'g')"
+    f1, f2, f3 = C.BOOST_DISTANCE_FACTORS
+    return f"""
+WITH sent AS ({sentences_sql}),
+lex AS (SELECT lower(token) AS lw, avg(valence) AS valence
+        FROM {_values(lexicon, ['token', 'valence'])} GROUP BY 1),
+tk AS (
+  SELECT s.request_id, s.dataset, s.pos, u.raw, u.i - 1 AS i
+  FROM sent s, unnest(list_filter(string_split_regex({strip('s.sentence')}, '{WS}+'),
+                                  lambda x: x <> '')) WITH ORDINALITY AS u(raw, i)),
+tw AS (
+  SELECT *, CASE WHEN length({punct_strip}) <= 2 THEN raw ELSE {punct_strip} END AS w FROM tk),
+tf AS (
+  SELECT request_id, dataset, pos, i, w, lower(w) AS lw,
+         regexp_matches(w, {CAPS_RE}) AS caps,
+         lag(lower(w), 1) OVER win AS p1, lag(lower(w), 2) OVER win AS p2,
+         lag(lower(w), 3) OVER win AS p3,
+         count(*) OVER ws AS ntok,
+         sum(CASE WHEN regexp_matches(w, {CAPS_RE}) THEN 1 ELSE 0 END) OVER ws AS ncaps,
+         min(CASE WHEN lower(w) = 'but' THEN i END) OVER ws AS but_i
+  FROM tw
+  WINDOW win AS (PARTITION BY request_id, dataset, pos ORDER BY i),
+         ws AS (PARTITION BY request_id, dataset, pos)),
+t0 AS (
+  SELECT tf.*, lex.valence AS lv, coalesce(lex.valence, 0.0) AS v,
+         (ncaps > 0 AND ncaps < ntok) AS capdiff
+  FROM tf LEFT JOIN lex ON tf.lw = lex.lw),
+t1 AS (SELECT *, v + CASE WHEN caps AND capdiff THEN {_sign('v')} * {C.CAPS_STEP}::DOUBLE
+                     ELSE 0.0 END AS v0 FROM t0),
+t2 AS (SELECT *, v0 + {_sign('v0')} * {_boost('p1')} * {f1}::DOUBLE AS b1 FROM t1),
+t3 AS (SELECT *, CASE WHEN {_negated('p1')} THEN b1 * {C.NEGATION_SCALAR}::DOUBLE ELSE b1 END AS v1
+       FROM t2),
+t4 AS (SELECT *, v1 + {_sign('v1')} * {_boost('p2')} * {f2}::DOUBLE AS b2 FROM t3),
+t5 AS (SELECT *, CASE WHEN {_negated('p2')} THEN b2 * {C.NEGATION_SCALAR}::DOUBLE ELSE b2 END AS v2
+       FROM t4),
+t6 AS (SELECT *, v2 + {_sign('v2')} * {_boost('p3')} * {f3}::DOUBLE AS b3 FROM t5),
+t7 AS (SELECT *, CASE WHEN {_negated('p3')} THEN b3 * {C.NEGATION_SCALAR}::DOUBLE ELSE b3 END AS v3
+       FROM t6),
+t8 AS (SELECT request_id, dataset, pos,
+         CASE WHEN lv IS NULL OR lv = 0 THEN 0.0
+              WHEN but_i IS NOT NULL AND i < but_i THEN v3 * {C.BUT_BEFORE}::DOUBLE
+              WHEN but_i IS NOT NULL AND i > but_i THEN v3 * {C.BUT_AFTER}::DOUBLE
+              ELSE v3 END AS tv
+       FROM t7),
+agg AS (
+  SELECT request_id, dataset, pos, sum(tv) AS ssum,
+         sum(CASE WHEN tv > 0 THEN tv + 1 ELSE 0.0 END) AS psum,
+         sum(CASE WHEN tv < 0 THEN tv - 1 ELSE 0.0 END) AS nsum,
+         sum(CASE WHEN tv = 0 THEN 1 ELSE 0 END) AS neu, count(*) AS n
+  FROM t8 GROUP BY ALL),
+pun AS (
+  SELECT request_id, dataset, pos, id, sentence,
+         least(length(sentence) - length(replace(sentence, '!', '')), {C.EXCLAIM_MAX}) AS excl,
+         length(sentence) - length(replace(sentence, '?', '')) AS qm
+  FROM sent),
+p2 AS (
+  SELECT pun.*, agg.ssum, agg.psum, agg.nsum, agg.neu, coalesce(agg.n, 0) AS n,
+         excl * {C.EXCLAIM_STEP}::DOUBLE
+         + CASE WHEN qm > 1 THEN CASE WHEN qm <= 3 THEN qm * {C.QUESTION_STEP}::DOUBLE
+                                      ELSE {C.QUESTION_MAX_AMPLIFIER}::DOUBLE END
+                ELSE 0.0 END AS punct
+  FROM pun LEFT JOIN agg USING (request_id, dataset, pos)),
+p3 AS (
+  SELECT *, CASE WHEN ssum > 0 THEN ssum + punct WHEN ssum < 0 THEN ssum - punct ELSE ssum END AS s2,
+         CASE WHEN psum > abs(nsum) THEN psum + punct ELSE psum END AS ps,
+         CASE WHEN psum < abs(nsum) THEN nsum - punct ELSE nsum END AS ns
+  FROM p2),
+p4 AS (
+  SELECT request_id, dataset, pos, id, sentence,
+         CASE WHEN n = 0 THEN 0.0 ELSE round(abs(ns / (ps + abs(ns) + neu)), 3) END AS neg_score,
+         CASE WHEN n = 0 THEN 1.0 ELSE round(abs(neu / (ps + abs(ns) + neu)), 3) END AS neu_score,
+         CASE WHEN n = 0 THEN 0.0 ELSE round(abs(ps / (ps + abs(ns) + neu)), 3) END AS pos_score,
+         CASE WHEN n = 0 THEN 0.0
+              ELSE round(greatest(-1.0, least(1.0, s2 / sqrt(s2 * s2 + {C.NORMALIZE_ALPHA}))), 4)
+         END AS compound
+  FROM p3)
+SELECT *, {_classify('compound')} AS label FROM p4
+"""
+
+
+def doc_scores_sql() -> str:
+    return scores_sql(DOC_VALID)
+
+
+def doc_scores_with_theme_sql() -> str:
+    return f"""
+SELECT s.*, v.theme FROM ({doc_scores_sql()}) s
+JOIN ({DOC_VALID}) v USING (request_id, dataset, pos)
+"""
+
+
+def _median(col: str) -> str:
+    lst = f"list_sort(list({col}))"
+    return f"(({lst})[(count(*) + 1) // 2] + ({lst})[count(*) // 2 + 1]) / 2"
+
+
+def cluster_sentiment_sql(scored_sql: str, group: list[str]) -> str:
+    g = ", ".join(group)
+    med = _median("compound")
+    return f"""
+SELECT {g}, count(*) AS total_sentences,
+       CAST(sum(CASE WHEN label = 'positive' THEN 1 ELSE 0 END) AS BIGINT) AS positive,
+       CAST(sum(CASE WHEN label = 'neutral' THEN 1 ELSE 0 END) AS BIGINT) AS neutral,
+       CAST(sum(CASE WHEN label = 'negative' THEN 1 ELSE 0 END) AS BIGINT) AS negative,
+       round(sum(CASE WHEN label = 'positive' THEN 1 ELSE 0 END) * 100.0::DOUBLE / count(*), 1)
+         AS pct_positive,
+       round(sum(CASE WHEN label = 'neutral' THEN 1 ELSE 0 END) * 100.0::DOUBLE / count(*), 1)
+         AS pct_neutral,
+       round(sum(CASE WHEN label = 'negative' THEN 1 ELSE 0 END) * 100.0::DOUBLE / count(*), 1)
+         AS pct_negative,
+       {_classify(f'round({med}, 9)')} AS overall,
+       round(avg(compound), 3) AS average_score,
+       round({med}, 3) AS median,
+       CASE WHEN count(*) > 1 THEN round(stddev_samp(compound), 3) ELSE 0.0 END AS std,
+       round(min(compound), 3) AS min,
+       round(max(compound), 3) AS max
+FROM ({scored_sql}) x
+GROUP BY {g}
+"""
+
+
+def theme_sentiment_sql() -> str:
+    return cluster_sentiment_sql(doc_scores_with_theme_sql(),
+                                 ["request_id", "dataset", "theme"])
+
+
+def request_sentiment_sql() -> str:
+    lst = "list_sort(list(average_score))"
+    return f"""
+SELECT request_id,
+       round((({lst})[(count(*) + 1) // 2] + ({lst})[count(*) // 2 + 1]) / 2, 6) AS weighted_median,
+       {_classify(f'round((({lst})[(count(*) + 1) // 2] + ({lst})[count(*) // 2 + 1]) / 2, 9)')}
+         AS overall_sentiment
+FROM (SELECT t.request_id, t.average_score
+      FROM ({theme_sentiment_sql()}) t, range(t.total_sentences) r) e
+GROUP BY request_id
+"""
+
+
+def word_tokens_sql(x: str, min_len: int = 2, fold: bool = False) -> str:
+    low = f"lower({x})"
+    if fold:
+        low = f"translate({low}, {_q(C.ACCENT_FROM)}, {_q(C.ACCENT_TO)})"
+    return (f"list_filter(string_split_regex({low}, '{NON_WORD}'), "
+            f"lambda t: regexp_matches(t, '^[a-z]{{{min_len},}}$'))")
+
+
+def aspect_sentiment_sql() -> str:
+    return f"""
+WITH sc AS ({doc_scores_sql()}),
+w AS (SELECT DISTINCT request_id, dataset, pos, compound, label, unnest({word_tokens_sql('sentence')}) AS term
+      FROM sc),
+a AS (SELECT * FROM {_values(DOC_ASPECTS, ['aspect', 'term'])}),
+h AS (SELECT DISTINCT w.request_id, w.dataset, a.aspect, w.pos, w.compound, w.label
+      FROM w JOIN a ON w.term = lower(a.term))
+SELECT request_id, dataset, aspect, count(*) AS mentions,
+       round(avg(compound), 3) AS average_score,
+       CAST(sum(CASE WHEN label = 'positive' THEN 1 ELSE 0 END) AS BIGINT) AS positive,
+       CAST(sum(CASE WHEN label = 'neutral' THEN 1 ELSE 0 END) AS BIGINT) AS neutral,
+       CAST(sum(CASE WHEN label = 'negative' THEN 1 ELSE 0 END) AS BIGINT) AS negative
+FROM h GROUP BY ALL
+"""
+
+
+def violations_sql() -> str:
+    too_long = lambda n: _q(f"String should have at most {n} characters")
+    short = _q("String should have at least 1 character")
+    path = "dataset || '.' || CAST(pos AS VARCHAR) || '.'"
+    return f"""
+WITH s AS ({DOC_LINES}),
+per AS (SELECT r.request_id,
+               coalesce(CAST(sum(CASE WHEN dataset = 'baseline' THEN 1 ELSE 0 END) AS BIGINT), 0) AS nb,
+               coalesce(CAST(sum(CASE WHEN dataset = 'comparison' THEN 1 ELSE 0 END) AS BIGINT), 0) AS nc
+        FROM (SELECT DISTINCT request_id FROM s) r LEFT JOIN s USING (request_id)
+        GROUP BY r.request_id),
+dup AS (SELECT request_id, dataset, id FROM s GROUP BY ALL HAVING count(*) > 1),
+dupr AS (SELECT request_id, dataset, id,
+                row_number() OVER (PARTITION BY request_id, dataset ORDER BY id) AS rn FROM dup)
+SELECT request_id, {path} || 'sentence' AS field, {short} AS message,
+       'string_too_short' AS type, 'error' AS severity FROM s WHERE length(sentence) < 1
+UNION ALL
+SELECT request_id, {path} || 'id', {short}, 'string_too_short', 'error' FROM s WHERE length(id) < 1
+UNION ALL
+SELECT request_id, {path} || 'sentence', {too_long(C.SENTENCE_MAX_CHARS)}, 'string_too_long', 'error'
+FROM s WHERE length(sentence) > {C.SENTENCE_MAX_CHARS}
+UNION ALL
+SELECT request_id, {path} || 'id', {too_long(C.ID_MAX_CHARS)}, 'string_too_long', 'error'
+FROM s WHERE length(id) > {C.ID_MAX_CHARS}
+UNION ALL
+SELECT request_id, {path} || 'sentence', {_q('Value error, ' + C.MSG_EMPTY_SENTENCE)}, 'value_error',
+       'error'
+FROM s WHERE length(sentence) BETWEEN 1 AND {C.SENTENCE_MAX_CHARS} AND {strip('sentence')} = ''
+UNION ALL
+SELECT request_id, dataset, 'Value error, Duplicate IDs found: ' || array_to_string(list_sort(list(id)), ', '),
+       'value_error', 'error'
+FROM dupr WHERE rn <= {C.MAX_DUPLICATES_LISTED} GROUP BY request_id, dataset
+UNION ALL
+SELECT request_id, 'baseline', 'List should have at least 1 item after validation, not 0', 'too_short',
+       'error' FROM per WHERE nb = 0
+UNION ALL
+SELECT request_id, 'baseline', 'List should have at most {C.DATASET_MAX_ITEMS} items after validation, not '
+       || CAST(nb AS VARCHAR), 'too_long', 'error' FROM per WHERE nb > {C.DATASET_MAX_ITEMS}
+UNION ALL
+SELECT request_id, 'comparison', 'List should have at most {C.DATASET_MAX_ITEMS} items after validation, not '
+       || CAST(nc AS VARCHAR), 'too_long', 'error' FROM per WHERE nc > {C.DATASET_MAX_ITEMS}
+UNION ALL
+SELECT request_id, '', printf('Value error, Total sentences (%d) exceeds maximum ({C.TOTAL_MAX_ITEMS}). '
+       || 'Baseline: %d, Comparison: %d', nb + nc, nb, nc), 'value_error', 'error'
+FROM per WHERE nb + nc > {C.TOTAL_MAX_ITEMS}
+UNION ALL
+SELECT request_id, '', printf('Large request: %d sentences (may exceed 10s latency target)', nb + nc),
+       'large_request', 'warning'
+FROM per WHERE nb + nc > {C.TOTAL_WARN_ITEMS} AND nb + nc <= {C.TOTAL_MAX_ITEMS}
+"""
+
+
+def keep_first_sql() -> str:
+    return f"""
+SELECT request_id, dataset, id, pos FROM (
+  SELECT request_id, dataset, md5(sentence) AS id, pos,
+         row_number() OVER (PARTITION BY request_id, dataset, md5(sentence) ORDER BY pos) AS rn
+  FROM ({DOC_VALID}) v) x
+WHERE rn = 1
+"""
+
+
+def sentence_details_sql() -> str:
+    return f"""
+SELECT request_id, dataset, pos, id, substring(sentence, 1, 100) AS text, label AS sentiment,
+       {dround('compound', 3)} AS compound, {dround('pos_score', 2)} AS pos,
+       {dround('neu_score', 2)} AS neu, {dround('neg_score', 2)} AS neg,
+       greatest(pos_score, neg_score, neu_score) AS confidence
+FROM ({doc_scores_sql()}) s
+"""
+
+
+def sentence_scores_sql() -> str:
+    return f"""
+SELECT request_id, dataset, pos, id, neg_score, neu_score, pos_score, compound, label
+FROM ({doc_scores_sql()}) s
+"""
+
+
+ORACLE = {
+    "sentences_documents": DOC_LINES,
+    "validation_violations": violations_sql(),
+    "keep_first_by_text": keep_first_sql(),
+    "sentence_scores": sentence_scores_sql(),
+    "sentence_details": sentence_details_sql(),
+    "theme_sentiment": theme_sentiment_sql(),
+    "request_sentiment": request_sentiment_sql(),
+    "aspect_sentiment": aspect_sentiment_sql(),
+}

@@ -1,0 +1,76 @@
+"""SparkSession helpers.
+
+Cluster settings (shuffle partitions, checkpoint folder, memory) belong to
+whoever launches the job; these helpers only fill in values that are unset,
+which is what local tests and the bench need.
+"""
+
+from __future__ import annotations
+
+import os
+import tempfile
+
+from pyspark.sql import SparkSession
+
+_LOCAL_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
+
+
+def get_spark(master: str | None = None, app: str = "thematica",
+              shuffle_partitions: int | None = None,
+              driver_memory: str = "16g") -> SparkSession:
+    """Return the active session, or build a local one with sane defaults."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ensure_checkpoint_dir(active)
+        return active
+    cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
+    for k, v in _LOCAL_DEFAULTS.items():
+        builder = builder.config(k, v)
+    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
+    builder = builder.config("spark.driver.memory", driver_memory)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Checkpoint folder from ``spark.checkpoint.dir``; a scratch one only if unset.
+
+    On a cluster the launcher names a shared folder in ``spark.checkpoint.dir``
+    and that is used as is.  A local scratch folder is created only when the
+    setting is missing, which happens in tests and local runs.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.checkpoint.dir", None)
+    if not conf_dir:
+        conf_dir = tempfile.mkdtemp(prefix="thematica-ckpt-")
+    sc.setCheckpointDir(conf_dir)
+    return sc.getCheckpointDir() or conf_dir
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str):
+    """Read one of the parquet tables of a test-data folder."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def shuffle_partitions(df) -> int:
+    """The session's ``spark.sql.shuffle.partitions`` (cluster-sized on a cluster).
+
+    Used as an explicit count for CPU-heavy repartitions, which AQE would
+    otherwise coalesce down to a few tasks when the bytes are small.
+    """
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
