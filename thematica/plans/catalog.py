@@ -9,13 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import insights as I
+from ..operators import keywords as K
 from ..operators import sentiment as S
 from ..operators.validation import Limits, keep_first, violations
-from .inputs import doc_aspects, doc_lexicon, doc_lines, doc_sentences
+from .inputs import conv_sentences, doc_aspects, doc_lexicon, doc_lines, doc_sentences
 
 SCORE_COLS = ["request_id", "dataset", "pos", "id", "neg_score", "neu_score", "pos_score",
               "compound", "label"]
 THEME_KEY = ["request_id", "dataset", "theme"]
+CONV_KEY = ["request_id", "dataset", "cluster_id"]
 
 
 def scored_doc_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,3 +84,54 @@ QUERIES = {
     "request_sentiment": q_request_sentiment,
     "aspect_sentiment": q_aspect_sentiment,
 }
+
+
+# -- keywords, phrases, titles, insights ---------------------------------------
+
+def q_keywords(spark, sf_dir):
+    """KEY1-KEY9: top keywords per (survey, dataset, theme)."""
+    return K.keywords(doc_sentences(spark, sf_dir), THEME_KEY)
+
+
+def q_keywords_conversations(spark, sf_dir):
+    """KEY1-KEY9 on many tiny requests: one cluster per conversation side."""
+    s = conv_sentences(spark, sf_dir).withColumn("cluster_id", F.lit(0))
+    return K.keywords(s, CONV_KEY)
+
+
+def q_phrases(spark, sf_dir):
+    """KEY10: common adjacent word pairs per theme."""
+    return K.phrases(doc_sentences(spark, sf_dir), THEME_KEY)
+
+
+def q_titles(spark, sf_dir):
+    """KEY11-KEY12: theme titles from keywords."""
+    s = doc_sentences(spark, sf_dir)
+    t = K.titles(s, K.keywords(s, THEME_KEY), THEME_KEY)
+    return t.select(*THEME_KEY, F.array_join("keywords", "|").alias("keywords"), "title")
+
+
+def theme_insights(spark, sf_dir):
+    s = doc_sentences(spark, sf_dir)
+    scored = S.score_sentences(s, doc_lexicon(spark))
+    sent = S.cluster_sentiment(scored, THEME_KEY)
+    kw_lists = K.keyword_lists(K.keywords(s, THEME_KEY), THEME_KEY)
+    sizes = K.cluster_sizes(s, THEME_KEY)
+    totals = s.groupBy("request_id", "dataset").agg(F.count(F.lit(1)).alias("total"))
+    return I.insights(sizes, totals, sent, kw_lists, K.phrases(s, THEME_KEY),
+                      I.keyword_mentions(s, kw_lists, THEME_KEY), THEME_KEY)
+
+
+def q_insights(spark, sf_dir):
+    """INS1-INS7: up to three template insights per theme."""
+    return theme_insights(spark, sf_dir).select(
+        *THEME_KEY, F.array_join("key_insights", " | ").alias("key_insights"))
+
+
+QUERIES.update({
+    "keywords": q_keywords,
+    "keywords_conversations": q_keywords_conversations,
+    "phrases": q_phrases,
+    "titles": q_titles,
+    "insights": q_insights,
+})

@@ -331,3 +331,197 @@ ORACLE = {
     "request_sentiment": request_sentiment_sql(),
     "aspect_sentiment": aspect_sentiment_sql(),
 }
+
+
+# -- keywords, phrases, titles, insights ------------------------------------
+
+def _stop_list() -> str:
+    from ..functions.stopwords import stop_words
+    return _in_list(stop_words("english"))
+
+
+def _g(group, alias=None) -> str:
+    return ", ".join(f"{alias}.{c}" if alias else c for c in group)
+
+
+def _on(group, a, b) -> str:
+    return " AND ".join(f"{a}.{c} = {b}.{c}" for c in group)
+
+
+def keywords_sql(sentences_sql: str, group: list[str], max_keywords: int = C.MAX_KEYWORDS) -> str:
+    g = _g(group)
+    low2 = f"translate(lower(sentence), {_q(C.ACCENT_FROM)}, {_q(C.ACCENT_TO)})"
+    return f"""
+WITH s AS ({sentences_sql}),
+sizes AS (SELECT {g}, count(*) AS n FROM s GROUP BY ALL),
+tk AS (SELECT {g}, pos,
+              list_filter(string_split_regex({low2}, '{NON_WORD}'),
+                          lambda t: regexp_matches(t, '^[a-z]{{2,}}$') AND t NOT IN {_stop_list()}) AS toks
+       FROM s),
+terms AS (SELECT {g}, pos,
+                 unnest(list_concat(toks, list_transform(range(1, len(toks)),
+                                                        lambda i: toks[i] || ' ' || toks[i + 1]))) AS term
+          FROM tk),
+tf AS (SELECT {g}, pos, term, count(*) AS tf FROM terms GROUP BY ALL),
+dfs AS (SELECT {g}, term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY ALL),
+vocab AS (
+  SELECT * FROM (
+    SELECT d.*, z.n, row_number() OVER (PARTITION BY {_g(group, 'd')} ORDER BY d.total DESC, d.term) AS r
+    FROM dfs d JOIN sizes z ON {_on(group, 'd', 'z')}
+    WHERE d.df <= z.n * {C.MAX_DF} AND d.df >= {C.MIN_DF} AND z.n * {C.MAX_DF} >= {C.MIN_DF}) x
+  WHERE r <= {C.MAX_FEATURES}),
+w AS (SELECT {_g(group, 'tf')}, tf.pos, tf.term,
+             (1 + ln(tf.tf)) * (ln((1 + v.n) / (1 + v.df)) + 1) AS w
+      FROM tf JOIN vocab v ON {_on(group, 'tf', 'v')} AND tf.term = v.term),
+wn AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY {g}, pos)) AS wn FROM w),
+sc AS (SELECT {g}, term, sum(wn) AS score FROM wn GROUP BY ALL),
+rk AS (SELECT *, contains(term, ' ') AS bi,
+              row_number() OVER (PARTITION BY {g}, contains(term, ' ')
+                                 ORDER BY round(score, 9) DESC, term DESC) AS k
+       FROM sc),
+kw AS (SELECT {g}, term AS keyword,
+              row_number() OVER (PARTITION BY {g} ORDER BY bi DESC, k) AS rank
+       FROM rk WHERE (bi AND k <= {C.TOP_BIGRAMS}) OR (NOT bi AND k <= {C.TOP_UNIGRAMS})),
+fbg AS (SELECT {g} FROM sizes EXCEPT SELECT DISTINCT {g} FROM vocab),
+fbw AS (SELECT {_g(group, 's')}, s.pos, u.idx, u.word
+        FROM s JOIN fbg ON {_on(group, 's', 'fbg')},
+             unnest(list_filter(string_split_regex(lower(s.sentence), '{NON_WORD}'),
+                                lambda t: regexp_matches(t, '^[a-z]{{3,}}$')
+                                          AND t NOT IN {_in_list(C.FALLBACK_STOP_WORDS)}))
+             WITH ORDINALITY AS u(word, idx)),
+fbc AS (SELECT {g}, word, count(*) AS c, min((pos, idx)) AS first FROM fbw GROUP BY ALL),
+fb AS (SELECT {g}, word AS keyword, row_number() OVER (PARTITION BY {g} ORDER BY c DESC, first) AS rank
+       FROM fbc)
+SELECT {g}, CAST(rank AS INTEGER) AS rank, keyword FROM kw WHERE rank <= {max_keywords}
+UNION ALL
+SELECT {g}, CAST(rank AS INTEGER) AS rank, keyword FROM fb
+WHERE rank <= {min(C.FALLBACK_TOP, max_keywords)}
+"""
+
+
+def phrases_sql(sentences_sql: str, group: list[str]) -> str:
+    g = _g(group)
+    return f"""
+WITH s AS ({sentences_sql}),
+tk AS (SELECT {g}, pos, list_filter(string_split_regex(lower(sentence), '{NON_WORD}'),
+                                    lambda t: regexp_matches(t, '^[a-z]{{3,}}$')) AS toks FROM s),
+ph AS (SELECT {_g(group, 'tk')}, tk.pos, u.idx, u.phrase
+       FROM tk, unnest(list_transform(range(1, len(toks)), lambda i: toks[i] || ' ' || toks[i + 1]))
+            WITH ORDINALITY AS u(phrase, idx)),
+pc AS (SELECT {g}, phrase, count(*) AS count, min((pos, idx)) AS first FROM ph GROUP BY ALL
+       HAVING count(*) >= {C.PHRASE_MIN_COUNT}),
+pr AS (SELECT {g}, phrase, count, row_number() OVER (PARTITION BY {g} ORDER BY count DESC, first) AS rank
+       FROM pc)
+SELECT {g}, CAST(rank AS INTEGER) AS rank, phrase, count FROM pr WHERE rank <= {C.PHRASE_TOP}
+"""
+
+
+def _title_expr(kws: str) -> str:
+    bis = f"list_filter({kws}, lambda k: contains(k, ' '))"
+    unis = f"list_filter({kws}, lambda k: NOT contains(k, ' '))"
+    raw = (f"CASE WHEN len({bis}) >= 2 THEN {bis}[1] || ' & ' || {bis}[2] "
+           f"WHEN len({bis}) = 1 THEN {bis}[1] "
+           f"WHEN len({unis}) >= 2 THEN array_to_string({unis}[1:3], ' & ') "
+           f"WHEN len({kws}) >= 1 THEN {kws}[1] END")
+    cap = f"array_to_string(list_transform(string_split({raw}, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
+    return (f"CASE WHEN ({raw}) IS NULL THEN {_q(C.GENERAL_TITLE)} "
+            f"WHEN length({cap}) > {C.TITLE_MAX_CHARS} THEN left({cap}, {C.TITLE_CUT_CHARS}) || '...' "
+            f"ELSE {cap} END")
+
+
+def titles_sql(sentences_sql: str, group: list[str]) -> str:
+    g = _g(group)
+    return f"""
+WITH s AS ({sentences_sql}),
+kw AS ({keywords_sql(sentences_sql, group)}),
+kl AS (SELECT {g}, list(keyword ORDER BY rank) AS kws FROM kw GROUP BY ALL),
+cl AS (SELECT DISTINCT {g} FROM s),
+j AS (SELECT {_g(group, 'cl')}, coalesce(kl.kws, []) AS kws FROM cl LEFT JOIN kl ON {_on(group, 'cl', 'kl')})
+SELECT {g}, array_to_string(kws, '|') AS keywords, {_title_expr('kws')} AS title FROM j
+"""
+
+
+def _pct0(x: str) -> str:
+    return f"CAST(CAST(round_even({x}, 0) AS BIGINT) AS VARCHAR)"
+
+
+def insights_sql(sentences_sql: str, scored_sql: str, group: list[str]) -> str:
+    g = _g(group)
+    kw0 = "kws[1]"
+    share = "(z.n / t.total * 100)"
+    fmt2 = "printf('%.2f', CAST(round_even(CAST(cs.average_score AS DECIMAL(18, 3)), 2) AS DOUBLE))"
+    return f"""
+WITH s AS ({sentences_sql}),
+sizes AS (SELECT {g}, count(*) AS n FROM s GROUP BY ALL),
+tot AS (SELECT request_id, dataset, count(*) AS total FROM s GROUP BY ALL),
+cs AS ({cluster_sentiment_sql(scored_sql, group)}),
+kw AS ({keywords_sql(sentences_sql, group)}),
+kl AS (SELECT {g}, list(keyword ORDER BY rank) AS kws FROM kw GROUP BY ALL),
+ph AS (SELECT * FROM ({phrases_sql(sentences_sql, group)}) p WHERE rank = 1),
+men AS (SELECT {_g(group, 's')}, sum(CASE WHEN contains(lower(s.sentence), kl.kws[1]) THEN 1 ELSE 0 END)
+               AS mention_count
+        FROM s JOIN kl ON {_on(group, 's', 'kl')} WHERE kl.kws[1] IS NOT NULL GROUP BY ALL),
+j AS (
+  SELECT {_g(group, 'z')}, z.n, t.total, kl.kws, cs.overall, cs.pct_positive, cs.pct_negative,
+         cs.average_score, ph.phrase, ph.count AS phc, coalesce(men.mention_count, 0) AS mc,
+         CASE WHEN t.total > 0 THEN
+           CASE WHEN {share} >= {C.SHARE_RELATES_PCT}
+                  THEN {_pct0(share)} || '% of feedback relates to ' || coalesce({kw0}, 'this topic')
+                WHEN {share} >= {C.SHARE_MENTIONS_PCT}
+                  THEN {_pct0(share)} || '% of feedback mentions ' || coalesce({kw0}, 'this theme') END
+         END AS i1,
+         CASE WHEN cs.overall = 'negative' AND cs.pct_negative >= {C.STRONG_SENTIMENT_PCT}
+                THEN {_pct0('cs.pct_negative')} || '% express negative sentiment about '
+                     || coalesce({kw0}, 'this topic') || ' - requires attention'
+              WHEN cs.overall = 'positive' AND cs.pct_positive >= {C.STRONG_SENTIMENT_PCT}
+                THEN 'Overwhelmingly positive (' || {_pct0('cs.pct_positive')} || '%) - key strength area'
+              WHEN cs.pct_negative >= {C.MAJORITY_SENTIMENT_PCT}
+                THEN 'Majority (' || {_pct0('cs.pct_negative')} || '%) are dissatisfied with '
+                     || coalesce({kw0}, 'this topic')
+              WHEN cs.pct_positive >= {C.MAJORITY_SENTIMENT_PCT}
+                THEN 'Generally positive feedback (' || {_pct0('cs.pct_positive')} || '%)' END AS i2,
+         CASE WHEN abs(cs.average_score) >= {C.MODERATE_AVG} THEN
+           (CASE WHEN abs(cs.average_score) >= {C.STRONG_AVG} THEN 'Strong' ELSE 'Moderate' END) || ' '
+           || (CASE WHEN cs.average_score > 0 THEN 'positive' ELSE 'negative' END)
+           || ' sentiment (avg score: ' || {fmt2} || ')' END AS i3,
+         CASE WHEN ph.phrase IS NOT NULL AND ph.count >= greatest(2.0, z.n * {C.PHRASE_SHARE})
+              THEN 'Most common phrase: ''' || ph.phrase || ''' (' || CAST(ph.count AS VARCHAR) || ' mentions)'
+         END AS i4,
+         CASE WHEN {kw0} IS NOT NULL AND coalesce(men.mention_count, 0) / z.n > {C.KEYWORD_SHARE}
+              THEN CAST(men.mention_count AS VARCHAR) || '/' || CAST(z.n AS VARCHAR)
+                   || ' sentences explicitly mention ''' || {kw0} || '''' END AS i5,
+         CASE WHEN z.n >= {C.VOLUME_SIZE}
+              THEN 'Significant volume: ' || CAST(z.n AS VARCHAR) || ' feedback items in this category'
+         END AS i6
+  FROM sizes z
+  LEFT JOIN tot t ON z.request_id = t.request_id AND z.dataset = t.dataset
+  LEFT JOIN cs ON {_on(group, 'z', 'cs')}
+  LEFT JOIN kl ON {_on(group, 'z', 'kl')}
+  LEFT JOIN ph ON {_on(group, 'z', 'ph')}
+  LEFT JOIN men ON {_on(group, 'z', 'men')})
+SELECT {g}, array_to_string(list_filter([i1, i2, i3, i4, i5, i6], lambda x: x IS NOT NULL)[1:{C.MAX_INSIGHTS}], ' | ')
+       AS key_insights
+FROM j
+"""
+
+
+THEME_GROUP = ["request_id", "dataset", "theme"]
+CONV_GROUP = ["request_id", "dataset", "cluster_id"]
+
+CONV_VALID = f"""
+SELECT 'conv-' || CAST(conv_id AS VARCHAR) AS request_id,
+       CASE WHEN role = 'user' THEN 'baseline' ELSE 'comparison' END AS dataset,
+       CAST(turn * {LINE_STRIDE} + (u.i - 1) AS BIGINT) AS pos,
+       CAST(turn AS VARCHAR) || '-' || CAST(u.i - 1 AS VARCHAR) AS id,
+       {strip('u.line')} AS sentence, 0 AS cluster_id
+FROM conversations c, unnest(string_split(c.text, chr(10))) WITH ORDINALITY AS u(line, i)
+WHERE {strip('u.line')} <> ''
+"""
+
+ORACLE.update({
+    "keywords": keywords_sql(DOC_VALID, THEME_GROUP),
+    "keywords_conversations": keywords_sql(CONV_VALID, CONV_GROUP),
+    "phrases": phrases_sql(DOC_VALID, THEME_GROUP),
+    "titles": titles_sql(DOC_VALID, THEME_GROUP),
+    "insights": insights_sql(DOC_VALID, doc_scores_with_theme_sql(), THEME_GROUP),
+})
