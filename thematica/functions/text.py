@@ -17,6 +17,12 @@ WS = (r"[\t\n\x0B\f\r \x1C-\x1F\x85\xA0\x{1680}\x{2000}-\x{200A}"
       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 # ASCII punctuation, the set stripped from both ends of a scoring token.
 PUNCT = r"[!-/:-@\[-`{-~]"
+# The same two sets as plain characters, for ``btrim`` (strip a set of
+# characters from both ends, as ``str.strip(chars)`` does; no regex).
+WS_CHARS = ("\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\xa0\u1680"
+            "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+            "\u2028\u2029\u202f\u205f\u3000")
+PUNCT_CHARS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # Separator between words for keyword / phrase tokenising.
 NON_WORD = r"[^\p{L}\p{N}_]+"
 
@@ -27,7 +33,7 @@ def col_(c) -> Column:
 
 def unicode_strip(c) -> Column:
     """Strip Unicode whitespace at both ends (``trim`` only strips blanks)."""
-    return F.regexp_replace(col_(c), f"^{WS}+|{WS}+$", "")
+    return F.btrim(col_(c), F.lit(WS_CHARS))
 
 
 def whitespace_tokens(c) -> Column:
@@ -38,7 +44,7 @@ def whitespace_tokens(c) -> Column:
 def strip_punct_token(c) -> Column:
     """Strip ASCII punctuation at both ends unless that leaves <= 2 chars."""
     t = col_(c)
-    stripped = F.regexp_replace(t, f"^{PUNCT}+|{PUNCT}+$", "")
+    stripped = F.btrim(t, F.lit(PUNCT_CHARS))
     return F.when(F.length(stripped) <= 2, t).otherwise(stripped)
 
 

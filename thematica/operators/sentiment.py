@@ -85,8 +85,9 @@ def score_sentences(sentences: DataFrame, lexicon: DataFrame, text_col: str = "s
     # Hash-partition sentences by their key: the roll-up below is then
     # already clustered (no second exchange), and tokenising spreads over
     # all tasks even when the input arrives in a few large splits.
-    s = sentences.repartition(shuffle_partitions(sentences), *key).select(
-        *key, *carry,
+    base = sentences.repartition(shuffle_partitions(sentences), *key)
+    s = base.select(
+        *key,
         F.when(text == "", F.array().cast("array<string>"))
         .otherwise(F.split(text, f"{WS}+")).alias("_toks"),
         F.least(count_char(text_col, "!"), F.lit(C.EXCLAIM_MAX)).alias("_excl"),
@@ -98,26 +99,26 @@ def score_sentences(sentences: DataFrame, lexicon: DataFrame, text_col: str = "s
     but = (F.when(F.col("_but_at") == 0, F.lit(-1)).when(F.col("_but_at") == 1, F.lit(0))
            .otherwise(F.regexp_count(F.substring("_text", 1, F.col("_but_at") - 1),
                                      F.lit(f"{WS}+"))))
-    toks, n = F.col("_toks"), F.size("_toks")
+    n = F.size("_toks")
 
-    def shifted(k):  # token k places before, NULL at the start; same length
-        return F.slice(F.concat(F.array_repeat(F.lit(None).cast("string"), k), toks), 1, n)
+    def shifted(arr, k):  # element k places before, NULL at the start; same length
+        return F.slice(F.concat(F.array_repeat(F.lit(None).cast("string"), k), F.col(arr)), 1, n)
 
     # Each token row carries its three predecessors, so every look-back rule
-    # is a projection after the explode (all built-in, codegen'd functions).
+    # is a projection after the explode; stripping is ``btrim`` (no regex).
     s = s.select(
-        *key, *carry, "_excl", "_qm",
+        *key, "_excl", "_qm",
         ((F.col("_ncaps") > 0) & (F.col("_ncaps") < n)).alias("_capdiff"),
         but.alias("_but"),
-        F.arrays_zip(toks.alias("raw"), shifted(1).alias("r1"), shifted(2).alias("r2"),
-                     shifted(3).alias("r3")).alias("_z"))
-    t = s.select(*key, *carry, "_excl", "_qm", "_capdiff", "_but",
+        F.arrays_zip(F.col("_toks").alias("raw"),
+                     *[shifted("_toks", k).alias(f"r{k}") for k in (1, 2, 3)]).alias("_z"))
+    t = s.select(*key, "_excl", "_qm", "_capdiff", "_but",
                  F.posexplode_outer("_z").alias("_i", "_t"))
 
     def clean(c):
         return F.lower(strip_punct_token(c))
 
-    t = t.select(*key, *carry, "_excl", "_qm", "_capdiff", "_but",
+    t = t.select(*key, "_excl", "_qm", "_capdiff", "_but",
                  F.struct(F.col("_i").alias("i"), clean("_t.raw").alias("lw"),
                           is_all_caps("_t.raw").alias("caps"), clean("_t.r1").alias("p1"),
                           clean("_t.r2").alias("p2"), clean("_t.r3").alias("p3")).alias("t"))
@@ -126,27 +127,27 @@ def score_sentences(sentences: DataFrame, lexicon: DataFrame, text_col: str = "s
 
     # One column per rule step keeps each expression small (no re-nesting of
     # the previous step), so the stage stays inside whole-stage codegen.
-    base = [*key, *carry, "_excl", "_qm", "_capdiff", "_but", "t", "_valence"]
+    cols = [*key, "_excl", "_qm", "_capdiff", "_but", "t", "_valence"]
     v = F.coalesce(F.col("_valence"), F.lit(0.0))
-    t = t.select(*base, (v + F.when(F.col("t.caps") & F.col("_capdiff"),
+    t = t.select(*cols, (v + F.when(F.col("t.caps") & F.col("_capdiff"),
                                     _sign(v) * C.CAPS_STEP).otherwise(0.0)).alias("_v0"))
     for dist, prev in ((1, "t.p1"), (2, "t.p2"), (3, "t.p3")):
         p, cur = F.col(prev), F.col(f"_v{dist - 1}")
         boosted = cur + _sign(cur) * _boost(p) * C.BOOST_DISTANCE_FACTORS[dist - 1]
-        t = t.select(*base, boosted.alias("_b"))
-        t = t.select(*base, F.when(_negated(p), F.col("_b") * C.NEGATION_SCALAR)
+        t = t.select(*cols, boosted.alias("_b"))
+        t = t.select(*cols, F.when(_negated(p), F.col("_b") * C.NEGATION_SCALAR)
                      .otherwise(F.col("_b")).alias(f"_v{dist}"))
     i, v3 = F.col("t.i"), F.col("_v3")
     v = (F.when((F.col("_but") >= 0) & (i < F.col("_but")), v3 * C.BUT_BEFORE)
          .when((F.col("_but") >= 0) & (i > F.col("_but")), v3 * C.BUT_AFTER).otherwise(v3))
     has_val = F.col("_valence").isNotNull() & (F.col("_valence") != 0)
     val = F.when(has_val, v).otherwise(F.lit(0.0))
-    t = t.select(*key, *carry, "_excl", "_qm", val.alias("_v"),
+    t = t.select(*key, "_excl", "_qm", val.alias("_v"),
                  F.col("t.i").isNotNull().alias("_is_tok"))
 
-    # Carried columns depend on the key, so they join the grouping key: the
-    # roll-up stays a hash aggregate and collapses map-side.
-    agg = t.groupBy(*key, *carry, "_excl", "_qm").agg(
+    # The roll-up groups on the key only (never on the sentence text), and
+    # the token rows of a sentence sit in its partition already.
+    agg = t.groupBy(*key, "_excl", "_qm").agg(
         F.sum("_v").alias("_sum"),
         F.sum(F.when(F.col("_v") > 0, F.col("_v") + 1).otherwise(0.0)).alias("_pos"),
         F.sum(F.when(F.col("_v") < 0, F.col("_v") - 1).otherwise(0.0)).alias("_neg"),
@@ -166,12 +167,13 @@ def score_sentences(sentences: DataFrame, lexicon: DataFrame, text_col: str = "s
     total = pos_s + F.abs(neg_s) + F.col("_neu")
     empty = F.col("_n") == 0
     out = agg.select(
-        *key, *carry,
+        *key,
         F.when(empty, 0.0).otherwise(F.round(F.abs(neg_s / total), 3)).alias("neg_score"),
         F.when(empty, 1.0).otherwise(F.round(F.abs(F.col("_neu") / total), 3)).alias("neu_score"),
         F.when(empty, 0.0).otherwise(F.round(F.abs(pos_s / total), 3)).alias("pos_score"),
         F.when(empty, 0.0).otherwise(F.round(comp, 4)).alias("compound"))
-    return out.withColumn("label", classify("compound", mode))
+    # Same hash partitioning on both sides: the join back adds no exchange.
+    return base.join(out, key).withColumn("label", classify("compound", mode))
 
 
 def sentence_details(scores: DataFrame) -> DataFrame:

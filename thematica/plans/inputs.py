@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..constants import STARTER_LEXICON
 from ..operators.validation import Limits, validate
-from ..session import read_table
+from ..session import read_table, spread
 from ..sources.tables import conversations_to_sentences, documents_to_sentences
 
 # ---------------------------------------------------------------------------
@@ -46,7 +46,7 @@ def doc_aspects(spark: SparkSession) -> DataFrame:
 
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document as a raw sentence row (with ``theme``)."""
-    return documents_to_sentences(read_table(spark, sf_dir, "documents"))
+    return documents_to_sentences(spread(read_table(spark, sf_dir, "documents"), "doc_id"))
 
 
 def doc_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +56,7 @@ def doc_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conv_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid, _ = validate(conversations_to_sentences(read_table(spark, sf_dir, "conversations")),
+    convs = spread(read_table(spark, sf_dir, "conversations"), "conv_id")
+    valid, _ = validate(conversations_to_sentences(convs),
                         limits=Limits.corpus(), strict=False)
     return valid

@@ -9,7 +9,7 @@ same rules, constants and rounding.
 from __future__ import annotations
 
 from .. import constants as C
-from ..functions.text import NON_WORD, PUNCT, WS
+from ..functions.text import NON_WORD, PUNCT_CHARS, WS, WS_CHARS
 from ..sources.tables import LINE_STRIDE
 from .inputs import DOC_ASPECTS, DOC_LEXICON
 
@@ -29,7 +29,7 @@ def _values(rows, cols) -> str:
 
 
 def strip(x: str) -> str:
-    return "regexp_replace(" + x + f", '^{WS}+|{WS}+$', '', 'g')"
+    return f"trim({x}, {_q(WS_CHARS)})"
 
 
 DOC_LINES = f"""
@@ -78,7 +78,7 @@ CAPS_RE = r"'^[^\p{Ll}]*\p{Lu}[^\p{Ll}]*$'"
 
 def scores_sql(sentences_sql: str, lexicon=DOC_LEXICON) -> str:
     """Rule-based sentence scores; one row per sentence of ``sentences_sql``."""
-    punct_strip = f"regexp_replace(raw, '^{PUNCT}+|{PUNCT}+$', '', 'g')"
+    punct_strip = f"trim(raw, {_q(PUNCT_CHARS)})"
     f1, f2, f3 = C.BOOST_DISTANCE_FACTORS
     return f"""
 WITH sent AS ({sentences_sql}),

@@ -74,3 +74,16 @@ def shuffle_partitions(df) -> int:
     otherwise coalesce down to a few tasks when the bytes are small.
     """
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df, *cols):
+    """Spread an input that arrives in fewer splits than the cluster has cores.
+
+    A large table on a cluster already has many splits and is returned as
+    is; a small file (one row group) is hash-partitioned by ``cols`` so the
+    CPU-heavy text work that follows runs on every core.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(max(target, shuffle_partitions(df)), *cols)
