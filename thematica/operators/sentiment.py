@@ -232,21 +232,23 @@ def cluster_sentiment(scored: DataFrame, group=("request_id", "dataset", "cluste
         F.sum(F.when(v >= t, c).otherwise(0)).alias("positive"),
         F.sum(F.when((v < t) & (v > -t), c).otherwise(0)).alias("neutral"),
         F.sum(F.when(v <= -t, c).otherwise(0)).alias("negative"),
-        F.sum(v * c).alias("_s1"),
-        F.sum(v * v * c).alias("_s2"),
+        # compound has 4 decimals: sums of compound*10^4 are exact integers.
+        F.sum(F.round(v * 10000).cast("long") * c).alias("_s1"),
+        F.sum(F.round(v * 10000).cast("long") * F.round(v * 10000).cast("long") * c).alias("_s2"),
         F.min(v).alias("_min"),
         F.max(v).alias("_max"),
         ((F.min(F.when(F.col("_cum") >= k1, v)) + F.min(F.when(F.col("_cum") >= k2, v))) / 2)
         .alias("_median"))
     n = F.col("total_sentences")
-    var = (F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / (n - 1)
+    s1, s2 = F.col("_s1").cast("double"), F.col("_s2").cast("double")
+    var = (s2 - s1 * s1 / n) / (n - 1) / 1e8
     return agg.select(
         *group, "total_sentences", "positive", "neutral", "negative",
         F.round(F.col("positive") * 100.0 / n, 1).alias("pct_positive"),
         F.round(F.col("neutral") * 100.0 / n, 1).alias("pct_neutral"),
         F.round(F.col("negative") * 100.0 / n, 1).alias("pct_negative"),
         classify(F.round("_median", 9), mode).alias("overall"),
-        F.round(F.col("_s1") / n, 3).alias("average_score"),
+        F.round(s1 / (n * 10000.0), 3).alias("average_score"),
         F.round("_median", 3).alias("median"),
         F.when(n > 1, F.round(F.sqrt(F.greatest(var, F.lit(0.0))), 3)).otherwise(F.lit(0.0))
         .alias("std"),

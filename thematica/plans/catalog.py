@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import insights as I
 from ..operators import keywords as K
+from ..operators import report as R
 from ..operators import sentiment as S
 from ..operators.validation import Limits, keep_first, violations
 from .inputs import conv_sentences, doc_aspects, doc_lexicon, doc_lines, doc_sentences
@@ -135,3 +136,67 @@ QUERIES.update({
     "titles": q_titles,
     "insights": q_insights,
 })
+
+
+# -- report assembly and comparison (given themes as clusters) -----------------
+
+def theme_parts(spark, sf_dir):
+    """Sentences, scores, cluster rows and assignments with ``theme`` as cluster."""
+    s = doc_sentences(spark, sf_dir)
+    scored = S.score_sentences(s, doc_lexicon(spark))
+    sent = S.cluster_sentiment(scored, THEME_KEY)
+    kw = K.keywords(s, THEME_KEY)
+    themes = K.titles(s, kw, THEME_KEY)
+    kw_lists = themes.select(*THEME_KEY, "keywords")
+    sizes = K.cluster_sizes(s, THEME_KEY)
+    totals = s.groupBy("request_id", "dataset").agg(F.count(F.lit(1)).alias("total"))
+    ins = I.insights(sizes, totals, sent, kw_lists, K.phrases(s, THEME_KEY),
+                     I.keyword_mentions(s, kw_lists, THEME_KEY), THEME_KEY)
+    assignments = s.select("request_id", "dataset", "pos", "theme")
+    clusters = R.cluster_rows(assignments, sent, themes, ins, cluster_col="theme")
+    return s, scored, assignments, clusters
+
+
+def q_theme_report(spark, sf_dir):
+    """ASM1, ASM3-ASM5: cluster rows of the report, ranked per survey."""
+    _, _, _, clusters = theme_parts(spark, sf_dir)
+    return clusters.select(
+        "request_id", "dataset", "cluster_id", "id", "title", "size", "overall", "average_score",
+        "positive", "neutral", "negative", F.array_join("keywords", "|").alias("keywords"),
+        F.array_join("key_insights", " | ").alias("key_insights"), "source", "rank")
+
+
+def q_theme_summary(spark, sf_dir):
+    """ASM6: per survey totals, clusters found, unclustered, overall sentiment."""
+    s, _, assignments, clusters = theme_parts(spark, sf_dir)
+    a = assignments.select("request_id", "dataset", "pos", F.lit(0).alias("cluster_id"))
+    return R.summary(s, a, clusters)
+
+
+def q_theme_comparison(spark, sf_dir):
+    """CMP1: baseline-only, comparison-only and shared theme titles."""
+    _, _, _, clusters = theme_parts(spark, sf_dir)
+    return R.theme_comparison(clusters)
+
+
+def q_joint_sources(spark, sf_dir):
+    """CLU14, CMP3: per joint theme, sentence counts by source, ratio, class."""
+    a = doc_sentences(spark, sf_dir).select("request_id", "dataset", "pos",
+                                            F.col("theme").alias("cluster_id"))
+    return R.joint_source_counts(a)
+
+
+def q_share_shift(spark, sf_dir):
+    """CMP4 (shift), CMP6: share shift with two-proportion z, sentiment shift."""
+    scored = scored_doc_sentences(spark, sf_dir)
+    a = scored.select("request_id", "dataset", "pos", F.col("theme").alias("cluster_id"))
+    return R.share_shift(a, scored)
+
+
+QUERIES.update({
+    "theme_report": q_theme_report,
+    "theme_summary": q_theme_summary,
+    "theme_comparison": q_theme_comparison,
+    "joint_sources": q_joint_sources,
+    "share_shift": q_share_shift,
+})

@@ -34,7 +34,7 @@ def strip(x: str) -> str:
 
 DOC_LINES = f"""
 SELECT d.source AS request_id,
-       CASE WHEN d.doc_id % 2 = 0 THEN 'baseline' ELSE 'comparison' END AS dataset,
+       CASE WHEN coalesce(d.n_chars, 0) % 2 = 0 THEN 'baseline' ELSE 'comparison' END AS dataset,
        CAST(d.doc_id * {LINE_STRIDE} + (u.i - 1) AS BIGINT) AS pos,
        CAST(d.doc_id AS VARCHAR) || '-' || CAST(u.i - 1 AS VARCHAR) AS id,
        u.line AS sentence,
@@ -177,6 +177,8 @@ def _median(col: str) -> str:
 def cluster_sentiment_sql(scored_sql: str, group: list[str]) -> str:
     g = ", ".join(group)
     med = _median("compound")
+    s1 = "sum(CAST(round(compound * 10000) AS BIGINT))"
+    s2 = "sum(CAST(round(compound * 10000) AS BIGINT) * CAST(round(compound * 10000) AS BIGINT))"
     return f"""
 SELECT {g}, count(*) AS total_sentences,
        CAST(sum(CASE WHEN label = 'positive' THEN 1 ELSE 0 END) AS BIGINT) AS positive,
@@ -189,9 +191,9 @@ SELECT {g}, count(*) AS total_sentences,
        round(sum(CASE WHEN label = 'negative' THEN 1 ELSE 0 END) * 100.0::DOUBLE / count(*), 1)
          AS pct_negative,
        {_classify(f'round({med}, 9)')} AS overall,
-       round(avg(compound), 3) AS average_score,
+       {dround(f"CAST({s1} AS DOUBLE) / (count(*) * 10000.0)", 3)} AS average_score,
        round({med}, 3) AS median,
-       CASE WHEN count(*) > 1 THEN round(stddev_samp(compound), 3) ELSE 0.0 END AS std,
+       CASE WHEN count(*) > 1 THEN {dround(f"sqrt(greatest((CAST({s2} AS DOUBLE) - CAST({s1} AS DOUBLE) * CAST({s1} AS DOUBLE) / count(*)) / (count(*) - 1) / 1e8, 0.0))", 3)} ELSE 0.0 END AS std,
        round(min(compound), 3) AS min,
        round(max(compound), 3) AS max
 FROM ({scored_sql}) x
@@ -525,3 +527,102 @@ ORACLE.update({
     "titles": titles_sql(DOC_VALID, THEME_GROUP),
     "insights": insights_sql(DOC_VALID, doc_scores_with_theme_sql(), THEME_GROUP),
 })
+
+
+# -- report assembly and comparison -------------------------------------------
+
+def theme_report_sql() -> str:
+    g = THEME_GROUP
+    return f"""
+WITH s AS ({DOC_VALID}),
+cs AS ({theme_sentiment_sql()}),
+tt AS ({titles_sql(DOC_VALID, g)}),
+ins AS ({insights_sql(DOC_VALID, doc_scores_with_theme_sql(), g)}),
+sz AS (SELECT request_id, dataset, theme, count(*) AS size, min(pos) AS first_pos FROM s GROUP BY ALL)
+SELECT sz.request_id, sz.dataset, sz.theme AS cluster_id, sz.dataset || '-cluster-' || sz.theme AS id,
+       coalesce(tt.title, 'Cluster ' || sz.theme) AS title, sz.size,
+       coalesce(cs.overall, 'neutral') AS overall, coalesce(cs.average_score, 0.0) AS average_score,
+       coalesce(cs.positive, 0) AS positive, coalesce(cs.neutral, 0) AS neutral,
+       coalesce(cs.negative, 0) AS negative, coalesce(tt.keywords, '') AS keywords,
+       coalesce(ins.key_insights, '') AS key_insights, sz.dataset AS source,
+       CAST(row_number() OVER (PARTITION BY sz.request_id ORDER BY sz.size DESC,
+            CASE WHEN sz.dataset = 'baseline' THEN 0 ELSE 1 END, sz.first_pos) AS INTEGER) AS rank
+FROM sz
+LEFT JOIN cs ON {_on(g, 'sz', 'cs')}
+LEFT JOIN tt ON {_on(g, 'sz', 'tt')}
+LEFT JOIN ins ON {_on(g, 'sz', 'ins')}
+"""
+
+
+def theme_summary_sql() -> str:
+    lst = "list_sort(list(average_score))"
+    wmed = f"(({lst})[(count(*) + 1) // 2] + ({lst})[count(*) // 2 + 1]) / 2"
+    return f"""
+WITH s AS ({DOC_VALID}),
+cl AS ({theme_report_sql()}),
+ov AS (SELECT request_id, {_classify(f'round({wmed}, 9)')} AS overall_sentiment
+       FROM (SELECT c.request_id, c.average_score FROM cl c, range(c.size) r) e GROUP BY request_id),
+tot AS (SELECT request_id, count(*) AS total_sentences FROM s GROUP BY ALL),
+fnd AS (SELECT request_id, count(*) AS clusters_found FROM cl GROUP BY ALL)
+SELECT tot.request_id, tot.total_sentences, coalesce(fnd.clusters_found, 0) AS clusters_found,
+       CAST(0 AS BIGINT) AS unclustered, coalesce(ov.overall_sentiment, 'neutral') AS overall_sentiment
+FROM tot LEFT JOIN fnd USING (request_id) LEFT JOIN ov USING (request_id)
+"""
+
+
+def theme_comparison_sql() -> str:
+    return f"""
+WITH cl AS (SELECT DISTINCT request_id, dataset, title FROM ({theme_report_sql()}) r),
+per AS (SELECT request_id, title, max(dataset = 'baseline') AS b, max(dataset = 'comparison') AS c
+        FROM cl GROUP BY ALL)
+SELECT request_id,
+       CASE WHEN b AND c THEN 'shared' WHEN b THEN 'baseline_only' ELSE 'comparison_only' END AS kind,
+       title
+FROM per WHERE request_id IN (SELECT request_id FROM cl WHERE dataset = 'comparison')
+"""
+
+
+def joint_sources_sql() -> str:
+    return f"""
+SELECT request_id, theme AS cluster_id,
+       CAST(sum(CASE WHEN dataset = 'baseline' THEN 1 ELSE 0 END) AS BIGINT) AS baseline_count,
+       CAST(sum(CASE WHEN dataset = 'comparison' THEN 1 ELSE 0 END) AS BIGINT) AS comparison_count,
+       round(sum(CASE WHEN dataset = 'baseline' THEN 1 ELSE 0 END)
+             / greatest(sum(CASE WHEN dataset = 'comparison' THEN 1 ELSE 0 END), 1), 6) AS ratio,
+       CASE WHEN sum(CASE WHEN dataset = 'baseline' THEN 1 ELSE 0 END) > 0
+                 AND sum(CASE WHEN dataset = 'comparison' THEN 1 ELSE 0 END) > 0 THEN 'shared'
+            WHEN sum(CASE WHEN dataset = 'baseline' THEN 1 ELSE 0 END) > 0 THEN 'baseline_only'
+            ELSE 'comparison_only' END AS kind
+FROM ({DOC_VALID}) s GROUP BY request_id, theme
+"""
+
+
+def share_shift_sql() -> str:
+    return f"""
+WITH sc AS ({doc_scores_with_theme_sql()}),
+per AS (SELECT request_id, theme,
+               sum(CASE WHEN dataset = 'baseline' THEN 1 ELSE 0 END) AS xb,
+               sum(CASE WHEN dataset = 'comparison' THEN 1 ELSE 0 END) AS xc,
+               avg(CASE WHEN dataset = 'baseline' THEN compound END) AS mb,
+               avg(CASE WHEN dataset = 'comparison' THEN compound END) AS mc
+        FROM sc GROUP BY ALL),
+tot AS (SELECT request_id, sum(CASE WHEN dataset = 'baseline' THEN 1 ELSE 0 END) AS nb,
+               sum(CASE WHEN dataset = 'comparison' THEN 1 ELSE 0 END) AS nc FROM sc GROUP BY ALL),
+j AS (SELECT per.*, tot.nb, tot.nc, xb / nb AS pb, xc / nc AS pc, (xb + xc) / (nb + nc) AS pp
+      FROM per JOIN tot USING (request_id))
+SELECT request_id, theme AS cluster_id, round(pb * 100, 3) AS baseline_share_pct,
+       round(pc * 100, 3) AS comparison_share_pct, round((pc - pb) * 100, 3) AS share_shift_pct,
+       round(CASE WHEN sqrt(pp * (1 - pp) * (1 / nb + 1 / nc)) > 0
+                  THEN (pc - pb) / sqrt(pp * (1 - pp) * (1 / nb + 1 / nc)) END, 4) AS z,
+       round(mc - mb, 4) AS sentiment_shift
+FROM j
+"""
+
+
+ORACLE.update({
+    "theme_report": theme_report_sql(),
+    "theme_summary": theme_summary_sql(),
+    "theme_comparison": theme_comparison_sql(),
+    "joint_sources": joint_sources_sql(),
+    "share_shift": share_shift_sql(),
+})

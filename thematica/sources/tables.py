@@ -3,8 +3,8 @@
 The synthetic tables stand in for feedback:
 
 * ``documents``: each line of ``text`` is a sentence, ``source`` is the
-  request (survey), even ``doc_id`` -> baseline, odd -> comparison, and
-  ``lang`` is a given theme label.
+  request (survey), documents of even length (``n_chars``) are the
+  baseline and the others the comparison, and ``lang`` is a given theme.
 * ``conversations``: each conversation is a small request, user turns are
   the baseline and assistant turns the comparison.
 * ``embeddings``: vectors with a given label per row (label 0 stands for
@@ -24,12 +24,12 @@ LINE_STRIDE = 1_000_000
 
 
 def documents_to_sentences(docs: DataFrame, with_theme: bool = True) -> DataFrame:
-    lines = docs.select("doc_id", "source", "lang",
+    lines = docs.select("doc_id", "source", "lang", "n_chars",
                         F.posexplode(F.split("text", "\n")).alias("line_no", "sentence"))
     cols = [
         F.col("source").alias("request_id"),
-        F.when(F.col("doc_id") % 2 == 0, F.lit("baseline")).otherwise(F.lit("comparison"))
-        .alias("dataset"),
+        F.when(F.coalesce(F.col("n_chars"), F.lit(0)) % 2 == 0, F.lit("baseline"))
+        .otherwise(F.lit("comparison")).alias("dataset"),
         (F.col("doc_id") * LINE_STRIDE + F.col("line_no")).cast("long").alias("pos"),
         F.concat_ws("-", F.col("doc_id").cast("string"), F.col("line_no").cast("string"))
         .alias("id"),
