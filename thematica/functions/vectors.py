@@ -9,19 +9,19 @@ from .text import col_
 
 
 def dot(a, b) -> Column:
-    return F.aggregate(F.zip_with(col_(a), col_(b), lambda x, y: x * y),
+    return F.aggregate(F.zip_with(col_(a), col_(b), lambda x, y: x.cast("double") * y.cast("double")),
                        F.lit(0.0).cast("double"), lambda s, z: s + z)
 
 
 def norm2(a) -> Column:
-    return F.sqrt(F.aggregate(F.transform(col_(a), lambda x: x * x),
+    return F.sqrt(F.aggregate(F.transform(col_(a), lambda x: x.cast("double") * x.cast("double")),
                               F.lit(0.0).cast("double"), lambda s, z: s + z))
 
 
 def l2_normalize(a) -> Column:
     """Unit-length vector; the zero vector stays zero."""
     n = norm2(a)
-    return F.transform(col_(a), lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0)))
+    return F.transform(col_(a), lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0)))
 
 
 def cosine(a, b) -> Column:

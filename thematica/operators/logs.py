@@ -1,0 +1,152 @@
+"""Operational metrics over a request/event log (OPS1-OPS10).
+
+The log table is ``events(event_id, ts, user_id, event_type, value, props)``:
+``event_type = 'error'`` marks a failure, ``value`` is the duration and
+``props`` a small JSON document.  No step sorts all rows of one key:
+
+* quantiles are exact, read from a (group, value) histogram;
+* cold starts use per-(user, minute) buckets: only the first event of a
+  bucket can open a new session, so the window runs over buckets, whose
+  count is bounded by time, not by rows;
+* error context windows run per (user, day).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def parse(events: DataFrame) -> DataFrame:
+    """OPS1: typed log rows: error flag, duration, JSON attribute ``k``."""
+    return events.select(
+        "event_id", "ts", "user_id", "event_type",
+        (F.col("event_type") == "error").alias("is_error"),
+        F.col("value").alias("duration"),
+        F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+def select_events(log: DataFrame, user_id=None, type_pattern: str | None = None,
+                  start=None, end=None) -> DataFrame:
+    """OPS2: filter by user, event-type pattern (SQL LIKE) and time range."""
+    cond = F.lit(True)
+    if user_id is not None:
+        cond = cond & (F.col("user_id") == user_id)
+    if type_pattern is not None:
+        cond = cond & F.col("event_type").like(type_pattern)
+    if start is not None:
+        cond = cond & (F.col("ts") >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        cond = cond & (F.col("ts") < F.lit(end).cast("timestamp"))
+    return log.where(cond)
+
+
+def counts(log: DataFrame, group=("event_type",)) -> DataFrame:
+    """OPS3: request counts."""
+    return log.groupBy(*group).agg(F.count(F.lit(1)).alias("requests"))
+
+
+def error_rate(log: DataFrame, group=()) -> DataFrame:
+    """OPS4: error rate in percent (per day by default)."""
+    g = list(group) or [F.to_date("ts").alias("day")]
+    return log.groupBy(*g).agg(
+        F.count(F.lit(1)).alias("requests"),
+        F.sum(F.col("is_error").cast("long")).alias("errors"),
+        F.round(F.avg(F.col("is_error").cast("double")) * 100, 4).alias("error_rate_pct"))
+
+
+def slowest(log: DataFrame, n: int = 20) -> DataFrame:
+    """OPS5 (sorted durations): the ``n`` slowest events, a top-n report."""
+    w = Window.orderBy(F.col("duration").desc(), F.col("event_id"))
+    return log.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n) \
+        .select("rank", "event_id", "ts", "user_id", "event_type", "duration")
+
+
+def duration_stats(log: DataFrame, group=("event_type",)) -> DataFrame:
+    """OPS5 (average) + OPS8: mean, max and exact p50/p95/p99 per group."""
+    group = list(group)
+    base = log.groupBy(*group).agg(F.count(F.lit(1)).alias("n"),
+                                   F.round(F.avg("duration"), 6).alias("avg_duration"),
+                                   F.max("duration").alias("max_duration"))
+    q = exact_quantiles(log, group, "duration", (0.5, 0.95, 0.99))
+    return base.join(q, group)
+
+
+def exact_quantiles(df: DataFrame, group: list[str], value: str, probs) -> DataFrame:
+    """Continuous quantiles (linear interpolation) from a value histogram.
+
+    The histogram has one row per distinct value of a group, so the window
+    that accumulates counts holds distinct values, not rows.
+    """
+    hist = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    hist = hist.withColumn("_cum", F.sum("_c").over(w)).withColumn(
+        "_n", F.sum("_c").over(Window.partitionBy(*group)))
+    aggs, cols = [], []
+    for p in probs:
+        tag = int(round(p * 100))
+        h = (F.col("_n") - 1) * p
+        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
+        aggs += [F.min(F.when(F.col("_cum") >= lo, F.col(value))).alias(f"_lo{tag}"),
+                 F.min(F.when(F.col("_cum") >= hi, F.col(value))).alias(f"_hi{tag}"),
+                 F.max(h - F.floor(h)).alias(f"_f{tag}")]
+        cols.append(F.round(F.col(f"_lo{tag}") + (F.col(f"_hi{tag}") - F.col(f"_lo{tag}"))
+                            * F.col(f"_f{tag}"), 6).alias(f"p{tag}"))
+    out = hist.groupBy(*group).agg(*aggs)
+    return out.select(*group, *cols)
+
+
+def alarms(stats: DataFrame, rate: DataFrame, error_pct: float = 5.0, p95_limit: float = 10.0):
+    """OPS8 flags: error rate over 5 %, p95 over the limit."""
+    return (rate.select(*[c for c in rate.columns], (F.col("error_rate_pct") > error_pct)
+                        .alias("error_alarm")),
+            stats.withColumn("latency_alarm", F.col("p95") > p95_limit))
+
+
+def cold_warm(log: DataFrame, gap_minutes: int = 15) -> DataFrame:
+    """OPS6: events that open a session (no event of the same user in the
+    previous ``gap_minutes``) are cold, the rest warm.
+
+    Within a one-minute bucket every later event is warm, so only bucket
+    starts are tested, against the previous bucket's last event.
+    """
+    b = log.groupBy("user_id", F.date_trunc("minute", "ts").alias("_b")).agg(
+        F.min("ts").alias("_first"), F.max("ts").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("user_id").orderBy("_b")
+    prev = F.lag("_last").over(w)
+    gap = F.timestamp_diff("MICROSECOND", prev, F.col("_first"))
+    cold = prev.isNull() | (gap > gap_minutes * 60 * 1_000_000)
+    b = b.withColumn("_cold", cold.cast("long"))
+    return b.agg(F.sum("_cold").alias("cold"), (F.sum("_n") - F.sum("_cold")).alias("warm"))
+
+
+def error_context(log: DataFrame, lines: int = 5) -> DataFrame:
+    """OPS7: events within ``lines`` events of an error, per (user, day)."""
+    w = (Window.partitionBy("user_id", F.to_date("ts")).orderBy("ts", "event_id")
+         .rowsBetween(-lines, lines))
+    return (log.withColumn("_near", F.max(F.col("is_error").cast("int")).over(w))
+            .where(F.col("_near") == 1).drop("_near"))
+
+
+def five_minute_bins(log: DataFrame, minutes: int = 5) -> DataFrame:
+    """OPS10: average and maximum duration, average ``k`` per time bin."""
+    return log.groupBy(F.window("ts", f"{minutes} minutes").alias("w")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.avg("duration"), 6).alias("avg_duration"),
+        F.max("duration").alias("max_duration"),
+        F.round(F.avg("k"), 6).alias("avg_k")).select(
+        F.col("w.start").alias("bin_start"), "n", "avg_duration", "max_duration", "avg_k")
+
+
+def analysis_metrics(assignments: DataFrame, cluster_col: str = "cluster_id") -> DataFrame:
+    """OPS9: sentences processed, clusters, average size, unclustered ratio."""
+    noise = F.col(cluster_col).cast("string") == "-1"
+    per = assignments.groupBy("request_id").agg(
+        F.count(F.lit(1)).alias("sentences"),
+        F.count_distinct(F.when(~noise, F.col(cluster_col))).alias("clusters"),
+        F.sum(noise.cast("long")).alias("_noise"))
+    return per.select("request_id", "sentences", "clusters",
+                      F.round(F.when(F.col("clusters") > 0,
+                                     (F.col("sentences") - F.col("_noise")) / F.col("clusters")), 6)
+                      .alias("avg_cluster_size"),
+                      F.round(F.col("_noise") / F.col("sentences"), 6).alias("unclustered_ratio"))

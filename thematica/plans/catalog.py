@@ -9,11 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.vectors import cosine, norm2
+from ..operators import clustering as CL
+from ..operators import embedding as E
 from ..operators import insights as I
+from ..operators import logs as L
 from ..operators import keywords as K
 from ..operators import report as R
 from ..operators import sentiment as S
 from ..operators.validation import Limits, keep_first, violations
+from ..session import materialize, read_table, spread
+from ..sources.tables import embeddings_as_vectors
+from .analyze import analyze
 from .inputs import conv_sentences, doc_aspects, doc_lexicon, doc_lines, doc_sentences
 
 SCORE_COLS = ["request_id", "dataset", "pos", "id", "neg_score", "neu_score", "pos_score",
@@ -23,7 +30,7 @@ CONV_KEY = ["request_id", "dataset", "cluster_id"]
 
 
 def scored_doc_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.score_sentences(doc_sentences(spark, sf_dir), doc_lexicon(spark))
+    return materialize(S.score_sentences(doc_sentences(spark, sf_dir), doc_lexicon(spark)))
 
 
 # -- sources and validation -------------------------------------------------
@@ -114,7 +121,7 @@ def q_titles(spark, sf_dir):
 
 def theme_insights(spark, sf_dir):
     s = doc_sentences(spark, sf_dir)
-    scored = S.score_sentences(s, doc_lexicon(spark))
+    scored = materialize(S.score_sentences(s, doc_lexicon(spark)))
     sent = S.cluster_sentiment(scored, THEME_KEY)
     kw_lists = K.keyword_lists(K.keywords(s, THEME_KEY), THEME_KEY)
     sizes = K.cluster_sizes(s, THEME_KEY)
@@ -143,9 +150,9 @@ QUERIES.update({
 def theme_parts(spark, sf_dir):
     """Sentences, scores, cluster rows and assignments with ``theme`` as cluster."""
     s = doc_sentences(spark, sf_dir)
-    scored = S.score_sentences(s, doc_lexicon(spark))
+    scored = materialize(S.score_sentences(s, doc_lexicon(spark)))
     sent = S.cluster_sentiment(scored, THEME_KEY)
-    kw = K.keywords(s, THEME_KEY)
+    kw = materialize(K.keywords(s, THEME_KEY))
     themes = K.titles(s, kw, THEME_KEY)
     kw_lists = themes.select(*THEME_KEY, "keywords")
     sizes = K.cluster_sizes(s, THEME_KEY)
@@ -200,3 +207,193 @@ QUERIES.update({
     "joint_sources": q_joint_sources,
     "share_shift": q_share_shift,
 })
+
+
+# -- operational metrics over the event log --------------------------------------
+
+def _log(spark, sf_dir):
+    # Days and bins are UTC calendar units; the log's timestamps are UTC.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return L.parse(spread(read_table(spark, sf_dir, "events"), "event_id"))
+
+
+def q_log_counts(spark, sf_dir):
+    """OPS1-OPS3: parsed log, filtered to one month, counts per event type."""
+    log = L.select_events(_log(spark, sf_dir), start="2024-01-01", end="2024-02-01")
+    return L.counts(log)
+
+
+def q_log_error_rate(spark, sf_dir):
+    """OPS4: error rate per day."""
+    return L.error_rate(_log(spark, sf_dir))
+
+
+def q_log_duration_stats(spark, sf_dir):
+    """OPS5, OPS8: average, max and exact p50/p95/p99 duration per event type."""
+    return L.duration_stats(_log(spark, sf_dir))
+
+
+def q_log_slowest(spark, sf_dir):
+    """OPS5: the 20 slowest events (a top-n report)."""
+    return L.slowest(_log(spark, sf_dir), 20)
+
+
+def q_log_cold_warm(spark, sf_dir):
+    """OPS6: session-opening (cold) versus warm events, 15-minute gap."""
+    return L.cold_warm(_log(spark, sf_dir))
+
+
+def q_log_error_context(spark, sf_dir):
+    """OPS7: events within five events of an error (per user and day)."""
+    return L.error_context(_log(spark, sf_dir)).select("event_id", "user_id", "event_type")
+
+
+def q_log_bins(spark, sf_dir):
+    """OPS10: 5-minute bins of average/max duration and average k."""
+    return L.five_minute_bins(_log(spark, sf_dir))
+
+
+def q_analysis_metrics(spark, sf_dir):
+    """OPS9: sentences, clusters, average cluster size, unclustered ratio."""
+    a = doc_sentences(spark, sf_dir).select("request_id", "dataset", "pos",
+                                            F.col("theme").alias("cluster_id"))
+    return L.analysis_metrics(a)
+
+
+# -- vectors and clustering on the embeddings table (given labels) --------------
+
+EMB_DIM = 64
+
+
+def _vectors(spark, sf_dir):
+    return embeddings_as_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def q_emb_normalize(spark, sf_dir):
+    """EMB2: unit-length vectors, one row per (vector, dimension)."""
+    v = E.normalize(_vectors(spark, sf_dir))
+    return v.select(F.col("vec_id") if "vec_id" in v.columns else F.col("pos").alias("vec_id"),
+                    F.posexplode("embedding").alias("i", "value")).select(
+        "vec_id", "i", F.round("value", 6).alias("value"))
+
+
+def q_emb_dimensions(spark, sf_dir):
+    """EMB4: per dataset rows, dimension range, rows of the wrong size."""
+    return E.dimension_check(_vectors(spark, sf_dir), EMB_DIM)
+
+
+def q_emb_cosine_centroid(spark, sf_dir):
+    """EMB5: cosine similarity of each vector to its label's centroid."""
+    v = _vectors(spark, sf_dir)
+    c = E.centroids(v, ["given_label"], EMB_DIM)
+    return v.join(c, "given_label").select(
+        F.col("pos").alias("vec_id"), "given_label",
+        F.round(cosine("embedding", "centroid"), 6).alias("cosine"))
+
+
+def q_cluster_stats_given(spark, sf_dir):
+    """CLU6-CLU8: stats, squared-Euclidean silhouette and the acceptance gate."""
+    v = _vectors(spark, sf_dir)
+    pts = CL.array_points(v, EMB_DIM)
+    lab = v.select("request_id", "dataset", "pos", F.col("given_label").alias("cluster_id"))
+    st = CL.cluster_stats(lab)
+    q = CL.silhouette(pts, lab, EMB_DIM)
+    j = st.join(q, ["request_id", "dataset"])
+    return j.select("request_id", "dataset", "n", "n_clusters", "noise_count",
+                    F.round("noise_ratio", 6).alias("noise_ratio"),
+                    F.round("quality", 6).alias("quality"), CL.accepted(j).alias("accepted"))
+
+
+def q_cluster_params(spark, sf_dir):
+    """CLU1, CLU3, CLU4, CLU9: adaptive sizes and k range per dataset."""
+    docs = doc_sentences(spark, sf_dir)
+    convs = conv_sentences(spark, sf_dir)
+    both = docs.select("request_id", "dataset", "pos").unionByName(
+        convs.select("request_id", "dataset", "pos"))
+    return CL.cluster_params(both)
+
+
+def q_noise_reassign_given(spark, sf_dir):
+    """CLU11: noise vectors take the label of the nearest cluster centroid."""
+    v = _vectors(spark, sf_dir)
+    pts = CL.array_points(v, EMB_DIM)
+    lab = v.select("request_id", "dataset", "pos", F.col("given_label").alias("cluster_id"))
+    out = CL.reassign_noise(pts, lab, EMB_DIM)
+    noise = lab.where("cluster_id = -1").select("request_id", "dataset", "pos")
+    return out.join(noise, ["request_id", "dataset", "pos"]).select(
+        F.col("pos").alias("vec_id"), "cluster_id")
+
+
+def q_small_cluster_merge(spark, sf_dir):
+    """CLU12: clusters past the 5 largest (or under 3 rows) become 'Other' (-2)."""
+    v = _vectors(spark, sf_dir)
+    lab = v.select("request_id", "dataset", "pos", F.col("given_label").alias("cluster_id"))
+    return CL.merge_small_clusters(lab, min_size=3, max_clusters=5).select(
+        F.col("pos").alias("vec_id"), "cluster_id")
+
+
+def q_rand_index_labels(spark, sf_dir):
+    """CLU16: Rand index between two labelings (quality vs toxic flags)."""
+    lab = read_table(spark, sf_dir, "labels").withColumn("g", F.lit("labels"))
+    a = lab.select("g", "doc_id", F.col("quality").alias("label_a"))
+    b = lab.select("g", "doc_id", F.col("toxic").alias("label_b"))
+    return CL.rand_index(a, b, ["doc_id"], ["g"])
+
+
+# -- rows-only: model fits and the full pipeline ---------------------------------
+
+def q_analysis_pipeline(spark, sf_dir):
+    """End to end: validate, embed, reduce, k-means, score, keywords, report."""
+    out = analyze(doc_sentences(spark, sf_dir), doc_lexicon(spark))
+    return out["clusters"].select(
+        "request_id", "dataset", "cluster_id", "id", "title", "size", "overall", "average_score",
+        F.array_join("keywords", "|").alias("keywords"),
+        F.array_join("key_insights", " | ").alias("key_insights"), "rank")
+
+
+def q_kmeans_embeddings(spark, sf_dir):
+    """CLU2, CLU9, CLU10: PCA(5) then k-means with k search on the vectors."""
+    v = _vectors(spark, sf_dir)
+    pts = CL.reduce_pca(v, EMB_DIM, 5)
+    assign, quality = CL.kmeans_cluster(pts, 5)
+    return assign.join(quality.select("request_id", "dataset", "n_clusters", "quality"),
+                       ["request_id", "dataset"]).select(
+        F.col("pos").alias("vec_id"), "cluster_id", "n_clusters", "quality")
+
+
+def q_bisecting_subclusters(spark, sf_dir):
+    """CLU15: themes and sub-themes with bisecting k-means."""
+    v = _vectors(spark, sf_dir)
+    pts = CL.reduce_pca(v, EMB_DIM, 5)
+    return CL.bisecting_subclusters(pts, 5).select(F.col("pos").alias("vec_id"), "top", "sub")
+
+
+def q_embed_sentences(spark, sf_dir):
+    """EMB1, EMB6: hashed TF-IDF vectors, each distinct sentence encoded once."""
+    v = E.embed(doc_sentences(spark, sf_dir))
+    return v.select("request_id", "dataset", "pos", F.size("embedding").alias("dim"),
+                    F.round(norm2("embedding"), 6).alias("norm"))
+
+
+QUERIES.update({
+    "log_counts": q_log_counts,
+    "log_error_rate": q_log_error_rate,
+    "log_duration_stats": q_log_duration_stats,
+    "log_slowest": q_log_slowest,
+    "log_cold_warm": q_log_cold_warm,
+    "log_error_context": q_log_error_context,
+    "log_bins": q_log_bins,
+    "analysis_metrics": q_analysis_metrics,
+    "emb_normalize": q_emb_normalize,
+    "emb_dimensions": q_emb_dimensions,
+    "emb_cosine_centroid": q_emb_cosine_centroid,
+    "cluster_stats_given": q_cluster_stats_given,
+    "cluster_params": q_cluster_params,
+    "noise_reassign_given": q_noise_reassign_given,
+    "small_cluster_merge": q_small_cluster_merge,
+    "rand_index_labels": q_rand_index_labels,
+    "analysis_pipeline": q_analysis_pipeline,
+    "kmeans_embeddings": q_kmeans_embeddings,
+    "bisecting_subclusters": q_bisecting_subclusters,
+    "embed_sentences": q_embed_sentences,
+})

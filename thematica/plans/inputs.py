@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..constants import STARTER_LEXICON
 from ..operators.validation import Limits, validate
-from ..session import read_table, spread
+from ..session import materialize, read_table, spread
 from ..sources.tables import conversations_to_sentences, documents_to_sentences
 
 # ---------------------------------------------------------------------------
@@ -52,11 +52,11 @@ def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def doc_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid (stripped, non-empty) document lines, corpus limits (no caps)."""
     valid, _ = validate(doc_lines(spark, sf_dir), limits=Limits.corpus(), strict=False)
-    return valid
+    return materialize(valid)
 
 
 def conv_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     convs = spread(read_table(spark, sf_dir, "conversations"), "conv_id")
     valid, _ = validate(conversations_to_sentences(convs),
                         limits=Limits.corpus(), strict=False)
-    return valid
+    return materialize(valid)

@@ -626,3 +626,160 @@ ORACLE.update({
     "joint_sources": joint_sources_sql(),
     "share_shift": share_shift_sql(),
 })
+
+
+# -- operational metrics --------------------------------------------------------
+
+LOG = """
+SELECT event_id, ts, user_id, event_type, event_type = 'error' AS is_error, value AS duration,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+FROM events
+"""
+
+
+def _log_sql() -> dict[str, str]:
+    return {
+        "log_counts": f"""
+SELECT event_type, count(*) AS requests FROM ({LOG}) l
+WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01' GROUP BY event_type""",
+        "log_error_rate": f"""
+SELECT CAST(ts AS DATE) AS day, count(*) AS requests,
+       CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS errors,
+       {dround('avg(CASE WHEN is_error THEN 1.0 ELSE 0.0 END) * 100', 4)} AS error_rate_pct
+FROM ({LOG}) l GROUP BY 1""",
+        "log_duration_stats": f"""
+SELECT event_type, count(*) AS n, {dround('avg(duration)', 6)} AS avg_duration,
+       max(duration) AS max_duration,
+       {dround('quantile_cont(duration, 0.5)', 6)} AS p50,
+       {dround('quantile_cont(duration, 0.95)', 6)} AS p95,
+       {dround('quantile_cont(duration, 0.99)', 6)} AS p99
+FROM ({LOG}) l GROUP BY event_type""",
+        "log_slowest": f"""
+SELECT * FROM (
+  SELECT CAST(row_number() OVER (ORDER BY duration DESC, event_id) AS INTEGER) AS rank,
+         event_id, ts, user_id, event_type, duration FROM ({LOG}) l) x
+WHERE rank <= 20""",
+        "log_cold_warm": f"""
+WITH g AS (SELECT ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM ({LOG}) l)
+SELECT CAST(sum(CASE WHEN prev IS NULL OR ts - prev > INTERVAL 15 MINUTE THEN 1 ELSE 0 END) AS BIGINT)
+         AS cold,
+       CAST(sum(CASE WHEN prev IS NULL OR ts - prev > INTERVAL 15 MINUTE THEN 0 ELSE 1 END) AS BIGINT)
+         AS warm
+FROM g""",
+        "log_error_context": f"""
+SELECT event_id, user_id, event_type FROM (
+  SELECT *, max(CASE WHEN is_error THEN 1 ELSE 0 END) OVER (
+           PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id
+           ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS near
+  FROM ({LOG}) l) x
+WHERE near = 1""",
+        "log_bins": f"""
+SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS bin_start, count(*) AS n,
+       {dround('avg(duration)', 6)} AS avg_duration, max(duration) AS max_duration,
+       {dround('avg(k)', 6)} AS avg_k
+FROM ({LOG}) l GROUP BY 1""",
+        "analysis_metrics": f"""
+SELECT request_id, count(*) AS sentences, count(DISTINCT theme) AS clusters,
+       {dround('count(*) / count(DISTINCT theme)', 6)} AS avg_cluster_size,
+       CAST(0.0 AS DOUBLE) AS unclustered_ratio
+FROM ({DOC_VALID}) s GROUP BY request_id""",
+    }
+
+
+# -- vectors and clustering on given labels ---------------------------------------
+
+VEC = """
+SELECT vec_id, embedding, CASE WHEN label = 0 THEN -1 ELSE label END AS given_label FROM embeddings
+"""
+VEC_DIMS = f"""
+SELECT v.vec_id, v.given_label, u.i - 1 AS i, CAST(u.x AS DOUBLE) AS x
+FROM ({VEC}) v, unnest(v.embedding) WITH ORDINALITY AS u(x, i)
+"""
+
+
+def _vec_sql() -> dict[str, str]:
+    cent = f"SELECT given_label, i, avg(x) AS c FROM ({VEC_DIMS}) d GROUP BY ALL"
+    sil = f"""
+WITH p AS (SELECT * FROM ({VEC_DIMS}) d WHERE given_label <> -1),
+pn AS (SELECT vec_id, given_label, sum(x * x) AS q FROM p GROUP BY ALL),
+cs AS (SELECT given_label AS b, count(*) AS m, sum(q) AS qq FROM pn GROUP BY ALL),
+sv AS (SELECT given_label AS b, i, sum(x) AS s FROM p GROUP BY ALL),
+dt AS (SELECT p.vec_id, sv.b, sum(p.x * sv.s) AS dot FROM p JOIN sv ON p.i = sv.i GROUP BY ALL),
+tot AS (SELECT pn.vec_id, pn.given_label AS a, cs.b, cs.m, cs.m * pn.q - 2 * dt.dot + cs.qq AS t
+        FROM pn JOIN dt ON pn.vec_id = dt.vec_id JOIN cs ON cs.b = dt.b),
+per AS (SELECT vec_id, max(CASE WHEN a = b THEN m END) AS ma, max(CASE WHEN a = b THEN t END) AS ta,
+               min(CASE WHEN a <> b THEN t / m END) AS bb FROM tot GROUP BY vec_id),
+s AS (SELECT CASE WHEN ma <= 1 THEN 0.0 ELSE
+               CASE WHEN greatest(greatest(ta, 0) / (ma - 1), greatest(bb, 0)) > 0
+                    THEN (greatest(bb, 0) - greatest(ta, 0) / (ma - 1))
+                         / greatest(greatest(ta, 0) / (ma - 1), greatest(bb, 0))
+                    ELSE 0.0 END END AS s FROM per)
+SELECT CASE WHEN (SELECT count(*) FROM cs) < 2 OR (SELECT sum(m) FROM cs) < 2 THEN -1.0
+            ELSE (SELECT avg(s) FROM s) END AS quality"""
+    return {
+        "emb_normalize": f"""
+SELECT v.vec_id, u.i - 1 AS i,
+       {dround('CAST(u.x AS DOUBLE) / sqrt(list_reduce(list_transform(v.embedding, lambda e: CAST(e AS DOUBLE) * CAST(e AS DOUBLE)), lambda a, b: a + b))', 6)} AS value
+FROM embeddings v, unnest(v.embedding) WITH ORDINALITY AS u(x, i)""",
+        "emb_dimensions": f"""
+SELECT 'corpus' AS request_id, 'baseline' AS dataset, count(*) AS n,
+       min(len(embedding)) AS dim_min, max(len(embedding)) AS dim_max,
+       CAST(sum(CASE WHEN len(embedding) <> 64 THEN 1 ELSE 0 END) AS BIGINT) AS n_bad,
+       CAST(sum(CASE WHEN list_sum(list_transform(embedding, lambda e: e * e)) = 0 THEN 1 ELSE 0 END)
+            AS BIGINT) AS n_zero
+FROM embeddings""",
+        "emb_cosine_centroid": f"""
+WITH c AS ({cent}), d AS ({VEC_DIMS}),
+j AS (SELECT d.vec_id, d.given_label, sum(d.x * c.c) AS dot, sum(d.x * d.x) AS nx, sum(c.c * c.c) AS nc
+      FROM d JOIN c ON d.given_label = c.given_label AND d.i = c.i GROUP BY ALL)
+SELECT vec_id, given_label,
+       {dround('CASE WHEN sqrt(nx) * sqrt(nc) > 0 THEN dot / (sqrt(nx) * sqrt(nc)) END', 6)} AS cosine
+FROM j""",
+        "cluster_stats_given": f"""
+WITH v AS ({VEC}),
+st AS (SELECT count(DISTINCT CASE WHEN given_label <> -1 THEN given_label END) AS n_clusters,
+              CAST(sum(CASE WHEN given_label = -1 THEN 1 ELSE 0 END) AS BIGINT) AS noise_count,
+              count(*) AS n FROM v),
+q AS ({sil})
+SELECT 'corpus' AS request_id, 'baseline' AS dataset, n, n_clusters, noise_count,
+       {dround('noise_count / n', 6)} AS noise_ratio, {dround('quality', 6)} AS quality,
+       (noise_count / n < {C.NOISE_THRESHOLD} AND n_clusters >= 3 AND n_clusters <= {C.MAX_CLUSTERS}
+        AND quality > 0) AS accepted
+FROM st, q""",
+        "cluster_params": f"""
+WITH s AS (SELECT request_id, dataset FROM ({DOC_VALID}) a UNION ALL
+           SELECT request_id, dataset FROM ({CONV_VALID}) b),
+c AS (SELECT request_id, dataset, count(*) AS n FROM s GROUP BY ALL),
+m AS (SELECT *, CAST(CASE WHEN n < 50 THEN 3 WHEN n < 200 THEN greatest(5, n // 30)
+                          ELSE greatest(10, n // 40) END AS INTEGER) AS min_cluster_size FROM c)
+SELECT request_id, dataset, n, min_cluster_size,
+       CAST(greatest(2, min_cluster_size // 2) AS INTEGER) AS min_samples, 3 AS k_min,
+       CAST(least({C.MAX_CLUSTERS}, n // 2 - 1) AS INTEGER) AS k_max, n < 3 AS too_few
+FROM m""",
+        "noise_reassign_given": f"""
+WITH c AS (SELECT * FROM ({cent}) x WHERE given_label <> -1),
+d AS (SELECT * FROM ({VEC_DIMS}) y WHERE given_label = -1),
+dist AS (SELECT d.vec_id, c.given_label AS cl, sum((d.x - c.c) * (d.x - c.c)) AS dd
+         FROM d JOIN c ON d.i = c.i GROUP BY ALL)
+SELECT vec_id, CAST(arg_min(cl, (dd, cl)) AS INTEGER) AS cluster_id FROM dist GROUP BY vec_id""",
+        "small_cluster_merge": f"""
+WITH v AS ({VEC}),
+sz AS (SELECT given_label, count(*) AS size,
+              row_number() OVER (ORDER BY count(*) DESC, given_label) AS r
+       FROM v WHERE given_label <> -1 GROUP BY given_label)
+SELECT v.vec_id, CAST(CASE WHEN sz.size IS NOT NULL AND (sz.size < 3 OR sz.r > 5) THEN -2
+                           ELSE v.given_label END AS INTEGER) AS cluster_id
+FROM v LEFT JOIN sz ON v.given_label = sz.given_label""",
+        "rand_index_labels": """
+WITH c AS (SELECT quality, toxic, count(*) AS n FROM labels GROUP BY ALL),
+t AS (SELECT sum(n) AS nn, sum(n * (n - 1) / 2) AS sij FROM c),
+a AS (SELECT sum(ca * (ca - 1) / 2) AS sa FROM (SELECT quality, sum(n) AS ca FROM c GROUP BY ALL) x),
+b AS (SELECT sum(cb * (cb - 1) / 2) AS sb FROM (SELECT toxic, sum(n) AS cb FROM c GROUP BY ALL) y)
+SELECT 'labels' AS g, CAST(nn AS BIGINT) AS n,
+       round((nn * (nn - 1) / 2 + 2 * sij - sa - sb) / (nn * (nn - 1) / 2), 6) AS rand_index
+FROM t, a, b""",
+    }
+
+
+ORACLE.update(_log_sql())
+ORACLE.update(_vec_sql())

@@ -87,3 +87,18 @@ def spread(df, *cols):
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(max(target, shuffle_partitions(df)), *cols)
+
+
+def materialize(df):
+    """Reliable checkpoint to the cluster's checkpoint folder, computed once.
+
+    Used at stage boundaries that several later steps read (valid sentences,
+    scores, assignments): the plan is cached so writing the checkpoint does
+    not recompute it, and the returned frame reads the checkpoint files, so
+    later plans stay small and a lost executor never replays earlier stages.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
