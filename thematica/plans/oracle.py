@@ -50,8 +50,12 @@ WHERE {strip('sentence')} <> ''
 
 
 def dround(x: str, n: int) -> str:
-    """Half-up rounding of the decimal value (Spark's ``round`` on doubles)."""
-    return f"CAST(round(CAST({x} AS DECIMAL(38, 10)), {n}) AS DOUBLE)"
+    """Spark's ``round`` on doubles: half-up on the shortest decimal form.
+
+    The double is printed (shortest round-trip digits, as Java prints it),
+    read back as a decimal and rounded there.
+    """
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {n}) AS DOUBLE)"
 
 
 def _sign(v: str) -> str:
