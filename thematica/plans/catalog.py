@@ -16,6 +16,10 @@ from ..operators import insights as I
 from ..operators import logs as L
 from ..operators import keywords as K
 from ..operators import report as R
+from ..operators import validation as VAL
+from ..sources import requests as RQ
+from ..sources import sinks as SK
+from ..streaming import jobs as ST
 from ..operators import sentiment as S
 from ..operators.validation import Limits, keep_first, violations
 from ..session import materialize, read_table, spread
@@ -397,3 +401,100 @@ QUERIES.update({
     "bisecting_subclusters": q_bisecting_subclusters,
     "embed_sentences": q_embed_sentences,
 })
+
+
+# -- request JSON sources and sinks -------------------------------------------
+
+def _doc_request_bodies(spark, sf_dir):
+    """One JSON request body per document: its lines are the baseline."""
+    d = spread(read_table(spark, sf_dir, "documents"), "doc_id")
+    lines = F.split("text", "\n")
+    items = F.transform(lines, lambda l, i: F.struct(
+        l.alias("sentence"),
+        F.concat_ws("-", F.col("doc_id").cast("string"), i.cast("string")).alias("id")))
+    body = F.to_json(F.struct(items.alias("baseline"), F.lit("overview").alias("query"),
+                              F.col("lang").alias("theme")))
+    return d.select(F.col("doc_id").cast("string").alias("request_id"), body.alias("body"))
+
+
+def q_requests_json(spark, sf_dir):
+    """SRC1, SRC3: JSON request bodies parsed and flattened to sentences."""
+    req = RQ.parse_requests(_doc_request_bodies(spark, sf_dir))
+    return RQ.flatten_requests(req)
+
+
+def q_requests_corrupt(spark, sf_dir):
+    """SRC2: bodies that are not JSON objects become ``json_invalid`` rows."""
+    pages = read_table(spark, sf_dir, "pages").select(
+        F.col("page_id").cast("string").alias("request_id"), F.col("html").alias("body"))
+    return VAL.corrupt_violations(RQ.parse_requests(pages))
+
+
+def q_report_json(spark, sf_dir):
+    """SNK1: nested JSON report per validated conversation request."""
+    s = conv_sentences(spark, sf_dir)
+    valid, _ = VAL.validate(s, limits=VAL.Limits(), strict=True)
+    scored = materialize(S.score_sentences(valid, doc_lexicon(spark)))
+    a = scored.select("request_id", "dataset", "pos", F.lit(0).alias("cluster_id"))
+    g = ["request_id", "dataset", "cluster_id"]
+    sc = scored.join(a, ["request_id", "dataset", "pos"])
+    sent = S.cluster_sentiment(sc, g)
+    clustered = valid.join(a, ["request_id", "dataset", "pos"])
+    kw = K.keywords(clustered, g)
+    themes = K.titles(clustered, kw, g)
+    sizes = K.cluster_sizes(clustered, g)
+    totals = valid.groupBy("request_id", "dataset").agg(F.count(F.lit(1)).alias("total"))
+    ins = I.insights(sizes, totals, sent, themes.select(*g, "keywords"), K.phrases(clustered, g),
+                     I.keyword_mentions(clustered, themes.select(*g, "keywords"), g), g)
+    clusters = R.cluster_rows(a, sent, themes, ins)
+    summ = R.summary(valid, a, clusters)
+    flat = R.cluster_sentences(valid, a, scored)
+    return R.nested_report(clusters, flat, summ, R.theme_comparison(clusters))
+
+
+def q_history(spark, sf_dir):
+    """SNK2: append a run of the theme summary to a history table, read back."""
+    import os
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    path = os.path.join(ensure_checkpoint_dir(spark), "history", uuid.uuid4().hex)
+    summary = q_theme_summary(spark, sf_dir)
+    SK.append_history(summary, path, "2024-01-31")
+    return SK.read_history(spark, path, "2024-01-31")
+
+
+# -- streaming --------------------------------------------------------------------
+
+def q_stream_scores(spark, sf_dir):
+    """STR1: streamed documents scored per micro-batch (same rows as batch)."""
+    return ST.score_stream(spark, sf_dir, doc_lexicon(spark)).select(*SCORE_COLS)
+
+
+def q_stream_windows(spark, sf_dir):
+    """STR2: hourly windows per event type under a 10-minute watermark."""
+    return ST.windowed_events(spark, sf_dir)
+
+
+def q_stream_dedupe(spark, sf_dir):
+    """STR3: repeated (user, event type) dropped within a 30-minute watermark."""
+    return ST.dedupe_events(spark, sf_dir).select("event_id", "user_id", "event_type")
+
+
+def q_stream_assign(spark, sf_dir):
+    """STR4: streamed vectors assigned to the nearest given-label centroid."""
+    v = _vectors(spark, sf_dir).where(F.col("given_label") != -1)
+    c = E.centroids(v, ["request_id", "dataset", "given_label"], EMB_DIM).withColumnRenamed(
+        "given_label", "cluster_id")
+    return ST.assign_stream(spark, sf_dir, c).select("vec_id", "cluster_id")
+
+
+QUERIES.update({
+    "requests_json": q_requests_json,
+    "requests_corrupt": q_requests_corrupt,
+    "report_json": q_report_json,
+    "history": q_history,
+    "stream_scores": q_stream_scores,
+    "stream_windows": q_stream_windows,
+    "stream_dedupe": q_stream_dedupe,
+    "stream_assign": q_stream_assign,
+})

@@ -787,3 +787,24 @@ FROM t, a, b""",
 
 ORACLE.update(_log_sql())
 ORACLE.update(_vec_sql())
+
+
+# -- request JSON, streaming twins ------------------------------------------------
+
+ORACLE.update({
+    "requests_json": f"""
+SELECT CAST(d.doc_id AS VARCHAR) AS request_id, 'baseline' AS dataset, CAST(u.i - 1 AS BIGINT) AS pos,
+       CAST(d.doc_id AS VARCHAR) || '-' || CAST(u.i - 1 AS VARCHAR) AS id, u.line AS sentence
+FROM documents d, unnest(string_split(d.text, chr(10))) WITH ORDINALITY AS u(line, i)""",
+    "requests_corrupt": """
+SELECT CAST(page_id AS VARCHAR) AS request_id, 'body' AS field, 'Invalid JSON in request body' AS message,
+       'json_invalid' AS type, 'error' AS severity
+FROM pages WHERE html IS NOT NULL AND (NOT json_valid(html) OR json_type(html) <> 'OBJECT')""",
+    "stream_scores": sentence_scores_sql(),
+    "stream_assign": f"""
+WITH c AS (SELECT * FROM ({VEC_DIMS.replace('FROM (', 'FROM (', 1)}) x),
+cen AS (SELECT given_label, i, avg(x) AS c FROM c WHERE given_label <> -1 GROUP BY ALL),
+dist AS (SELECT c.vec_id, cen.given_label AS cl, sum((c.x - cen.c) * (c.x - cen.c)) AS dd
+         FROM c JOIN cen ON c.i = cen.i GROUP BY ALL)
+SELECT vec_id, CAST(arg_min(cl, (dd, cl)) AS INTEGER) AS cluster_id FROM dist GROUP BY vec_id""",
+})

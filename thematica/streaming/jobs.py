@@ -1,0 +1,125 @@
+"""Structured Streaming jobs (STR1-STR4).
+
+* STR1  sentences arriving as files are validated and scored; each
+        micro-batch runs the batch scorer through ``foreachBatch`` and is
+        appended to a parquet table, so stream and batch give the same rows.
+* STR2  tumbling-window sentiment/duration aggregates with a watermark that
+        bounds late data and state (``approx_percentile`` for the median).
+* STR3  repeated keys dropped within the watermark
+        (``dropDuplicatesWithinWatermark``).
+* STR4  new vectors assigned to existing themes: each micro-batch joins the
+        static centroid table (broadcast after a size check) and keeps the
+        nearest centroid.
+
+Outputs and stream checkpoints live under the session's checkpoint folder
+(``spark.checkpoint.dir``), in a fresh directory per run.
+"""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import sentiment as S
+from ..operators.validation import Limits, validate
+from ..session import ensure_checkpoint_dir, read_table
+from ..sources.tables import documents_to_sentences
+
+CENTROID_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1) -> DataFrame:
+    """A file stream over one parquet table of a folder (schema from the table)."""
+    schema = read_table(spark, sf_dir, name).schema
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+            .parquet(os.path.join(sf_dir, f"{name}*.parquet")))
+
+
+def _run_dir(spark: SparkSession, job: str) -> str:
+    base = ensure_checkpoint_dir(spark)
+    return os.path.join(base, "streams", job, uuid.uuid4().hex)
+
+
+def run_available(stream: DataFrame, job: str, batch_fn=None, output_mode: str = "append") -> DataFrame:
+    """Run a stream over everything available now; return the sink table.
+
+    ``batch_fn(df)`` (optional) turns each micro-batch into output rows with
+    batch operators; otherwise the stream's own rows are appended.
+    """
+    spark = stream.sparkSession
+    out = _run_dir(spark, job)
+    data, ck = os.path.join(out, "data"), os.path.join(out, "checkpoint")
+    if batch_fn is None:
+        q = (stream.writeStream.format("parquet").option("path", data)
+             .option("checkpointLocation", ck).outputMode(output_mode)
+             .trigger(availableNow=True).start())
+    else:
+        def write(df, _epoch):
+            batch_fn(df).write.mode("append").parquet(data)
+        q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(data)
+
+
+def score_stream(spark: SparkSession, sf_dir: str, lexicon: DataFrame) -> DataFrame:
+    """STR1: documents arriving as files -> valid sentences -> scores."""
+    docs = table_stream(spark, sf_dir, "documents")
+
+    def per_batch(df: DataFrame) -> DataFrame:
+        valid, _ = validate(documents_to_sentences(df, with_theme=False),
+                            limits=Limits.corpus(), strict=False)
+        return S.score_sentences(valid, lexicon)
+
+    return run_available(docs, "scores", per_batch)
+
+
+def windowed_events(spark: SparkSession, sf_dir: str, window: str = "1 hour",
+                    delay: str = "10 minutes") -> DataFrame:
+    """STR2: per window and event type: count, mean and approximate median.
+
+    Append mode: a window is emitted once the watermark passes its end, so
+    state stays bounded by the lateness allowance.
+    """
+    ev = table_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    agg = (ev.withWatermark("ts", delay)
+           .groupBy(F.window("ts", window).alias("w"), "event_type")
+           .agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean_value"),
+                F.percentile_approx("value", 0.5).alias("median_value"))
+           .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                   "event_type", "n", "mean_value", "median_value"))
+    return run_available(agg, "windows")
+
+
+def dedupe_events(spark: SparkSession, sf_dir: str, delay: str = "30 minutes",
+                  keys=("user_id", "event_type")) -> DataFrame:
+    """STR3: drop repeats of ``keys`` that arrive within the watermark."""
+    ev = table_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    d = ev.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
+    return run_available(d, "dedupe")
+
+
+def assign_stream(spark: SparkSession, sf_dir: str, centroids: DataFrame) -> DataFrame:
+    """STR4: each arriving vector takes the nearest existing centroid.
+
+    ``centroids`` is (request_id, dataset, cluster_id, centroid) for the
+    themes already found; a vector is compared with the centroids of its own
+    dataset only.  The centroid table is broadcast when its size has been
+    checked, else joined by shuffle.
+    """
+    from ..functions.vectors import sq_distance
+    from ..sources.tables import embeddings_as_vectors
+    key = ["request_id", "dataset"]
+    cen = F.broadcast(centroids) if centroids.count() <= CENTROID_BROADCAST_MAX_ROWS else centroids
+    vec = table_stream(spark, sf_dir, "embeddings")
+
+    def per_batch(df: DataFrame) -> DataFrame:
+        v = embeddings_as_vectors(df).select(*key, F.col("pos").alias("vec_id"), "embedding")
+        d = v.join(cen, key).withColumn("_d", sq_distance("embedding", "centroid"))
+        return d.groupBy(*key, "vec_id").agg(
+            F.min_by("cluster_id", F.struct("_d", "cluster_id")).alias("cluster_id"))
+
+    return run_available(vec, "assign", per_batch)
