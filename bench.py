@@ -32,7 +32,9 @@ HEADLINE = [
     "insights",
     "theme_report",
     "analysis_pipeline",
+    "stream_scores",
     "validation_violations",
+    "log_duration_stats",
 ]
 
 

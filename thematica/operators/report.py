@@ -227,9 +227,10 @@ def trend(scored: DataFrame, ts_col: str, group: list[str], window: str = "1 day
     tot = b.groupBy("bin_start").agg(F.sum("n").alias("_tot"))
     b = b.join(tot, "bin_start").withColumn("share", F.col("n") / F.col("_tot"))
     w = Window.partitionBy(*group).orderBy("bin_start")
-    return b.select("bin_start", *group, "n", F.round("share", 6).alias("share"),
-                    F.round("mean_compound", 6).alias("mean_compound"),
-                    F.round(F.col("share") - F.lag("share").over(w), 6).alias("share_delta"),
+    # Changes are taken between the reported (rounded) values.
+    b = b.select("bin_start", *group, "n", F.round("share", 6).alias("share"),
+                 F.round("mean_compound", 6).alias("mean_compound"))
+    return b.select("*", F.round(F.col("share") - F.lag("share").over(w), 6).alias("share_delta"),
                     F.round(F.col("mean_compound") - F.lag("mean_compound").over(w), 6)
                     .alias("sentiment_delta"))
 

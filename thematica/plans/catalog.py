@@ -16,6 +16,8 @@ from ..operators import insights as I
 from ..operators import logs as L
 from ..operators import keywords as K
 from ..operators import report as R
+from ..operators import topics as TP
+from ..functions.stopwords import stop_word_table
 from ..operators import validation as VAL
 from ..sources import requests as RQ
 from ..sources import sinks as SK
@@ -498,3 +500,80 @@ QUERIES.update({
     "stream_dedupe": q_stream_dedupe,
     "stream_assign": q_stream_assign,
 })
+
+
+# -- comparison extras, topics, per-language keywords, output checks ---------------
+
+def q_aligned_sentences(spark, sf_dir):
+    """CMP2: each joint theme's sentences tagged baseline / comparison."""
+    s = doc_sentences(spark, sf_dir)
+    a = s.select("request_id", "dataset", "pos", F.col("theme").alias("cluster_id"))
+    return R.aligned_sentences(s, a)
+
+
+def _split_vectors(spark, sf_dir):
+    v = _vectors(spark, sf_dir)
+    return v.withColumn("dataset", F.when(F.col("pos") % 2 == 0, F.lit("baseline"))
+                        .otherwise(F.lit("comparison")))
+
+
+def q_centroid_alignment(spark, sf_dir):
+    """CMP5: each comparison theme matched to the most similar baseline theme."""
+    v = _split_vectors(spark, sf_dir)
+    a = v.where(F.col("given_label") != -1).select(
+        "request_id", "dataset", "pos", F.col("given_label").alias("cluster_id"))
+    return R.centroid_alignment(v, a, EMB_DIM)
+
+
+def q_event_trend(spark, sf_dir):
+    """CMP7: per day and event type, share and mean value with day-over-day change."""
+    log = _log(spark, sf_dir).withColumn("compound", F.col("duration"))
+    return R.trend(log, "ts", ["event_type"], "1 day")
+
+
+def q_algorithm_comparison(spark, sf_dir):
+    """CMP8: given labels versus k-means on the same vectors, side by side."""
+    v = _vectors(spark, sf_dir)
+    pts = CL.array_points(v, EMB_DIM)
+    given = v.select("request_id", "dataset", "pos", F.col("given_label").alias("cluster_id"))
+    km, _ = CL.kmeans_cluster(CL.reduce_pca(v, EMB_DIM, 5), 5)
+    rows = []
+    for name, lab in (("given", given), ("kmeans", km)):
+        st = CL.cluster_stats(lab).join(CL.silhouette(pts, lab, EMB_DIM), ["request_id", "dataset"])
+        rows.append(st.select(F.lit(name).alias("algorithm"), "n_clusters", "noise_ratio",
+                              F.round("quality", 6).alias("quality")))
+    ri = CL.rand_index(given.withColumnRenamed("cluster_id", "label_a"),
+                       km.withColumnRenamed("cluster_id", "label_b"), ["pos"], ["request_id", "dataset"])
+    # One number for the pair of labelings, attached to both rows.
+    return rows[0].unionByName(rows[1]).withColumn("rand_index_vs_given",
+                                                   F.lit(ri.first().rand_index))
+
+
+def q_lda_topics(spark, sf_dir):
+    """KEY13: LDA topics over all document sentences (top terms per topic)."""
+    topics, _ = TP.lda_topics(doc_sentences(spark, sf_dir).select("request_id", "pos", "sentence"))
+    return topics.select("topic", F.array_join("terms", "|").alias("terms"))
+
+
+def q_keywords_by_language(spark, sf_dir):
+    """KEY14: keywords with each sentence's own language stop words."""
+    s = doc_sentences(spark, sf_dir).withColumn("lang", F.col("theme"))
+    return K.keywords_per_language(s, stop_word_table(spark), THEME_KEY)
+
+
+def q_output_checks(spark, sf_dir):
+    """VAL10: range checks on report outputs (no rows when all is in range)."""
+    s, _, assignments, clusters = theme_parts(spark, sf_dir)
+    a = assignments.select("request_id", "dataset", "pos", F.lit(0).alias("cluster_id"))
+    return R.output_checks(clusters, R.summary(s, a, clusters))
+
+
+QUERIES.update({
+    "aligned_sentences": q_aligned_sentences,
+    "centroid_alignment": q_centroid_alignment,
+    "event_trend": q_event_trend,
+    "algorithm_comparison": q_algorithm_comparison,
+    "lda_topics": q_lda_topics,
+    "keywords_by_language": q_keywords_by_language,
+    "output_checks": q_output_checks,
+})

@@ -808,3 +808,35 @@ dist AS (SELECT c.vec_id, cen.given_label AS cl, sum((c.x - cen.c) * (c.x - cen.
          FROM c JOIN cen ON c.i = cen.i GROUP BY ALL)
 SELECT vec_id, CAST(arg_min(cl, (dd, cl)) AS INTEGER) AS cluster_id FROM dist GROUP BY vec_id""",
 })
+
+
+ORACLE.update({
+    "aligned_sentences": f"""
+SELECT request_id, theme AS cluster_id, dataset, pos, id, sentence FROM ({DOC_VALID}) s""",
+    "centroid_alignment": f"""
+WITH d AS (SELECT vec_id, given_label, i, x,
+                  CASE WHEN vec_id % 2 = 0 THEN 'baseline' ELSE 'comparison' END AS dataset
+           FROM ({VEC_DIMS}) z WHERE given_label <> -1),
+c AS (SELECT dataset, given_label AS cl, i, avg(x) AS c FROM d GROUP BY ALL),
+p AS (SELECT cc.cl AS comparison_cluster, bb.cl AS baseline_cluster,
+             sum(cc.c * bb.c) AS dot, sum(cc.c * cc.c) AS nc, sum(bb.c * bb.c) AS nb
+      FROM c cc JOIN c bb ON cc.i = bb.i AND cc.dataset = 'comparison' AND bb.dataset = 'baseline'
+      GROUP BY ALL),
+s AS (SELECT comparison_cluster, baseline_cluster,
+             {dround('CASE WHEN sqrt(nc) * sqrt(nb) > 0 THEN dot / (sqrt(nc) * sqrt(nb)) END', 6)} AS similarity
+      FROM p)
+SELECT 'corpus' AS request_id, comparison_cluster, baseline_cluster, similarity FROM (
+  SELECT *, row_number() OVER (PARTITION BY comparison_cluster ORDER BY similarity DESC, baseline_cluster) AS r
+  FROM s) x WHERE r = 1""",
+    "event_trend": f"""
+WITH b AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS bin_start, event_type, count(*) AS n,
+                  avg(duration) AS m FROM ({LOG}) l GROUP BY ALL),
+t AS (SELECT bin_start, sum(n) AS tot FROM b GROUP BY ALL),
+j AS (SELECT b.bin_start, b.event_type, b.n, {dround('b.n / t.tot', 6)} AS share,
+             {dround('b.m', 6)} AS mean_compound FROM b JOIN t USING (bin_start))
+SELECT bin_start, event_type, n, share, mean_compound,
+       {dround('share - lag(share) OVER (PARTITION BY event_type ORDER BY bin_start)', 6)} AS share_delta,
+       {dround('mean_compound - lag(mean_compound) OVER (PARTITION BY event_type ORDER BY bin_start)', 6)}
+         AS sentiment_delta
+FROM j""",
+})
