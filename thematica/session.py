@@ -83,8 +83,11 @@ def spread(df, *cols):
     is; a small file (one row group) is hash-partitioned by ``cols`` so the
     CPU-heavy text work that follows runs on every core.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD view (e.g. a Connect session): leave the input as is
         return df
     return df.repartition(max(target, shuffle_partitions(df)), *cols)
 
