@@ -577,3 +577,23 @@ QUERIES.update({
     "keywords_by_language": q_keywords_by_language,
     "output_checks": q_output_checks,
 })
+
+
+def q_density_clusters(spark, sf_dir):
+    """CLU5: grid-density clustering with noise on PCA(5) of the vectors."""
+    v = _vectors(spark, sf_dir)
+    pts = CL.reduce_pca(v, EMB_DIM, 5)
+    return CL.density_cluster(pts, 5, eps_factor=0.35).select(F.col("pos").alias("vec_id"), "cluster_id")
+
+
+def q_cluster_gate(spark, sf_dir):
+    """CLU1-CLU11: density attempt, gate, k-means fallback on the vectors."""
+    v = _vectors(spark, sf_dir)
+    _, quality = CL.cluster(CL.reduce_pca(v, EMB_DIM, 5), 5)
+    return quality
+
+
+QUERIES.update({
+    "density_clusters": q_density_clusters,
+    "cluster_gate": q_cluster_gate,
+})
