@@ -722,12 +722,12 @@ SELECT CASE WHEN (SELECT count(*) FROM cs) < 2 OR (SELECT sum(m) FROM cs) < 2 TH
             ELSE (SELECT avg(s) FROM s) END AS quality"""
     return {
         "emb_normalize": f"""
-SELECT v.vec_id, u.i - 1 AS i,
+SELECT v.vec_id, CAST(u.i - 1 AS INTEGER) AS i,
        {dround('CAST(u.x AS DOUBLE) / sqrt(list_reduce(list_transform(v.embedding, lambda e: CAST(e AS DOUBLE) * CAST(e AS DOUBLE)), lambda a, b: a + b))', 6)} AS value
 FROM embeddings v, unnest(v.embedding) WITH ORDINALITY AS u(x, i)""",
         "emb_dimensions": f"""
 SELECT 'corpus' AS request_id, 'baseline' AS dataset, count(*) AS n,
-       min(len(embedding)) AS dim_min, max(len(embedding)) AS dim_max,
+       CAST(min(len(embedding)) AS INTEGER) AS dim_min, CAST(max(len(embedding)) AS INTEGER) AS dim_max,
        CAST(sum(CASE WHEN len(embedding) <> 64 THEN 1 ELSE 0 END) AS BIGINT) AS n_bad,
        CAST(sum(CASE WHEN list_sum(list_transform(embedding, lambda e: e * e)) = 0 THEN 1 ELSE 0 END)
             AS BIGINT) AS n_zero
