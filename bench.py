@@ -20,9 +20,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from thematica.plans.catalog import QUERIES  # noqa: E402
-from thematica.plans.inputs import doc_sentences  # noqa: E402
-from thematica.session import get_spark  # noqa: E402
+from feedlens.plans.catalog import QUERIES  # noqa: E402
+from feedlens.plans.inputs import doc_sentences  # noqa: E402
+from feedlens.session import get_spark  # noqa: E402
 
 HEADLINE = [
     "sentence_scores",

@@ -1,4 +1,4 @@
-"""thematica: feedback-theme analytics as Spark DataFrame jobs.
+"""feedlens: feedback-theme analytics as Spark DataFrame jobs.
 
 Sentences are validated, scored for sentiment, embedded, grouped into
 themes, and summarised per theme (size, sentiment distribution, keywords,

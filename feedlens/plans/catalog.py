@@ -1,7 +1,7 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
 
 Every query reads the given tables whole and runs the library's operators
-on them; column names match the oracle SQL in :mod:`thematica.plans.oracle`.
+on them; column names match the oracle SQL in :mod:`feedlens.plans.oracle`.
 """
 
 from __future__ import annotations

@@ -23,7 +23,7 @@ _LOCAL_DEFAULTS = {
 }
 
 
-def get_spark(master: str | None = None, app: str = "thematica",
+def get_spark(master: str | None = None, app: str = "feedlens",
               shuffle_partitions: int | None = None,
               driver_memory: str = "16g") -> SparkSession:
     """Return the active session, or build a local one with sane defaults."""
@@ -57,7 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="thematica-ckpt-")
+        conf_dir = tempfile.mkdtemp(prefix="feedlens-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 

@@ -7,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from thematica.session import ensure_checkpoint_dir  # noqa: E402
+from feedlens.session import ensure_checkpoint_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
-from thematica.operators import report as R
-from thematica.operators import sentiment as S
+from feedlens.operators import report as R
+from feedlens.operators import sentiment as S
 
 A_SCHEMA = "request_id string, dataset string, pos long, cluster_id int"
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from thematica.operators import sentiment as S
+from feedlens.operators import sentiment as S
 
 from .conftest import sentences
 

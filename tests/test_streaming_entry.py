@@ -1,11 +1,11 @@
 import numpy as np
 
 import __spark_entry__ as ENTRY
-from thematica.operators import embedding as E
-from thematica.operators import sentiment as S
-from thematica.plans import catalog
-from thematica.plans.inputs import doc_lexicon
-from thematica.streaming import jobs as ST
+from feedlens.operators import embedding as E
+from feedlens.operators import sentiment as S
+from feedlens.plans import catalog
+from feedlens.plans.inputs import doc_lexicon
+from feedlens.streaming import jobs as ST
 
 SF = "/root/testdata/sf0.001"
 

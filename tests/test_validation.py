@@ -1,8 +1,8 @@
 from pyspark.sql import functions as F
 
-from thematica.operators.validation import Limits, keep_first, validate, violations
-from thematica.sources.requests import flatten_requests, parse_requests, request_meta, requests_from_rows
-from thematica.operators.validation import corrupt_violations
+from feedlens.operators.validation import Limits, keep_first, validate, violations
+from feedlens.sources.requests import flatten_requests, parse_requests, request_meta, requests_from_rows
+from feedlens.operators.validation import corrupt_violations
 
 from .conftest import sentences
 
