@@ -354,15 +354,24 @@ def _on(group, a, b) -> str:
     return " AND ".join(f"{a}.{c} = {b}.{c}" for c in group)
 
 
-def keywords_sql(sentences_sql: str, group: list[str], max_keywords: int = C.MAX_KEYWORDS) -> str:
+def _lang_stop_cond(lang_col: str) -> str:
+    from ..functions.stopwords import stop_words
+    cases = " ".join(f"WHEN {_q(code)} THEN [{', '.join(_q(w) for w in stop_words(code))}]"
+                     for code in ("en", "de", "fr", "es"))
+    return f"NOT list_contains(CASE {lang_col} {cases} ELSE [] END, t)"
+
+
+def keywords_sql(sentences_sql: str, group: list[str], max_keywords: int = C.MAX_KEYWORDS,
+                 stop_cond: str | None = None, fallback: bool = True) -> str:
     g = _g(group)
+    stop_cond = stop_cond or f"t NOT IN {_stop_list()}"
     low2 = f"translate(lower(sentence), {_q(C.ACCENT_FROM)}, {_q(C.ACCENT_TO)})"
     return f"""
 WITH s AS ({sentences_sql}),
 sizes AS (SELECT {g}, count(*) AS n FROM s GROUP BY ALL),
 tk AS (SELECT {g}, pos,
               list_filter(string_split_regex({low2}, '{NON_WORD}'),
-                          lambda t: regexp_matches(t, '^[a-z]{{2,}}$') AND t NOT IN {_stop_list()}) AS toks
+                          lambda t: regexp_matches(t, '^[a-z]{{2,}}$') AND {stop_cond}) AS toks
        FROM s),
 terms AS (SELECT {g}, pos,
                  unnest(list_concat(toks, list_transform(range(1, len(toks)),
@@ -399,10 +408,10 @@ fbc AS (SELECT {g}, word, count(*) AS c, min((pos, idx)) AS first FROM fbw GROUP
 fb AS (SELECT {g}, word AS keyword, row_number() OVER (PARTITION BY {g} ORDER BY c DESC, first) AS rank
        FROM fbc)
 SELECT {g}, CAST(rank AS INTEGER) AS rank, keyword FROM kw WHERE rank <= {max_keywords}
-UNION ALL
+""" + (f"""UNION ALL
 SELECT {g}, CAST(rank AS INTEGER) AS rank, keyword FROM fb
 WHERE rank <= {min(C.FALLBACK_TOP, max_keywords)}
-"""
+""" if fallback else "")
 
 
 def phrases_sql(sentences_sql: str, group: list[str]) -> str:
@@ -840,3 +849,7 @@ SELECT bin_start, event_type, n, share, mean_compound,
          AS sentiment_delta
 FROM j""",
 })
+
+
+ORACLE["keywords_by_language"] = keywords_sql(DOC_VALID, THEME_GROUP,
+                                              stop_cond=_lang_stop_cond("theme"), fallback=False)
