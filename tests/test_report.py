@@ -62,3 +62,15 @@ def test_joint_sources(spark):
     got = {r.cluster_id: (r.baseline_count, r.comparison_count, r.kind)
            for r in R.joint_source_counts(a).collect()}
     assert got == {0: (2, 1, "shared"), 1: (1, 0, "baseline_only")}
+
+
+def test_sizes_plus_unclustered_equals_total(spark):   # property from the test plan
+    import random
+    rnd = random.Random(7)
+    labels = [rnd.choice([-1, 0, 1, 2, 3]) for _ in range(200)]
+    a = _assign(spark, labels)
+    s = spark.createDataFrame([("r", "baseline", i, str(i), "x") for i in range(200)],
+                              "request_id string, dataset string, pos long, id string, sentence string")
+    rows = _rows(spark, a)
+    summ = R.summary(s, a, rows).first()
+    assert sum(r.size for r in rows.collect()) + summ.unclustered == summ.total_sentences == 200
