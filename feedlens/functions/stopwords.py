@@ -1,39 +1,23 @@
-"""Stop-word lists: the per-language lists that ship with Spark ML.
+"""Stop-word lists: Spark ML's default lists, kept as text files in this package.
 
-They are read from the installed Spark ML jar (the same files
-``StopWordsRemover.loadDefaultStopWords`` returns), so no JVM is needed and
-the Spark job and the SQL oracle see the same words.  Callers may pass any
-other list instead.
+The Spark job and the SQL oracle read the same files, so neither needs a JVM
+nor any particular Spark layout.  Callers may pass any other list instead.
 """
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
 from functools import lru_cache
+from importlib import resources
 
-LANGUAGES = {"en": "english", "de": "german", "fr": "french", "es": "spanish",
-             "it": "italian", "pt": "portuguese", "nl": "dutch", "da": "danish",
-             "fi": "finnish", "hu": "hungarian", "no": "norwegian", "ru": "russian",
-             "sv": "swedish", "tr": "turkish"}
-
-
-def _mllib_jar() -> str:
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found next to pyspark")
-    return jars[0]
+LANGUAGES = {"en": "english", "de": "german", "fr": "french", "es": "spanish"}
 
 
 @lru_cache(maxsize=None)
 def stop_words(language: str = "english") -> tuple[str, ...]:
     """Spark ML's default stop words for ``language`` (name or ISO code)."""
     name = LANGUAGES.get(language, language)
-    with zipfile.ZipFile(_mllib_jar()) as z:
-        text = z.read(f"org/apache/spark/ml/feature/stopwords/{name}.txt").decode("utf-8")
-    return tuple(w for w in text.split() if w)
+    lists = resources.files(__package__) / "stopword_lists"
+    return tuple((lists / f"{name}.txt").read_text(encoding="utf-8").split())
 
 
 def stop_word_table(spark, languages=("en", "de", "fr", "es")):
