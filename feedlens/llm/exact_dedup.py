@@ -27,8 +27,12 @@ from pyspark.sql import functions as F
 
 from .common import saved, scratch
 
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Disk-backed state; its files are not allocated ahead, as there is one store for each partition.
+_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 _KEEPER = "struct<id:{id},file:string,row:bigint>"
 
 
@@ -58,8 +62,9 @@ def absorb(spark: SparkSession, path: str, state_dir: str, id_col: str = "doc_id
     rows = _rows(reader.parquet(pattern), id_col, F.coalesce(F.col(text_col), F.lit("")))
     counted = rows.groupBy("digest").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.struct("id", "file", "row")).alias("keeper"))
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in _STORE}
+    for k, v in _STORE.items():
+        spark.conf.set(k, v)
     try:
         (counted.writeStream.outputMode("update").format("noop")
          .option("checkpointLocation", state_dir).trigger(availableNow=True).start().awaitTermination())
@@ -70,7 +75,8 @@ def absorb(spark: SparkSession, path: str, state_dir: str, id_col: str = "doc_id
         return saved(state.select(F.col("key.digest").alias("digest"), F.col(f"value.`{n}`").alias("n"),
                                   F.col(f"value.`{keeper}`").cast(kind).alias("keeper")), "digests")
     finally:
-        spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text",

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .line_dedup import line_dedup
+from .raking import POWERS, SEED, mix
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,10 +24,92 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its text after repeated runs of lines were removed."""
+    out = line_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", F.col("lines_removed").cast("long").alias("lines_removed"))
+
+
+OP2_SQL = """
+WITH raw AS (
+  SELECT d.doc_id, u.line, u.i, CASE WHEN trim(u.line, ' ') <> '' THEN trim(u.line, ' ') END AS ln
+  FROM documents d, unnest(string_split(d.text, chr(10))) WITH ORDINALITY AS u(line, i)),
+num AS (
+  SELECT *, count(ln) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS at,
+         count(ln) OVER (PARTITION BY doc_id) AS n FROM raw),
+l AS (
+  SELECT doc_id, at, n, ln, length(ln) - length(replace(ln, ' ', '')) + 1 AS w FROM num WHERE ln IS NOT NULL),
+a AS (
+  SELECT *, lead(w) OVER o AS w1, lead(ln) OVER o AS l1, lead(ln, 2) OVER o AS l2
+  FROM l WINDOW o AS (PARTITION BY doc_id ORDER BY at)),
+z AS (SELECT *, CASE WHEN w >= 50 THEN 1 WHEN w + w1 >= 50 THEN 2 ELSE 3 END AS size FROM a),
+win AS (
+  SELECT doc_id, at, size, CASE size WHEN 1 THEN ln WHEN 2 THEN ln || chr(10) || l1
+         ELSE ln || chr(10) || l1 || chr(10) || l2 END AS content
+  FROM z WHERE at + size <= n),
+later AS (
+  SELECT * FROM win QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, at) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(at, at + size)) AS at FROM later),
+kept AS (
+  SELECT num.doc_id, string_agg(num.line, chr(10) ORDER BY num.i) FILTER (gone.at IS NULL) AS text,
+         count(gone.at) AS lines_removed
+  FROM num LEFT JOIN gone ON num.doc_id = gone.doc_id AND num.at = gone.at AND num.ln IS NOT NULL
+  GROUP BY num.doc_id)
+SELECT doc_id, coalesce(text, '') AS text, lines_removed FROM kept
+"""
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its raked probability and whether it is drawn."""
+    out = mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"),
+                      F.round("mix_probability", 6).alias("probability"), F.col("mix_kept").alias("kept"))
+
+
+def mixing_sql(docs: str, rounds: int = 60) -> str:
+    """CTEs ending in ``mixed``: ``docs`` plus topic, tokens, probability and kept."""
+    target = lambda d: f"""
+t_{d} AS (SELECT {d}, pow(sum(weight), {POWERS[d]}) / sum(pow(sum(weight), {POWERS[d]})) OVER () AS goal
+  FROM cell GROUP BY {d} HAVING sum(weight) > 0)"""
+    steps, now = [], "start"
+    for r in range(rounds):
+        for d in POWERS:
+            steps.append(f"""{d}{r} AS (SELECT x.source, x.lang, x.topic, weight,
+  f * coalesce(goal / nullif(sum(f) OVER (PARTITION BY x.{d}), 0), 1) AS f
+  FROM {now} x LEFT JOIN t_{d} t ON x.{d} IS NOT DISTINCT FROM t.{d})""")
+            now = f"{d}{r}"
+    return f"""
+labelled AS (SELECT *, CASE
+    WHEN contains(lower(coalesce(text, '')), 'license') OR contains(lower(coalesce(text, '')), 'copyright') THEN 'legal'
+    WHEN contains(text, '@') OR contains(lower(text), 'http') THEN 'contact'
+    WHEN contains(text, ' | ') THEN 'table'
+    WHEN length(coalesce(text, '')) < 1000 THEN 'note' ELSE 'prose' END AS topic,
+  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens FROM {docs}),
+cell AS (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS weight FROM labelled GROUP BY ALL),
+{",".join(target(d) for d in POWERS)},
+start AS (SELECT *, weight / sum(weight) OVER () AS f FROM cell),
+{", ".join(steps)},
+rate AS (SELECT source, lang, topic, coalesce(f / nullif(weight, 0) / max(f / nullif(weight, 0)) OVER (), 1) AS p FROM {now}),
+mixed AS (SELECT l.*, p AS probability,
+  CAST(('0x' || substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12)) AS BIGINT)
+    / pow(16.0, 12) < p AS kept
+  FROM labelled l JOIN rate r ON l.source IS NOT DISTINCT FROM r.source
+    AND l.lang IS NOT DISTINCT FROM r.lang AND l.topic = r.topic)"""
+
+
+OP10_SQL = f"""WITH {mixing_sql('documents')}
+SELECT doc_id, topic, CAST(tokens AS BIGINT) AS tokens, round(probability, 6) AS probability, kept FROM mixed"""
+
+
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_line_dedup": op2_line_dedup,
+    "op10_mixing": op10_mixing,
 }
 
 LLM_ORACLE = {
     "op1_exact_dedup": OP1_SQL,
+    "op2_line_dedup": OP2_SQL,
+    "op10_mixing": OP10_SQL,
 }
