@@ -36,25 +36,25 @@ WITH raw AS (
   SELECT d.doc_id, u.line, u.i, CASE WHEN trim(u.line, ' ') <> '' THEN trim(u.line, ' ') END AS ln
   FROM documents d, unnest(string_split(d.text, chr(10))) WITH ORDINALITY AS u(line, i)),
 num AS (
-  SELECT *, count(ln) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS at,
+  SELECT *, count(ln) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS pos,
          count(ln) OVER (PARTITION BY doc_id) AS n FROM raw),
 l AS (
-  SELECT doc_id, at, n, ln, length(ln) - length(replace(ln, ' ', '')) + 1 AS w FROM num WHERE ln IS NOT NULL),
+  SELECT doc_id, pos, n, ln, length(ln) - length(replace(ln, ' ', '')) + 1 AS w FROM num WHERE ln IS NOT NULL),
 a AS (
   SELECT *, lead(w) OVER o AS w1, lead(ln) OVER o AS l1, lead(ln, 2) OVER o AS l2
-  FROM l WINDOW o AS (PARTITION BY doc_id ORDER BY at)),
+  FROM l WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
 z AS (SELECT *, CASE WHEN w >= 50 THEN 1 WHEN w + w1 >= 50 THEN 2 ELSE 3 END AS size FROM a),
 win AS (
-  SELECT doc_id, at, size, CASE size WHEN 1 THEN ln WHEN 2 THEN ln || chr(10) || l1
+  SELECT doc_id, pos, size, CASE size WHEN 1 THEN ln WHEN 2 THEN ln || chr(10) || l1
          ELSE ln || chr(10) || l1 || chr(10) || l2 END AS content
-  FROM z WHERE at + size <= n),
+  FROM z WHERE pos + size <= n),
 later AS (
-  SELECT * FROM win QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, at) > 1),
-gone AS (SELECT DISTINCT doc_id, unnest(range(at, at + size)) AS at FROM later),
+  SELECT * FROM win QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, pos) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + size)) AS pos FROM later),
 kept AS (
-  SELECT num.doc_id, string_agg(num.line, chr(10) ORDER BY num.i) FILTER (gone.at IS NULL) AS text,
-         count(gone.at) AS lines_removed
-  FROM num LEFT JOIN gone ON num.doc_id = gone.doc_id AND num.at = gone.at AND num.ln IS NOT NULL
+  SELECT num.doc_id, string_agg(num.line, chr(10) ORDER BY num.i) FILTER (WHERE gone.pos IS NULL) AS text,
+         count(gone.pos) AS lines_removed
+  FROM num LEFT JOIN gone ON num.doc_id = gone.doc_id AND num.pos = gone.pos AND num.ln IS NOT NULL
   GROUP BY num.doc_id)
 SELECT doc_id, coalesce(text, '') AS text, lines_removed FROM kept
 """
