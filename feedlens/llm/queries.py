@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from . import cotraining
 from .common import table
 from .exact_dedup import exact_dedup
+from .kneser_ney import fit, held_out, score
 from .line_dedup import line_dedup
+from .packing import pack_documents
 from .raking import POWERS, SEED, mix
+from .token_groups import jaccard_components
+
+#: The tokenizer's files: its vocabulary, and the same vocabulary for the faster library.
+VOCABULARY, RANKS = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +69,57 @@ SELECT doc_id, coalesce(text, '') AS text, lines_removed FROM kept
 """
 
 
+def op5_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the scores of both views, the combined score and the decision."""
+    out = cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "content_score", "meta_score", "score", "keep")
+
+
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a bigram model of the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+    model = fit(docs.where(~F.col("held_out")))
+    return score(docs, model).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of texts whose sets of 3-word shingles are 90 % alike."""
+    out = jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
+                      F.col("component").alias("component_id"))
+
+
+def jaccard_sql(docs: str, width: int, percent: int) -> str:
+    """CTEs (recursive) ending in ``joined``: doc_id, n_shingles, component_id."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    run = " || ' ' || ".join(f"ws[i + {k}]" for k in range(width))
+    return f"""
+words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{letters}', '{letters.lower()}'),
+    '[^\x20\x09-\x0D]+') AS ws FROM {docs}),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(ws) >= {width} THEN list_transform(range(1, len(ws) - {width - 2}), lambda i: {run})
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM words),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_of AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM both_of JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b
+    WHERE 100 * shared >= {percent} * (p.n + q.n - shared)),
+reach AS (SELECT a AS doc_id, a AS least FROM link UNION
+    SELECT link.b, least FROM reach JOIN link ON link.a = reach.doc_id),
+joined AS (SELECT w.doc_id, coalesce(any_value(size.n), 0) AS n_shingles,
+    least(w.doc_id, coalesce(min(reach.least), w.doc_id)) AS component_id
+    FROM words w LEFT JOIN size USING (doc_id) LEFT JOIN reach USING (doc_id) GROUP BY w.doc_id)"""
+
+
+OP7_SQL = f"WITH RECURSIVE {jaccard_sql('documents', 3, 90)} SELECT * FROM joined"
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and its place there."""
+    out = pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, RANKS)
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its raked probability and whether it is drawn."""
     out = mix(table(spark, sf_dir, "documents"))
@@ -105,11 +165,16 @@ SELECT doc_id, topic, CAST(tokens AS BIGINT) AS tokens, round(probability, 6) AS
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op5_cotraining": op5_cotraining,
+    "op6_kneser_ney": op6_kneser_ney,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op9_packing": op9_packing,
     "op10_mixing": op10_mixing,
 }
 
 LLM_ORACLE = {
     "op1_exact_dedup": OP1_SQL,
     "op2_line_dedup": OP2_SQL,
+    "op7_jaccard_join": OP7_SQL,
     "op10_mixing": OP10_SQL,
 }
