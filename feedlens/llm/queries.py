@@ -12,6 +12,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .kneser_ney import fit, held_out, score
 from .line_dedup import line_dedup
+from .multi_index import near_vectors
 from .packing import pack_documents
 from .raking import POWERS, SEED, mix
 from .token_groups import jaccard_components
@@ -69,6 +70,30 @@ SELECT doc_id, coalesce(text, '') AS text, lines_removed FROM kept
 """
 
 
+def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links of cosine 0.93 or more within its label, and its component."""
+    out = near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
+    return out.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+                      F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+OP3_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL),
+ok AS (SELECT *, sqrt(list_inner_product(e, e)) AS norm FROM v
+  WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_inner_product(e, e) > 0),
+link AS (SELECT x.vec_id AS a, y.vec_id AS b FROM ok x JOIN ok y
+  ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_inner_product(x.e, y.e) / (x.norm * y.norm) >= 0.93),
+reach AS (SELECT a AS vec_id, a AS least FROM link UNION
+  SELECT link.b, least FROM reach JOIN link ON link.a = reach.vec_id),
+low AS (SELECT vec_id, min(least) AS least FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(least, vec_id) AS component_id, coalesce(least, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN low USING (vec_id)
+"""
+
+
 def op5_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the scores of both views, the combined score and the decision."""
     out = cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -165,6 +190,7 @@ SELECT doc_id, topic, CAST(tokens AS BIGINT) AS tokens, round(probability, 6) AS
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op3_multi_index": op3_multi_index,
     "op5_cotraining": op5_cotraining,
     "op6_kneser_ney": op6_kneser_ney,
     "op7_jaccard_join": op7_jaccard_join,
@@ -175,6 +201,7 @@ LLM_QUERIES = {
 LLM_ORACLE = {
     "op1_exact_dedup": OP1_SQL,
     "op2_line_dedup": OP2_SQL,
+    "op3_multi_index": OP3_SQL,
     "op7_jaccard_join": OP7_SQL,
     "op10_mixing": OP10_SQL,
 }
