@@ -14,8 +14,10 @@ from .kneser_ney import fit, held_out, score
 from .line_dedup import line_dedup
 from .multi_index import near_vectors
 from .packing import pack_documents
+from .quote_threads import thread
 from .raking import POWERS, SEED, mix
 from .token_groups import jaccard_components
+from .warc_packages import round_trip
 
 #: The tokenizer's files: its vocabulary, and the same vocabulary for the faster library.
 VOCABULARY, RANKS = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
@@ -94,6 +96,58 @@ FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN low USING (vec_id)
 """
 
 
+def quoting_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of ``conversations`` as messages that quote: each puts the turn before it
+    (every third one the turn before that) above its own text, with that turn's quote."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    back = F.when(F.col("turn") % 3 == 2, 2).otherwise(1)
+    quoted = lambda marks, c: F.when(F.col(c) != "", F.concat(
+        F.regexp_replace(F.col(c), "(?m)^", marks), F.lit("\n"))).otherwise("")
+    one = turns.select("conv_id", F.col("turn").alias("t1"), F.col("text").alias("text1"), F.col("role").alias("role1"))
+    two = turns.select("conv_id", F.col("turn").alias("t2"), F.col("text").alias("text2"))
+    both = (turns.withColumn("t1", F.col("turn") - back).join(one, ["conv_id", "t1"], "left")
+            .withColumn("t2", F.when(F.col("text1").isNotNull(), F.col("t1") - F.when(F.col("t1") % 3 == 2, 2).otherwise(1)))
+            .join(two, ["conv_id", "t2"], "left"))
+    head = F.concat(F.col("role1"), F.lit(" wrote:\n"), F.coalesce(quoted("> > ", "text2"), F.lit("")), quoted("> ", "text1"), F.lit("\n"))
+    return both.select("conv_id", "turn", "role", F.concat(F.coalesce(head, F.lit("")), F.coalesce("text", F.lit(""))).alias("text"))
+
+
+def op4_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without its quotes, with what it replies to and its place in the conversation."""
+    out = thread(quoting_messages(spark, sf_dir))
+    return out.select("conv_id", "turn", "role", "own", "reply_to", "root", F.col("depth").cast("long").alias("depth"),
+                      F.col("reply_order").cast("long").alias("reply_order"), F.col("n_quotes").cast("long").alias("n_quotes"))
+
+
+OP4_SQL = r"""
+WITH RECURSIVE m AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text, turn - CASE WHEN turn % 3 = 2 THEN 2 ELSE 1 END AS t1
+  FROM conversations),
+norm AS (SELECT *, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS whole FROM m),
+part AS (
+  SELECT conv_id, turn, whole AS part FROM norm UNION
+  SELECT conv_id, turn, trim(regexp_replace(lower(u.x), '\s+', ' ', 'g'))
+  FROM m, unnest(string_split_regex(text, '\n\s*\n') || string_split(text, chr(10))) AS u(x)),
+asks AS (
+  SELECT a.conv_id, a.turn, q.whole AS part, q.turn AS t1, q.text AS text1 FROM norm a
+  JOIN norm q ON q.conv_id = a.conv_id AND q.turn = a.t1 AND q.whole <> ''),
+link AS (
+  SELECT asks.conv_id, asks.turn, max(part.turn) AS reply_to FROM asks
+  JOIN part ON part.conv_id = asks.conv_id AND part.part = asks.part AND part.turn < asks.turn GROUP BY ALL),
+up AS (
+  SELECT m.conv_id, m.turn, m.turn AS root, 0 AS depth FROM m ANTI JOIN link USING (conv_id, turn) UNION ALL
+  SELECT link.conv_id, link.turn, up.root, up.depth + 1 FROM up JOIN link ON link.conv_id = up.conv_id AND link.reply_to = up.turn),
+quotes AS (
+  SELECT a.conv_id, a.turn, CAST(q.whole <> '' AS INT) + CAST(coalesce(r.whole, '') <> '' AS INT) AS n FROM norm a
+  JOIN norm q ON q.conv_id = a.conv_id AND q.turn = a.t1
+  LEFT JOIN norm r ON r.conv_id = a.conv_id AND r.turn = q.t1)
+SELECT m.conv_id, m.turn, m.role, regexp_replace(m.text, '^\n+|\n+$', '', 'g') AS own, link.reply_to, up.root,
+  CAST(up.depth AS BIGINT) AS depth, row_number() OVER (PARTITION BY m.conv_id ORDER BY up.root, m.turn) AS reply_order,
+  CAST(coalesce(quotes.n, 0) AS BIGINT) AS n_quotes
+FROM m JOIN up USING (conv_id, turn) LEFT JOIN link USING (conv_id, turn) LEFT JOIN quotes USING (conv_id, turn)
+"""
+
+
 def op5_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the scores of both views, the combined score and the decision."""
     out = cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -139,6 +193,24 @@ joined AS (SELECT w.doc_id, coalesce(any_value(size.n), 0) AS n_shingles,
 OP7_SQL = f"WITH RECURSIVE {jaccard_sql('documents', 3, 90)} SELECT * FROM joined"
 
 
+def op8_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as its record was read back from the ZIP packages."""
+    out = round_trip(table(spark, sf_dir, "pages"))
+    return out.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      F.col("refers_to").cast("long").alias("refers_to"))
+
+
+OP8_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS raw FROM pages),
+d AS (SELECT page_id, octet_length(raw) AS n, sha1(raw) AS hex, max(page_id) OVER (PARTITION BY raw) AS kept FROM p)
+SELECT page_id, n AS payload_bytes, array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST((CAST('0x' || substr(hex, 1 + 5 * (k // 4), 5) AS BIGINT) // [32768, 1024, 32, 1][1 + k % 4]) % 32 AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN kept = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN kept <> page_id THEN kept END AS refers_to
+FROM d
+"""
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
     out = pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, RANKS)
@@ -191,9 +263,11 @@ LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_multi_index": op3_multi_index,
+    "op4_quote_threads": op4_quote_threads,
     "op5_cotraining": op5_cotraining,
     "op6_kneser_ney": op6_kneser_ney,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_zip_warc": op8_zip_warc,
     "op9_packing": op9_packing,
     "op10_mixing": op10_mixing,
 }
@@ -202,6 +276,8 @@ LLM_ORACLE = {
     "op1_exact_dedup": OP1_SQL,
     "op2_line_dedup": OP2_SQL,
     "op3_multi_index": OP3_SQL,
+    "op4_quote_threads": OP4_SQL,
     "op7_jaccard_join": OP7_SQL,
+    "op8_zip_warc": OP8_SQL,
     "op10_mixing": OP10_SQL,
 }
