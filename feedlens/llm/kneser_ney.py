@@ -42,8 +42,8 @@ from .common import partitions, saved, scratch
 from .files import mapped, write_bytes
 from .words import END, START, chain, hash_words, mix
 
-_SLICE_BYTES = 4 << 20          # texts handled at once inside a task
-_PENDING = 3_000_000            # bigrams a task gathers before it merges them
+_SLICE_BYTES = 2 << 20          # texts handled at once inside a task
+_PENDING = 2_000_000            # bigrams a task gathers before it merges them
 
 
 def slices(batch, column: str, limit: int = _SLICE_BYTES):
@@ -314,10 +314,10 @@ class Reader:
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` without its text, plus ``n_tokens``, ``n_known``, ``base_score``, ``score``
-    (log10 probability of the whole text) and ``perplexity``."""
-    others = [c for c in docs.columns if c != text_col]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
+    (log10 probability of the whole text) and ``perplexity``; columns of these names are replaced."""
     names = ["n_tokens", "n_known", "base_score", "score", "perplexity"]
+    others = [c for c in docs.columns if c != text_col and c not in names]
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
 
     def run(batches):
         reader = Reader(model)
@@ -328,7 +328,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                     [*(some.column(c) for c in others), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
                      pa.array(base), pa.array(got), pa.array(10 ** (-got / n))], names=[*others, *names])
 
-    return docs.mapInArrow(run, f"{schema}, n_tokens long, n_known long, base_score double, score double, perplexity double")
+    return docs.select(*others, text_col).mapInArrow(run, f"{schema}, n_tokens long, n_known long, base_score double, score double, perplexity double")
 
 
 def held_out(id_col: Column) -> Column:
