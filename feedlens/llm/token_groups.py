@@ -6,23 +6,23 @@ Each text is the set of hashes of its word shingles; equal sets are one set.
    token hashes in a table of fixed size (``frequency_bits``), then by hash.  Two sets
    with the required similarity share one of their first tokens (the prefix), as long
    as a prefix leaves out fewer tokens than the required overlap.
-2. Sets are partitioned into groups of similar sets: sets that start with the same
-   tokens are compared with one of them, and what is found linked forms a group.
-3. The token-group matrix holds, for each group, the union of the prefix tokens of
-   its members.  A set meets the groups that share a prefix token with it, but not
-   its own: all members of a group are known to hang together.  Of two groups the
-   smaller one asks.
-4. For each group met, the overlap of the query's whole set with the union of all
-   tokens of a block of members bounds the overlap with every member.  Only blocks
-   whose bound reaches the required overlap are opened, and members are compared
-   exactly.  One link for each query and block is kept; more would only repeat what
-   the group already says.
-
-No pairs within a group of copies are made: equal sets are joined by their hash,
-near copies mostly end in one group after step 2, and blocks hold at most
-``block_size`` members.
-
-Many queries of one block are dealt over tasks with a copy of its members each.
+2. Each set has a sketch, a table of one-byte sums of its tokens by bucket: two sets
+   differ in at least as many tokens as their sketches differ in buckets.
+3. Sets are partitioned into groups of similar sets: those that start with the same
+   token, and whose sketches look alike, go together.
+4. The token-group matrix holds, for each group, the union of the prefix tokens of its
+   members, with the range of their sizes.  A set meets the other groups that share a
+   prefix token with it and have a member of fitting size; of two groups the smaller
+   asks.  All sets of a group meet their own.  Groups that are not met stay closed.
+5. A group met is opened by blocks of members.  Inside a task the sketches bound each
+   overlap; pairs that could reach the required one, and whose sets do not hang together
+   yet, are compared exactly by their tokens, a few for each set and block and round.
+   Rounds go on until no such pair is left.
+
+A group of copies never becomes pairs of rows: equal sets are joined by their hash,
+members of one group meet in blocks inside a task, and what already hangs together is
+not compared again.  Many queries of one block are dealt over tasks, each with a copy of
+its members.
 
 Defined results: A-Z lower-cased; fewer words than the width give one token; null and
 blank texts have an empty set and no links; rows with equal ids each have their own
@@ -46,8 +46,11 @@ from .words import hash_words, mix, shingles
 
 FREQUENCY_BITS = 20         # the frequency table has so many counters at most, at 8 bytes each
 STARTS = 4                  # first tokens of a set by which it finds a group
-BLOCK = 64                  # members of a group compared at once
-QUERIES = 512               # queries that one task compares with a block
+ALIKE = 60                  # percent: sets that look less alike are not put in one group
+BLOCK = 512                 # members of a group, and queries, compared at once
+PROPOSALS = 4               # pairs of a set and a block compared exactly in one round
+TASK_ROWS = 20_000          # queries and members in one task, on average
+_PAIRS = 1 << 20            # pairs of sketches compared at once in a task
 
 
 def shingle_sets(column, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,16 +79,52 @@ def _by_id(docs, id_col, text_col):
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
 
+def sketches(token: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """One byte for each of about size / 2 buckets (a power of two): the xor of its tokens."""
+    width = 1 << np.ceil(np.log2(np.maximum(size / 2, 32))).astype(np.int64)
+    starts = np.cumsum(width) - width
+    out = np.zeros(int(width.sum()), np.uint8)
+    at = np.repeat(starts, size) + (mix(token) & (np.repeat(width, size) - 1).astype(np.uint64)).astype(np.int64)
+    np.bitwise_xor.at(out, at, (token >> np.uint64(40)).astype(np.uint8))
+    return [out[s:s + w].tobytes() for s, w in zip(starts, width, strict=True)]
+
+
+def _folded(raw: bytes, width: int) -> np.ndarray:
+    """A sketch with fewer buckets: buckets that fall together are summed."""
+    x = np.frombuffer(raw, np.uint8)
+    return np.bitwise_xor.reduce(x.reshape(-1, width), axis=0)
+
+
+def _allowed(percent: int, sizes):
+    """The most tokens in which two sets of ``sizes`` together may differ."""
+    return (100 - percent) * sizes // (100 + percent)
+
+
+def _differing(raw: list[bytes], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets in which sketches i and j differ, buckets compared) of each pair."""
+    widths = np.array([len(r) for r in raw])
+    common = np.minimum(widths[i], widths[j])
+    out = np.zeros(len(i), np.int64)
+    for w in np.unique(common):
+        at = np.flatnonzero(common == w)
+        rows = np.unique(np.concatenate([i[at], j[at]]))
+        table = np.stack([_folded(raw[r], w) for r in rows])
+        for part in np.array_split(at, len(at) * int(w) // (1 << 25) + 1):
+            out[part] = (table[np.searchsorted(rows, i[part])] != table[np.searchsorted(rows, j[part])]).sum(1)
+    return out, common
+
+
 def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, n, set) of each row; ``n`` is the size of the set."""
+    """(id, n, set, sketch) of each row; ``n`` is the size of the set."""
     def run(batches):
         for batch in batches:
             for some in slices(batch, "text"):
-                _, n, key = shingle_sets(some.column("text"), width)
-                yield pa.RecordBatch.from_arrays([some.column("id"), pa.array(n, pa.int64()), pa.array(key.view(np.int64))],
-                                                 names=["id", "n", "set"])
+                token, n, key = shingle_sets(some.column("text"), width)
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("id"), pa.array(n, pa.int64()), pa.array(key.view(np.int64)), pa.array(sketches(token, n), pa.binary())],
+                    names=["id", "n", "set", "sketch"])
     kind = docs.schema[id_col].dataType.simpleString()
-    return _by_id(docs, id_col, text_col).mapInArrow(run, f"id {kind}, n long, set long")
+    return _by_id(docs, id_col, text_col).mapInArrow(run, f"id {kind}, n long, set long, sketch binary")
 
 
 def token_levels(docs: DataFrame, text_col: str, width: int, bits: int) -> np.ndarray:
@@ -167,77 +206,108 @@ def _tokens_of(rows: DataFrame, width: int) -> DataFrame:
     return rows.select("set", "text").mapInArrow(run, "set long, tokens binary")
 
 
-def _overlaps(query: np.ndarray, members: list[np.ndarray]) -> np.ndarray:
-    """Overlap of a sorted set with each of several."""
-    flat = np.concatenate(members)
-    at = np.minimum(np.searchsorted(query, flat), len(query) - 1)
-    ends = np.cumsum([len(m) for m in members])
-    hits = np.concatenate([[0], np.cumsum(query[at] == flat)])
-    return hits[ends] - hits[np.concatenate([[0], ends[:-1]])]
-
-
-def _open_blocks(percent):
-    """Compare the queries of a block with its members; at most one link for each query."""
+def _alike(pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of those of ``pairs`` (a, b, na, nb, ka, kb) whose sketches look alike."""
+    def run(batches):
+        for b in batches:
+            raw = [x.as_py() for c in ("ka", "kb") for x in b.column(c)]
+            n = len(raw) // 2
+            got, width = _differing(raw, np.arange(n), np.arange(n) + n)
+            most = _allowed(percent, np.asarray(b.column("na")) + np.asarray(b.column("nb")))
+            keep = pa.array(got <= width * -np.expm1(-most / width))      # as many buckets as that many tokens hit
+            yield pa.RecordBatch.from_arrays([b.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+    return pairs.mapInArrow(run, "a long, b long")
+
+
+def _propose(percent: int, turn: int):
+    """Pairs of a task's queries and members whose sketches allow the similarity.
+
+    Of each query row the pairs number ``turn`` * PROPOSALS and on, nearest first; a row with
+    ``more`` tells that later pairs of sets that do not hang together are left.  In the first
+    turn the rows (set, null) name all sets of such pairs.
+    """
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        links, queries, members = [], pdf[pdf.asks], pdf[~pdf.asks]
-        if len(queries) and len(members):
-            members = members.drop_duplicates("set").sort_values("set")
-            queries = queries.drop_duplicates("set")
-            sets = [np.frombuffer(x, np.uint64) for x in members.tokens]
-            union = np.unique(np.concatenate(sets))
-            sizes, ids = np.array([len(x) for x in sets]), members.set.to_numpy()
-            for one, raw in zip(queries.set, queries.tokens, strict=True):
-                query = np.frombuffer(raw, np.uint64)
-                if _overlaps(query, [union])[0] < _required(percent, len(query)):
-                    continue                        # no member can be similar enough
-                shared = _overlaps(query, sets)
-                hit = np.flatnonzero((100 * shared >= percent * (len(query) + sizes - shared)) & (ids != one))
-                if len(hit):
-                    links.append((one, ids[hit[0]]))
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+        q, m = pdf[pdf.asks].sort_values("block"), pdf[~pdf.asks].sort_values("block")
+        out = []
+        raw = [*q.sketch, *m.sketch]
+        sq, sm, nq, nm, cq, cm = (d[c].to_numpy() for c in ("set", "n", "class") for d in (q, m))
+        own = q.own.to_numpy()
+        lo, hi = (np.searchsorted(m.block.to_numpy(), q.block.to_numpy(), side) for side in ("left", "right"))
+        reach = np.cumsum(hi - lo)
+        at = 0
+        while at < len(q):
+            end = max(at + 1, int(np.searchsorted(reach, (reach[at - 1] if at else 0) + _PAIRS, "right")))
+            k = (hi - lo)[at:end]
+            i = np.repeat(np.arange(at, end), k)
+            j = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) + np.repeat(lo[at:end], k)
+            fit = (~own[i] | (sq[i] < sm[j])) & (sq[i] != sm[j])
+            fit &= (nq[i] * 100 >= nm[j] * percent) & (nm[j] * 100 >= nq[i] * percent)
+            i, j = i[fit], j[fit]
+            if len(i):
+                got, _ = _differing(raw, i, j + len(q))
+                fit = got <= _allowed(percent, nq[i] + nm[j])
+                i, j, got = i[fit], j[fit], got[fit]
+                order = np.lexsort((sm[j], got, i))
+                i, j = i[order], j[order]
+                # the number of a pair must not depend on what hangs together by now
+                rank = np.arange(len(i)) - np.searchsorted(i, i)
+                apart = cq[i] != cm[j]
+                now = apart & (rank >= turn * PROPOSALS) & (rank < (turn + 1) * PROPOSALS)
+                out.append(pd.DataFrame({"a": sq[i[now]], "b": sm[j[now]], "more": False}))
+                if (apart & (rank >= (turn + 1) * PROPOSALS)).any():
+                    out.append(pd.DataFrame({"a": [0], "b": [None], "more": [True]}))
+                if turn == 0:
+                    sets = np.unique(np.concatenate([sq[i], sm[j]]))
+                    out.append(pd.DataFrame({"a": sets, "b": [None] * len(sets), "more": False}))
+            at = end
+        if not out:
+            return pd.DataFrame({"a": [], "b": [], "more": []}).astype({"a": "int64", "b": "Int64", "more": bool})
+        return pd.concat([x.astype({"a": "int64", "b": "Int64", "more": bool}) for x in out])
     return run
 
 
-def _linked(pairs: DataFrame, blocks: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Links found by opening ``blocks`` (block, set) for ``pairs`` (block, set)."""
-    parts = pairs.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("parts"))
-    asked = pairs.join(parts, "block").select("block", F.pmod(F.xxhash64("set"), F.col("parts")).cast("int").alias("part"), "set")
-    held = blocks.join(parts, "block").select(
-        "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "set")
-    rows = asked.withColumn("asks", F.lit(True)).unionByName(held.withColumn("asks", F.lit(False)))
-    return rows.join(tokens, "set").groupBy("block", "part").applyInPandas(_open_blocks(percent), "a long, b long")
+def _exact(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose whole sets are similar enough."""
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("ta"), batch.column("tb"), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                shared = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+    left, right = (tokens.select(F.col("set").alias(k), F.col("tokens").alias(f"t{k}")) for k in ("a", "b"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                 percent: int = 80, frequency_bits: int = FREQUENCY_BITS) -> tuple[DataFrame, DataFrame]:
-    """((id, n, set) of each document, (a, b) links between sets).  Every two sets with
-    100 * overlap >= percent * union are joined by a path of links, and all links hold."""
+                 percent: int = 80, frequency_bits: int = FREQUENCY_BITS,
+                 max_rounds: int = 10_000) -> tuple[DataFrame, DataFrame]:
+    """((id, n, set) of each document, (id, component) of the sets with links): every two sets
+    with 100 * overlap >= percent * union are in one component, which such links make."""
+    spark = docs.sparkSession
     docs = docs.where(F.col(id_col).isNotNull())
     by_doc = saved(document_sets(docs, id_col, text_col, width), "sets")
     levels = token_levels(docs, text_col, width, frequency_bits)
     prefix = saved(prefixes(docs, text_col, width, percent, levels), "prefixes")
-    spans = lambda a, b: (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+    # the sketch and size of the document with the smallest id of each set
+    chosen = saved(by_doc.where("n > 0").groupBy("set").agg(F.min(F.struct("id", "n", "sketch")).alias("d")).select(
+        "set", F.col("d.id").alias("id"), F.col("d.n").alias("n"), F.col("d.sketch").alias("sketch")), "chosen")
 
-    # groups: sets with the same first tokens are compared with one of them
+    # groups: sets that start with the same token as another, and look alike
     starts = prefix.where(F.col("rank") < STARTS)
     heads = starts.groupBy("token").agg(F.min(F.struct("set", "n")).alias("h"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    first = (starts.join(heads, "token").where((F.col("set") != F.col("h.set")) & spans("n", "h.n"))
-             .select(F.col("h.set").alias("block"), "set").distinct())
-    first = saved(first, "first-pairs")
-
-    # a set's tokens come from the document with the smallest id that has it
-    def tokens_for(sets: DataFrame) -> DataFrame:
-        chosen = by_doc.join(sets.select("set").distinct(), "set", "left_semi").groupBy("set").agg(F.min("id").alias("id"))
-        texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        return saved(_tokens_of(texts.join(chosen, "id"), width), "tokens")
-
-    blocks = first.select("block", F.col("block").alias("set")).distinct()
-    links = saved(_linked(first, blocks, tokens_for(first.select("set").union(blocks.select("set"))), percent), "links")
-    group = components(links).select(F.col("id").alias("set"), F.col("component").alias("group"))
+    near = (starts.join(heads, "token").where(F.col("set") != F.col("h.set"))
+            .select(F.col("h.set").alias("a"), F.col("set").alias("b"), F.col("h.n").alias("na"), F.col("n").alias("nb"))
+            .where((F.col("na") * 100 >= F.col("nb") * ALIKE) & (F.col("nb") * 100 >= F.col("na") * ALIKE)).distinct())
+    kinds = lambda k: chosen.select(F.col("set").alias(k), F.col("sketch").alias(f"k{k}"))
+    alike = _alike(near.join(kinds("a"), "a").join(kinds("b"), "b"), ALIKE)
+    group = components(alike).select(F.col("id").alias("set"), F.col("component").alias("group"))
 
     # the matrix: (token, group) of all groups; only tokens of more than one group can lead on
     own = F.coalesce("group", F.col("set"))
-    grouped = prefix.join(group, "set", "left").select("token", "set", "n", own.alias("group"))
+    grouped = saved(prefix.join(group, "set", "left").select("token", "set", "n", own.alias("group")), "grouped")
     shared = grouped.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi")
     grouped = saved(grouped.join(shared.select("token"), "token", "left_semi"), "shared-tokens")
     members = group.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
@@ -249,31 +319,50 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = (asking.join(matrix, "token")
            .where((F.struct("members", "group") < F.struct("others", "other"))
                   & (F.col("n") * 100 >= F.col("least") * percent) & (F.col("most") * 100 >= F.col("n") * percent))
-           .select("set", "other").distinct())
+           .select("set", F.col("other").alias("group")).distinct())
     met = saved(met, "met-groups")
 
-    # blocks of the groups met: at most BLOCK members each, dealt by hash
-    wanted = met.select(F.col("other").alias("group")).distinct()
-    parts = members.join(wanted, "group", "left_semi").select("group", F.ceil(F.col("members") / BLOCK).alias("parts"))
-    inside = (group.join(parts, "group").select("set", "group", F.pmod(F.xxhash64("set"), F.col("parts")).alias("part"))
-              .unionByName(wanted.join(members, "group", "left_anti").select(
-                  F.col("group").alias("set"), "group", F.lit(0).cast("long").alias("part"))))
-    block = F.xxhash64("group", "part").alias("block")
-    held = saved(inside.select("set", "group", "part", block), "blocks")
-    asked = (met.withColumnRenamed("other", "group").join(held.select("group", "block").distinct(), "group")
-             .select("set", "block"))
-    tokens = tokens_for(asked.select("set").union(held.select("set")))
-    more = _linked(asked, held.select("set", "block"), tokens, percent)
-    return by_doc, saved(links.unionByName(more), "links")
+    # blocks of the groups met, their own included: at most BLOCK members or so, dealt by hash
+    alone = met.select("group").distinct().join(members, "group", "left_anti")
+    parts = members.select("group", F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
+    inside = (group.join(parts, "group").select("set", "group", F.pmod(F.xxhash64("set"), F.col("parts")).cast("int").alias("part"))
+              .unionByName(alone.select(F.col("group").alias("set"), "group", F.lit(0).alias("part"))))
+    held = saved(inside.select("set", "group", F.xxhash64("group", "part").alias("block")), "blocks")
+    blocks = held.select("group", "block").distinct()
+    asked = saved(met.withColumn("own", F.lit(False)).unionByName(group.select("set", "group", F.lit(True).alias("own")))
+                  .join(blocks, "group").select("set", "block", "own"), "asked")
+    parts = asked.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    rows = (asked.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("set"), F.col("parts")).cast("int"))
+            .select("block", "part", "set", "own", F.lit(True).alias("asks"))
+            .unionByName(held.join(parts, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+                         .select("block", "part", "set", F.lit(False).alias("own"), F.lit(False).alias("asks"))))
+    rows = saved(rows.join(chosen.select("set", "n", "sketch"), "set").withColumn("block", F.xxhash64("block", "part")).drop("part"), "meetings")
+    tasks = max(partitions(spark), rows.count() // TASK_ROWS + 1)
+
+    tokens, links, classes = None, None, None
+    for turn in range(max_rounds):          # most texts are done after one; a dense group needs more
+        known = rows if classes is None else rows.join(classes, "set", "left")
+        known = known.withColumn("class", F.col("set") if classes is None else F.coalesce("class", F.col("set")))
+        found = saved(known.withColumn("task", F.pmod(F.xxhash64("block", F.lit(1)), F.lit(tasks))).groupBy("task").applyInPandas(
+            _propose(percent, turn), "a long, b long, more boolean"), "proposed")
+        if tokens is None:
+            wanted = chosen.join(found.where("b is null and not more").select(F.col("a").alias("set")).distinct(), "set", "left_semi")
+            texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+            tokens = saved(_tokens_of(texts.join(wanted.select("id", "set"), "id"), width).dropDuplicates(["set"]), "tokens")
+        new = _exact(found.where("b is not null").select("a", "b").distinct(), tokens, percent)
+        links = saved(new if links is None else links.unionByName(new), "links")
+        classes = components(links).select(F.col("id").alias("set"), F.col("component").alias("class"))
+        if found.where("more").isEmpty():
+            return by_doc.select("id", "n", "set"), classes.select(F.col("set").alias("id"), F.col("class").alias("component"))
+    raise RuntimeError(f"pairs are left after {max_rounds} rounds")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                        percent: int = 80, frequency_bits: int = FREQUENCY_BITS) -> DataFrame:
     """(id, n, component): for each document the size of its set and the smallest id reachable
     by links of similar documents, itself included."""
-    by_doc, links = similar_sets(docs, id_col, text_col, width, percent, frequency_bits)
-    sets = by_doc.groupBy("set").agg(F.min("id").alias("least")).join(
-        components(links).withColumnRenamed("id", "set"), "set", "left")
+    by_doc, joined = similar_sets(docs, id_col, text_col, width, percent, frequency_bits)
+    sets = by_doc.groupBy("set").agg(F.min("id").alias("least")).join(joined.withColumnRenamed("id", "set"), "set", "left")
     classes = sets.select("set", "least", F.coalesce("component", F.col("set")).alias("class"))
     least = classes.groupBy("class").agg(F.min("least").alias("component"))
     named = classes.select("set", "class").join(least, "class").select("set", "component")
