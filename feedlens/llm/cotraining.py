@@ -10,8 +10,9 @@ calibrates and combines them.  All documents are then scored by the combined mod
 A document is good if its quality label is 1 and its toxic label is not 1.
 
 Fitting is bounded: ``labelled`` and ``pool`` rows at most, chosen by a hash of the id
-from all rows, so the sample does not depend on order or on one hot source.  Scoring
-covers every row and whole texts in one pass without a shuffle.
+from all rows, so the sample does not depend on order or on one hot source; it is one
+task's work.  Scoring covers every row and whole texts in one pass without a shuffle; the
+weights it needs have a fixed size.
 
 Defined results: null texts count as empty, a null source, language or size is a value
 of its own; a document with several labels is good only if all say so; labels that are
@@ -24,80 +25,188 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved
+from .kneser_ney import slices
+from .words import _buffers, hash_words
 
-LABELLED, POOL = 12_000, 8_000      # most rows that are fitted on
+LABELLED, POOL = 16_000, 6_000      # most rows that are fitted on
 ROUNDS, SURE = 3, 0.95              # rounds of exchange; how sure a pseudo-label has to be
-WORDS, META = 1 << 18, 1 << 10      # feature buckets of the two views
+WORDS, META = 1 << 18, 1 << 10      # feature buckets of words and of metadata values
 HELD = 5                            # one labelled row in so many calibrates
 THRESHOLD = 0.5
+PENALTY = {"content": 1e-4, "meta": 1e-3, "both": 1e-3}
+ITERATIONS = 120                    # of one regression at most
 
+#: Shares of these bytes tell running text from other text.
+_KINDS = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".,;:'\"()-", b" \t\r\n", b"\n", b"|{}<>=", b"!?$%&*#@"]
+_STEPS = 21                         # a share counts by its step, each with a weight of its own
+_CONTENT = WORDS + len(_KINDS) * _STEPS + 11
 
-def _shape(text: Column) -> list[Column]:
-    """Shares of characters and words that tell running text from other text."""
-    size = F.greatest(F.length(text), F.lit(1))
-    share = lambda pattern: F.regexp_count(text, F.lit(pattern)) / size
-    return [share("[A-Z]"), share("[0-9]"), share(r"[^\p{L}\p{N}\s]"), share(r"\s"), share("\n"), share(r"[|{}<>=;]"), share("[!?$%&*#]")]
 
+# -- views --------------------------------------------------------------------
 
-def with_views(docs: DataFrame, text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
-               size_col: str = "n_chars") -> DataFrame:
-    """``docs`` plus the vectors ``__content`` and ``__meta``."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    words = F.split(F.lower(text), r"[\x20\x09-\x0D]+")
-    distinct = F.array_distinct("__words")
-    d = (docs.withColumn("__words", words)
-         .withColumn("__shape", F.array(*_shape(text)))
-         .withColumn("__variety", F.size(distinct) / F.size("__words")))
-    # the shape as words too: each share in steps, so that odd values have weights of their own
-    steps = F.transform("__shape", lambda x, i: F.concat(F.lit("\u0001"), i.cast("string"), F.lit("/"),
-                                                         F.least(F.floor(F.sqrt(x) * 20), F.lit(20)).cast("string")))
-    variety = F.concat(F.lit("\u0001v/"), F.floor(F.col("__variety") * 10).cast("string"))
-    tag = lambda name, c: F.concat(F.lit(name), F.coalesce(c.cast("string"), F.lit("\u0001null")))
-    size = F.floor(F.log2(F.greatest(F.col(size_col), F.lit(1))) * 2)
-    d = d.withColumn("__tokens", F.concat(distinct, steps, F.array(variety)))
-    d = d.withColumn("__tags", F.array(tag("source=", F.col(source_col)), tag("lang=", F.col(lang_col)), tag("size=", size)))
-    d = HashingTF(numFeatures=WORDS, binary=True, inputCol="__tokens", outputCol="__content").transform(d)
-    d = HashingTF(numFeatures=META, binary=True, inputCol="__tags", outputCol="__meta").transform(d)
-    return d.drop("__words", "__shape", "__variety", "__tokens", "__tags")
+def content_features(column) -> tuple[np.ndarray, np.ndarray]:
+    """(feature numbers of all rows, how many each row has): distinct words and steps of shape."""
+    words, counts = hash_words(column)
+    n = len(counts)
+    row = np.repeat(np.arange(n), counts)
+    pairs = np.unique(row * WORDS + (words & np.uint64(WORDS - 1)).astype(np.int64))
+    distinct = np.bincount(pairs // WORDS, minlength=n)
+    offsets, data = _buffers(column)
+    size = np.diff(offsets)
+    raw = data[offsets[0]:offsets[-1]]
+    ends = offsets[1:] - offsets[0]
+    shape = []
+    for k, kind in enumerate(_KINDS):
+        table = np.zeros(256, bool)
+        table[list(kind)] = True
+        total = np.concatenate([[0], np.cumsum(table[raw])])
+        share = (total[ends] - total[ends - size]) / np.maximum(size, 1)
+        shape.append(WORDS + k * _STEPS + np.minimum((np.sqrt(share) * (_STEPS - 1)).astype(np.int64), _STEPS - 1))
+    shape.append(WORDS + len(_KINDS) * _STEPS + (10 * distinct / np.maximum(counts, 1)).astype(np.int64))
+    feature = np.concatenate([pairs % WORDS, *shape])
+    at = np.concatenate([pairs // WORDS, *([np.arange(n)] * len(shape))])
+    return feature[np.argsort(at, kind="stable")], distinct + len(shape)
 
 
-def _odds(view: str) -> Column:
-    return vector_to_array(F.col(f"__raw_{view}"))[1]
+def _tags(source: Column, lang: Column, size: Column) -> list[Column]:
+    """The buckets of a document's metadata values."""
+    steps = F.floor(F.log2(F.greatest(size, F.lit(1))) * 2).cast("string")
+    return [F.pmod(F.xxhash64(F.lit(k), F.coalesce(c.cast("string"), F.lit("\u0001null"))), F.lit(META)).cast("int").alias(f"__m{k}")
+            for k, c in enumerate((source, lang, steps))]
+
+
+# -- regression ----------------------------------------------------------------
+
+def _linear(feature, size, w):
+    """Sums of weights by row; the last weight is the intercept."""
+    total = np.concatenate([[0.0], np.cumsum(w[feature])])
+    end = np.cumsum(size)
+    return total[end] - total[end - size] + w[-1]
+
+
+def _fit_rows(value, gradient, w, iterations=ITERATIONS, memory=8):
+    """Limited-memory quasi-Newton descent with step halving."""
+    f, g = value(w), gradient(w)
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(iterations):
+        d, coefs = -g, []
+        for s, y in reversed(pairs):
+            coefs.append(a := s @ d / (s @ y))
+            d = d - a * y
+        if pairs:
+            s, y = pairs[-1]
+            d = d * (s @ y) / (y @ y)
+        for (s, y), a in zip(pairs, reversed(coefs), strict=True):
+            d = d + (a - y @ d / (s @ y)) * s
+        step, slope = 1.0 if pairs else 1.0 / max(np.abs(g).sum(), 1e-12), g @ d
+        while (new := value(w + step * d)) > f + 1e-4 * step * slope and step > 1e-10:
+            step /= 2
+        if new >= f - 1e-8 * max(abs(f), 1e-12):
+            return w if new > f else w + step * d
+        s, before = step * d, g
+        w, f = w + s, new
+        g = gradient(w)
+        if s @ (g - before) > 1e-12:
+            pairs = [*pairs[1 - memory:], (s, g - before)]
+    return w
+
+
+def logistic(feature, size, y, width, penalty, start=None, value=None) -> np.ndarray:
+    """Weights (intercept last) of a logistic regression over features of 1, or of ``value``."""
+    row = np.repeat(np.arange(len(size)), size)
+    v = np.ones(len(feature)) if value is None else value
+    sign = 2 * y - 1
+
+    def margin(w):
+        total = np.concatenate([[0.0], np.cumsum(v * w[feature])])
+        end = np.cumsum(size)
+        return sign * (total[end] - total[end - size] + w[-1])
+
+    def loss(w):
+        return np.logaddexp(0, -margin(w)).mean() + penalty / 2 * (w[:-1] @ w[:-1])
+
+    def slope(w):
+        r = -sign / (1 + np.exp(np.clip(margin(w), -500, 500))) / len(y)
+        g = np.bincount(feature, v * r[row], width + 1)
+        g[:-1] += penalty * w[:-1]
+        g[-1] = r.sum()
+        return g
+
+    return _fit_rows(loss, slope, np.zeros(width + 1) if start is None else start)
+
+
+def _probability(z):
+    return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+
+
+def co_train(pdf: pd.DataFrame, rounds: int, sure: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights of the content view, the metadata view and their combination."""
+    rows = [np.frombuffer(x, np.int32) for x in pdf.features]
+    meta = pdf[["__m0", "__m1", "__m2"]].to_numpy()
+    y, known = pdf.y.fillna(0).to_numpy(), pdf.y.notna().to_numpy()
+    held = known & (pdf.fold.to_numpy() == 0)
+    if held.sum() < 2 or len(set(y[held])) < 2 or len(set(y[known & ~held])) < 2:
+        held = np.zeros(len(y), bool)                # too few to calibrate on other rows
+    train = known & ~held
+
+    def data(view, at):
+        if view == "meta":
+            return meta[at].ravel(), np.full(len(at), 3)
+        return np.concatenate([rows[i] for i in at]), np.array([len(rows[i]) for i in at])
+
+    width = {"content": _CONTENT, "meta": META}
+    fit = lambda view, at, label, start=None: logistic(*data(view, at), label, width[view], PENALTY[view], start)
+    base, pool = np.flatnonzero(train), np.flatnonzero(~known)
+    w = {v: fit(v, base, y[base]) for v in width}
+    for _ in range(rounds if len(pool) else 0):
+        learned = {}
+        for view, other in (("content", "meta"), ("meta", "content")):
+            p = _probability(_linear(*data(other, pool), w[other]))
+            sure_at = np.flatnonzero((p >= sure) | (p <= 1 - sure))
+            at = np.concatenate([base, pool[sure_at]])
+            learned[view] = fit(view, at, np.concatenate([y[base], (p[sure_at] >= 0.5).astype(float)]), w[view])
+        w = learned
+    check = np.flatnonzero(held) if held.any() else base
+    z = np.stack([_linear(*data(v, check), w[v]) for v in width], 1)
+    both = logistic(np.tile([0, 1], len(check)), np.full(len(check), 2), y[check], 2, PENALTY["both"], value=z.ravel())
+    return w["content"], w["meta"], both
 
 
 @dataclass
 class CoModel:
-    views: dict[str, LogisticRegressionModel] | None
-    combined: LogisticRegressionModel | None
+    weights: tuple[np.ndarray, np.ndarray, np.ndarray] | None
     share: float                     # of good labels, used when there is nothing to learn
 
-    def score(self, docs: DataFrame, **columns) -> DataFrame:
-        """``docs`` plus ``content_score``, ``meta_score`` and ``score``, the probability of good."""
-        if self.views is None:
-            return docs.withColumns({k: F.lit(self.share) for k in ("content_score", "meta_score", "score")})
-        d = with_views(docs, **columns)
-        for model in self.views.values():
-            d = model.transform(d)
-        d = VectorAssembler(inputCols=["__c", "__m"], outputCol="__both").transform(
-            d.withColumn("__c", _odds("content")).withColumn("__m", _odds("meta")))
-        d = self.combined.transform(d)
-        good = lambda c: vector_to_array(F.col(c))[1]
-        out = d.withColumn("content_score", good("__p_content")).withColumn("meta_score", good("__p_meta")).withColumn(
-            "score", good("__p_both"))
-        return out.drop(*[c for c in out.columns if c.startswith("__")])
+    def score(self, docs: DataFrame, text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
+              size_col: str = "n_chars") -> DataFrame:
+        """``docs`` plus ``content_score``, ``meta_score`` and ``score``, the probability of good;
+        columns of these names are replaced."""
+        names = ["content_score", "meta_score", "score"]
+        docs = docs.drop(*names)
+        if self.weights is None:
+            return docs.withColumns({k: F.lit(self.share) for k in names})
+        content, meta, both = self.weights
+        columns = docs.columns
 
+        def run(batches):
+            for batch in batches:
+                for some in slices(batch, text_col):
+                    z = np.stack([_linear(*content_features(some.column(text_col)), content),
+                                  meta[np.stack([np.asarray(some.column(f"__m{k}")) for k in range(3)], 1)].sum(1) + meta[-1]], 1)
+                    out = [*(_probability(z[:, k]) for k in (0, 1)), _probability(z @ both[:2] + both[2])]
+                    yield pa.RecordBatch.from_arrays([*(some.column(c) for c in columns), *map(pa.array, out)],
+                                                     names=[*columns, *names])
 
-def _regression(view: str, penalty: float) -> LogisticRegression:
-    return LogisticRegression(featuresCol=f"__{view}", labelCol="__y", rawPredictionCol=f"__raw_{view}",
-                              probabilityCol=f"__p_{view}", predictionCol=f"__d_{view}", regParam=penalty, maxIter=60,
-                              standardization=False)
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+        tagged = docs.select("*", *_tags(F.col(source_col), F.col(lang_col), F.col(size_col)))
+        return tagged.mapInArrow(run, schema + ", content_score double, meta_score double, score double")
 
 
 def _chosen(ids: DataFrame, limit: int) -> DataFrame:
@@ -105,38 +214,41 @@ def _chosen(ids: DataFrame, limit: int) -> DataFrame:
     return ids.orderBy(F.xxhash64("__id", F.lit(7)), "__id").limit(limit)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", labelled: int = LABELLED, pool: int = POOL,
-        rounds: int = ROUNDS, sure: float = SURE, **columns) -> CoModel:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        lang_col: str = "lang", size_col: str = "n_chars", labelled: int = LABELLED, pool: int = POOL,
+        rounds: int = ROUNDS, sure: float = SURE) -> CoModel:
     good = F.when(F.col("quality").isNotNull(), (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) != 1))
-    known = labels.select(F.col(id_col).alias("__id"), good.cast("double").alias("__y")).where(
-        "__id is not null and __y is not null").groupBy("__id").agg(F.min("__y").alias("__y"))
-    rows = docs.withColumn("__id", F.col(id_col))
-    some = F.broadcast(_chosen(known, labelled))             # at most ``labelled`` ids
+    known = labels.select(F.col(id_col).alias("__id"), good.cast("double").alias("y")).where(
+        "__id is not null and y is not null").groupBy("__id").agg(F.min("y").alias("y"))
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"),
+                       *_tags(F.col(source_col), F.col(lang_col), F.col(size_col)))
+    some = _chosen(known.join(rows.select("__id").where("__id is not null").distinct(), "__id", "left_semi"), labelled)
     free = _chosen(rows.select("__id").where("__id is not null").join(known.select("__id"), "__id", "left_anti"), pool)
-    picked = rows.join(F.broadcast(some.unionByName(free.withColumn("__y", F.lit(None).cast("double")))), "__id")
-    data = saved(with_views(picked, **columns).select("__id", "__y", "__content", "__meta"), "views")
-    share = data.where("__y is not null").agg(F.count("__y"), F.avg("__y")).first()
-    if not share[0] or share[1] in (0.0, 1.0):
-        return CoModel(None, None, 1.0 if share[1] is None else float(share[1]))
-
-    held = F.pmod(F.xxhash64("__id", F.lit(11)), F.lit(HELD)) == 0
-    train, rest = data.where(F.col("__y").isNotNull() & ~held), data.where("__y is null")
-    kinds = {"content": _regression("content", 1e-4), "meta": _regression("meta", 1e-3)}
-    models = {v: k.fit(train) for v, k in kinds.items()}
-    for _ in range(rounds):
-        learned = {}
-        for view, other in (("content", "meta"), ("meta", "content")):
-            p = vector_to_array(F.col(f"__p_{other}"))[1]
-            taught = models[other].transform(rest).withColumn("__y", F.when(p >= sure, 1.0).when(p <= 1 - sure, 0.0))
-            taught = taught.where("__y is not null").select("__id", "__y", "__content", "__meta")
-            learned[view] = kinds[view].fit(train.unionByName(taught))
-        models = learned
-    check = data.where(F.col("__y").isNotNull() & held)
-    for model in models.values():
-        check = model.transform(check)
-    both = VectorAssembler(inputCols=["__c", "__m"], outputCol="__both").transform(
-        check.withColumn("__c", _odds("content")).withColumn("__m", _odds("meta")))
-    return CoModel(models, _regression("both", 1e-3).fit(both), float(share[1]))
+    picked = rows.join(F.broadcast(some.unionByName(free.withColumn("y", F.lit(None).cast("double")))), "__id")  # labelled + pool ids
+    fold = F.pmod(F.xxhash64("__id", F.lit(11)), F.lit(HELD)).cast("int").alias("fold")
+
+    def features(batches):
+        for batch in batches:
+            for one in slices(batch, "text"):
+                f, size = content_features(one.column("text"))
+                parts = np.split(f.astype(np.int32), np.cumsum(size)[:-1]) if len(size) else []
+                yield pa.RecordBatch.from_arrays([*(one.column(c) for c in ("y", "fold", "__m0", "__m1", "__m2")),
+                                                  pa.array([x.tobytes() for x in parts], pa.binary())],
+                                                 names=["y", "fold", "__m0", "__m1", "__m2", "features"])
+
+    data = saved(picked.select("text", "y", fold, "__m0", "__m1", "__m2").mapInArrow(
+        features, "y double, fold int, __m0 int, __m1 int, __m2 int, features binary"), "views")
+    n, mean = data.agg(F.count("y"), F.avg("y")).first()
+    if not n or mean in (0.0, 1.0):
+        return CoModel(None, 1.0 if mean is None else float(mean))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"w": [x.tobytes() for x in co_train(pdf, rounds, sure)]})
+
+    # labelled + pool rows at most: one task, three rows of fixed size
+    found = data.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(run, "w binary").collect()
+    weights = sorted((np.frombuffer(bytes(r.w)) for r in found), key=len, reverse=True)
+    return CoModel(tuple(weights), float(mean))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
