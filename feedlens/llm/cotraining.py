@@ -1,6 +1,6 @@
 """Quality classifier by co-training a text view and a page-metadata view.
 
-Two logistic regressions look at different sides of a document: the words and the
+Two logistic regressions over the log-odds of features look at different sides of a document: the words and the
 shape of its text, and its metadata (source, language, size).  Both start from the
 labelled rows.  In each round every view labels the documents of an unlabelled pool
 that it is sure about, and the other view learns from them too.  A last regression
@@ -33,16 +33,21 @@ from pyspark.sql import functions as F
 
 from .common import saved
 from .kneser_ney import slices
-from .words import _buffers, hash_words
+from .words import _buffers, hash_parts
 
-LABELLED, POOL = 16_000, 6_000      # most rows that are fitted on
-ROUNDS, SURE = 3, 0.95              # rounds of exchange; how sure a pseudo-label has to be
+LABELLED, POOL = 10_000, 4_000      # most rows that are fitted on
+ROUNDS, SURE = 2, 0.95              # rounds of exchange; how sure a pseudo-label has to be
 WORDS, META = 1 << 18, 1 << 10      # feature buckets of words and of metadata values
 HELD = 5                            # one labelled row in so many calibrates
 THRESHOLD = 0.5
 PENALTY = {"content": 1e-4, "meta": 1e-3, "both": 1e-3}
 ITERATIONS = 120                    # of one regression at most
 
+PREFIXES = (4, 5)                   # bytes of a word's start that count beside the whole word
+SEEN = 3                            # a feature has to be in so many labelled rows
+
+#: Words are parted by all ASCII bytes but letters and digits.
+_PARTS = np.array([not (chr(b).isalnum() or b > 127) for b in range(256)])
 #: Shares of these bytes tell running text from other text.
 _KINDS = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".,;:'\"()-", b" \t\r\n", b"\n", b"|{}<>=", b"!?$%&*#@"]
 _STEPS = 21                         # a share counts by its step, each with a weight of its own
@@ -53,10 +58,13 @@ _CONTENT = WORDS + len(_KINDS) * _STEPS + 11
 
 def content_features(column) -> tuple[np.ndarray, np.ndarray]:
     """(feature numbers of all rows, how many each row has): distinct words and steps of shape."""
-    words, counts = hash_words(column)
+    parts, counts = hash_parts(column, _PARTS, PREFIXES)
     n = len(counts)
-    row = np.repeat(np.arange(n), counts)
-    pairs = np.unique(row * WORDS + (words & np.uint64(WORDS - 1)).astype(np.int64))
+    row = np.repeat(np.arange(n), counts) * WORDS
+    bucket = lambda h, k: ((h + np.uint64(k)) & np.uint64(WORDS - 1)).astype(np.int64)
+    whole = np.unique(row + bucket(parts[0], 0))
+    words = np.bincount(whole // WORDS, minlength=n)
+    pairs = np.unique(np.concatenate([whole, *(row + bucket(h, k) for k, h in enumerate(parts[1:], 1))]))
     distinct = np.bincount(pairs // WORDS, minlength=n)
     offsets, data = _buffers(column)
     size = np.diff(offsets)
@@ -69,7 +77,7 @@ def content_features(column) -> tuple[np.ndarray, np.ndarray]:
         total = np.concatenate([[0], np.cumsum(table[raw])])
         share = (total[ends] - total[ends - size]) / np.maximum(size, 1)
         shape.append(WORDS + k * _STEPS + np.minimum((np.sqrt(share) * (_STEPS - 1)).astype(np.int64), _STEPS - 1))
-    shape.append(WORDS + len(_KINDS) * _STEPS + (10 * distinct / np.maximum(counts, 1)).astype(np.int64))
+    shape.append(WORDS + len(_KINDS) * _STEPS + (10 * words / np.maximum(counts, 1)).astype(np.int64))
     feature = np.concatenate([pairs % WORDS, *shape])
     at = np.concatenate([pairs // WORDS, *([np.arange(n)] * len(shape))])
     return feature[np.argsort(at, kind="stable")], distinct + len(shape)
@@ -86,9 +94,9 @@ def _tags(source: Column, lang: Column, size: Column) -> list[Column]:
 
 def _linear(feature, size, w):
     """Sums of weights by row; the last weight is the intercept."""
-    total = np.concatenate([[0.0], np.cumsum(w[feature])])
-    end = np.cumsum(size)
-    return total[end] - total[end - size] + w[-1]
+    if not len(size):
+        return np.zeros(0)
+    return np.add.reduceat(w[feature], np.cumsum(size) - size) + w[-1]     # no row is without features
 
 
 def _fit_rows(value, gradient, w, iterations=ITERATIONS, memory=8):
@@ -108,7 +116,7 @@ def _fit_rows(value, gradient, w, iterations=ITERATIONS, memory=8):
         step, slope = 1.0 if pairs else 1.0 / max(np.abs(g).sum(), 1e-12), g @ d
         while (new := value(w + step * d)) > f + 1e-4 * step * slope and step > 1e-10:
             step /= 2
-        if new >= f - 1e-8 * max(abs(f), 1e-12):
+        if new >= f - 1e-6 * max(abs(f), 1e-12):
             return w if new > f else w + step * d
         s, before = step * d, g
         w, f = w + s, new
@@ -118,16 +126,13 @@ def _fit_rows(value, gradient, w, iterations=ITERATIONS, memory=8):
     return w
 
 
-def logistic(feature, size, y, width, penalty, start=None, value=None) -> np.ndarray:
-    """Weights (intercept last) of a logistic regression over features of 1, or of ``value``."""
+def logistic(feature, size, y, width, penalty, value=None) -> np.ndarray:
+    """Weights (intercept last) of a logistic regression over features of 1, or of ``value`` each."""
     row = np.repeat(np.arange(len(size)), size)
-    v = np.ones(len(feature)) if value is None else value
-    sign = 2 * y - 1
+    v, sign, starts = 1.0 if value is None else value, 2 * y - 1, np.cumsum(size) - size
 
     def margin(w):
-        total = np.concatenate([[0.0], np.cumsum(v * w[feature])])
-        end = np.cumsum(size)
-        return sign * (total[end] - total[end - size] + w[-1])
+        return sign * (np.add.reduceat(w[feature] if value is None else v * w[feature], starts) + w[-1])
 
     def loss(w):
         return np.logaddexp(0, -margin(w)).mean() + penalty / 2 * (w[:-1] @ w[:-1])
@@ -139,7 +144,7 @@ def logistic(feature, size, y, width, penalty, start=None, value=None) -> np.nda
         g[-1] = r.sum()
         return g
 
-    return _fit_rows(loss, slope, np.zeros(width + 1) if start is None else start)
+    return _fit_rows(loss, slope, np.zeros(width + 1))
 
 
 def _probability(z):
@@ -155,6 +160,10 @@ def co_train(pdf: pd.DataFrame, rounds: int, sure: float) -> tuple[np.ndarray, n
     if held.sum() < 2 or len(set(y[held])) < 2 or len(set(y[known & ~held])) < 2:
         held = np.zeros(len(y), bool)                # too few to calibrate on other rows
     train = known & ~held
+    # features of hardly any labelled row are left out of the fit: their weights stay 0
+    seen = np.bincount(np.concatenate([rows[i] for i in np.flatnonzero(train)]), minlength=_CONTENT) >= SEEN
+    seen[WORDS:] = True
+    rows = [x[seen[x]] for x in rows]
 
     def data(view, at):
         if view == "meta":
@@ -162,7 +171,16 @@ def co_train(pdf: pd.DataFrame, rounds: int, sure: float) -> tuple[np.ndarray, n
         return np.concatenate([rows[i] for i in at]), np.array([len(rows[i]) for i in at])
 
     width = {"content": _CONTENT, "meta": META}
-    fit = lambda view, at, label, start=None: logistic(*data(view, at), label, width[view], PENALTY[view], start)
+
+    def fit(view, at, label):
+        # each feature counts by its log-odds among the rows, so rare but telling ones are not shrunk away
+        feature, size = data(view, at)
+        good = np.bincount(feature, np.repeat(label, size), width[view]) + 1
+        bad = np.bincount(feature, np.repeat(1 - label, size), width[view]) + 1
+        odds = np.log(good / (label.sum() + 2)) - np.log(bad / ((1 - label).sum() + 2))
+        w = logistic(feature, size, label, width[view], PENALTY[view], value=odds[feature])
+        return np.append(odds * w[:-1], w[-1])
+
     base, pool = np.flatnonzero(train), np.flatnonzero(~known)
     w = {v: fit(v, base, y[base]) for v in width}
     for _ in range(rounds if len(pool) else 0):
@@ -171,7 +189,7 @@ def co_train(pdf: pd.DataFrame, rounds: int, sure: float) -> tuple[np.ndarray, n
             p = _probability(_linear(*data(other, pool), w[other]))
             sure_at = np.flatnonzero((p >= sure) | (p <= 1 - sure))
             at = np.concatenate([base, pool[sure_at]])
-            learned[view] = fit(view, at, np.concatenate([y[base], (p[sure_at] >= 0.5).astype(float)]), w[view])
+            learned[view] = fit(view, at, np.concatenate([y[base], (p[sure_at] >= 0.5).astype(float)]))
         w = learned
     check = np.flatnonzero(held) if held.any() else base
     z = np.stack([_linear(*data(v, check), w[v]) for v in width], 1)

@@ -63,16 +63,24 @@ def _buffers(column) -> tuple[np.ndarray, np.ndarray]:
 
 def hash_words(column) -> tuple[np.ndarray, np.ndarray]:
     """(word hashes of all rows in order, number of words of each row)."""
+    (hashes,), counts = hash_parts(column)
+    return hashes, counts
+
+
+def hash_parts(column, blank: np.ndarray = _BLANK, prefixes: tuple[int, ...] = ()) -> tuple[list[np.ndarray], np.ndarray]:
+    """([hashes of whole words, of their first ``prefixes[0]`` bytes, ...], words of each row);
+    ``blank`` tells which bytes part words."""
     offsets, data = _buffers(column)
     n = len(offsets) - 1
-    hashes, counts = [np.zeros(0, np.uint64)], np.zeros(n, np.int64)
+    hashes: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)] for _ in range(1 + len(prefixes))]
+    counts = np.zeros(n, np.int64)
     row = 0
     while row < n:                              # segments of whole rows, about 1 MB each
         last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + _SEGMENT_BYTES, "right")) - 1)
         lo, hi = int(offsets[row]), int(offsets[last])
         if hi > lo:
             raw = data[lo:hi]
-            inside = ~_BLANK[raw]
+            inside = ~blank[raw]
             begins = inside.copy()
             begins[1:] &= ~inside[:-1]
             ends = inside.copy()
@@ -85,11 +93,13 @@ def hash_words(column) -> tuple[np.ndarray, np.ndarray]:
             power, inverse = _power_tables(hi - lo)
             total = np.zeros(hi - lo + 1, np.uint64)
             np.cumsum(_BYTE_CODE[_LOWER[raw]] * power[:hi - lo], out=total[1:])
-            h = (total[past] - total[first]) * inverse[first]
-            hashes.append(mix(h + (past - first).astype(np.uint64)))
+            for out, size in zip(hashes, (hi - lo, *prefixes), strict=True):
+                end = np.minimum(first + size, past)
+                h = (total[end] - total[first]) * inverse[first]
+                out.append(mix(h + (end - first).astype(np.uint64)))
             counts[row:last] = np.diff(np.searchsorted(first, edges, "left"))
         row = last
-    return np.concatenate(hashes), counts
+    return [np.concatenate(h) for h in hashes], counts
 
 
 def shingles(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
