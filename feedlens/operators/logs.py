@@ -57,9 +57,10 @@ def error_rate(log: DataFrame, group=()) -> DataFrame:
 
 def slowest(log: DataFrame, n: int = 20) -> DataFrame:
     """OPS5 (sorted durations): the ``n`` slowest events, a top-n report."""
-    w = Window.orderBy(F.col("duration").desc(), F.col("event_id"))
-    return log.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n) \
-        .select("rank", "event_id", "ts", "user_id", "event_type", "duration")
+    order = [F.col("duration").desc(), F.col("event_id")]
+    top = log.orderBy(*order).limit(n)          # n rows from here on
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order))).select(
+        "rank", "event_id", "ts", "user_id", "event_type", "duration")
 
 
 def duration_stats(log: DataFrame, group=("event_type",)) -> DataFrame:
@@ -96,11 +97,14 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, probs) -> DataF
     return out.select(*group, *cols)
 
 
-def alarms(stats: DataFrame, rate: DataFrame, error_pct: float = 5.0, p95_limit: float = 10.0):
-    """OPS8 flags: error rate over 5 %, p95 over the limit."""
-    return (rate.select(*[c for c in rate.columns], (F.col("error_rate_pct") > error_pct)
-                        .alias("error_alarm")),
-            stats.withColumn("latency_alarm", F.col("p95") > p95_limit))
+def alarms(log: DataFrame, group=("event_type",), error_pct: float = 5.0,
+           p95_limit: float = 10.0) -> DataFrame:
+    """OPS8 flags per group: error rate over 5 %, p95 over the limit."""
+    group = list(group)
+    both = error_rate(log, group).join(exact_quantiles(log, group, "duration", (0.95,)), group)
+    return both.select(*group, "requests", "error_rate_pct", "p95",
+                       (F.col("error_rate_pct") > error_pct).alias("error_alarm"),
+                       (F.col("p95") > p95_limit).alias("latency_alarm"))
 
 
 def cold_warm(log: DataFrame, gap_minutes: int = 15) -> DataFrame:

@@ -233,8 +233,9 @@ def cluster_sentiment(scored: DataFrame, group=("request_id", "dataset", "cluste
         F.sum(F.when((v < t) & (v > -t), c).otherwise(0)).alias("neutral"),
         F.sum(F.when(v <= -t, c).otherwise(0)).alias("negative"),
         # compound has 4 decimals: sums of compound*10^4 are exact integers.
-        F.sum(F.round(v * 10000).cast("long") * c).alias("_s1"),
-        F.sum(F.round(v * 10000).cast("long") * F.round(v * 10000).cast("long") * c).alias("_s2"),
+        F.sum((F.round(v * 10000).cast("long") * c).cast("decimal(38,0)")).alias("_s1"),
+        F.sum((F.round(v * 10000).cast("decimal(10,0)") * F.round(v * 10000).cast("decimal(10,0)")
+               * c.cast("decimal(18,0)")).cast("decimal(38,0)")).alias("_s2"),
         F.min(v).alias("_min"),
         F.max(v).alias("_max"),
         ((F.min(F.when(F.col("_cum") >= k1, v)) + F.min(F.when(F.col("_cum") >= k2, v))) / 2)

@@ -39,6 +39,7 @@ def _too_long(n: int) -> str:
 
 
 _TOO_SHORT = "String should have at least 1 character"
+_NOT_STRING = "Input should be a valid string"
 
 
 def _violation(df: DataFrame, field, message, typ, severity="error") -> DataFrame:
@@ -50,33 +51,51 @@ def _path(*parts) -> F.Column:
     return F.concat_ws(".", *[p if not isinstance(p, str) else F.lit(p) for p in parts])
 
 
+def _first(cond, field, message, typ, severity="error") -> F.Column:
+    """One possible violation of a row: a struct, or null when ``cond`` does not hold."""
+    return F.when(cond, F.struct(field.alias("field"), message.alias("message"),
+                                 F.lit(typ).alias("type"), F.lit(severity).alias("severity")))
+
+
+def _explode_violations(df: DataFrame, rules: list[F.Column]) -> DataFrame:
+    """All violations of all rules in one pass over the rows."""
+    found = F.filter(F.array(*rules), lambda v: v.isNotNull())
+    return df.select("request_id", F.explode(found).alias("_v")).select("request_id", "_v.*")
+
+
 def sentence_violations(sentences: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """VAL1, VAL3, VAL4 (and VAL9's dotted field path) per sentence row."""
+    """VAL1, VAL3, VAL4 (and VAL9's dotted field path) per sentence row.
+
+    A NULL sentence or id is a ``string_type`` violation.
+    """
     s = sentences.select("request_id", "dataset", "pos", "id", "sentence")
     raw_len = F.length("sentence")
-    sent_field = _path(F.col("dataset"), F.col("pos").cast("string"), "sentence")
-    id_field = _path(F.col("dataset"), F.col("pos").cast("string"), "id")
-    out = [
-        _violation(s.where(raw_len < C.SENTENCE_MIN_CHARS), sent_field, F.lit(_TOO_SHORT),
-                   "string_too_short"),
-        _violation(s.where(F.length("id") < C.ID_MIN_CHARS), id_field, F.lit(_TOO_SHORT),
-                   "string_too_short"),
+    at = F.coalesce(F.col("pos").cast("string"), F.lit("?"))
+    sent_field = _path(F.col("dataset"), at, "sentence")
+    id_field = _path(F.col("dataset"), at, "id")
+    rules = [
+        _first(F.col("sentence").isNull(), sent_field, F.lit(_NOT_STRING), "string_type"),
+        _first(F.col("id").isNull(), id_field, F.lit(_NOT_STRING), "string_type"),
+        _first(raw_len < C.SENTENCE_MIN_CHARS, sent_field, F.lit(_TOO_SHORT), "string_too_short"),
+        _first(F.length("id") < C.ID_MIN_CHARS, id_field, F.lit(_TOO_SHORT), "string_too_short"),
     ]
     ok_len = raw_len >= C.SENTENCE_MIN_CHARS
     if limits.sentence_max_chars is not None:
-        out.append(_violation(s.where(raw_len > limits.sentence_max_chars), sent_field,
-                              F.lit(_too_long(limits.sentence_max_chars)), "string_too_long"))
+        rules.append(_first(raw_len > limits.sentence_max_chars, sent_field,
+                            F.lit(_too_long(limits.sentence_max_chars)), "string_too_long"))
         ok_len = ok_len & (raw_len <= limits.sentence_max_chars)
     if limits.id_max_chars is not None:
-        out.append(_violation(s.where(F.length("id") > limits.id_max_chars), id_field,
-                              F.lit(_too_long(limits.id_max_chars)), "string_too_long"))
+        rules.append(_first(F.length("id") > limits.id_max_chars, id_field,
+                            F.lit(_too_long(limits.id_max_chars)), "string_too_long"))
     # VAL3 runs only once the raw length passed (as the field validator does).
-    out.append(_violation(s.where(ok_len & (unicode_strip("sentence") == "")), sent_field,
-                          F.lit("Value error, " + C.MSG_EMPTY_SENTENCE), "value_error"))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res
+    rules.append(_first(ok_len & (unicode_strip("sentence") == ""), sent_field,
+                        F.lit("Value error, " + C.MSG_EMPTY_SENTENCE), "value_error"))
+    return _explode_violations(s, rules)
+
+
+def id_counts(sentences: DataFrame) -> DataFrame:
+    """Rows per (request_id, dataset, id): what VAL5 and the size rules are read from."""
+    return sentences.groupBy("request_id", "dataset", "id").agg(F.count(F.lit(1)).alias("c"))
 
 
 def dataset_counts(sentences: DataFrame) -> DataFrame:
@@ -84,13 +103,13 @@ def dataset_counts(sentences: DataFrame) -> DataFrame:
     return sentences.groupBy("request_id", "dataset").agg(F.count(F.lit(1)).alias("n"))
 
 
-def duplicate_id_violations(sentences: DataFrame) -> DataFrame:
+def duplicate_id_violations(sentences: DataFrame, per_id: DataFrame | None = None) -> DataFrame:
     """VAL5: ids repeated inside one dataset; message lists up to five."""
+    per_id = per_id if per_id is not None else id_counts(sentences)
     # Only the first five ids (by id) per dataset are kept before collecting,
     # so the list is bounded however many ids repeat.
     w = Window.partitionBy("request_id", "dataset").orderBy("id")
-    dup = (sentences.groupBy("request_id", "dataset", "id").agg(F.count(F.lit(1)).alias("c"))
-           .where("c > 1")
+    dup = (per_id.where("c > 1 and id is not null")
            .withColumn("_rn", F.row_number().over(w))
            .where(F.col("_rn") <= C.MAX_DUPLICATES_LISTED)
            .groupBy("request_id", "dataset")
@@ -109,44 +128,36 @@ def size_violations(meta: DataFrame, counts: DataFrame, limits: Limits = Limits(
     per_req = (counts.groupBy("request_id").agg(
         F.sum(F.when(F.col("dataset") == "baseline", F.col("n")).otherwise(0)).alias("nb"),
         F.sum(F.when(F.col("dataset") == "comparison", F.col("n")).otherwise(0)).alias("nc")))
-    per_req = meta.select("request_id").join(per_req, "request_id", "left").fillna(0, ["nb", "nc"])
+    per_req = meta.join(per_req, "request_id", "left").fillna(0, ["nb", "nc"])
     total = F.col("nb") + F.col("nc")
-    out = [_violation(per_req.where(F.col("nb") == 0), F.lit("baseline"),
-                      F.lit("List should have at least 1 item after validation, not 0"),
-                      "too_short")]
+    rules = [_first(F.col("nb") == 0, F.lit("baseline"),
+                    F.lit("List should have at least 1 item after validation, not 0"), "too_short")]
     if limits.dataset_max_items is not None:
         m = limits.dataset_max_items
         for name, c in (("baseline", "nb"), ("comparison", "nc")):
-            out.append(_violation(
-                per_req.where(F.col(c) > m), F.lit(name),
-                F.concat(F.lit(f"List should have at most {m} items after validation, not "),
-                         F.col(c).cast("string")), "too_long"))
+            rules.append(_first(F.col(c) > m, F.lit(name),
+                                F.concat(F.lit(f"List should have at most {m} items after validation, not "),
+                                         F.col(c).cast("string")), "too_long"))
     if limits.total_max_items is not None:
         m = limits.total_max_items
-        out.append(_violation(
-            per_req.where(total > m), F.lit(""),
-            F.format_string(f"Value error, Total sentences (%d) exceeds maximum ({m}). "
-                            "Baseline: %d, Comparison: %d", total, F.col("nb"), F.col("nc")),
-            "value_error"))
+        rules.append(_first(total > m, F.lit(""),
+                            F.format_string(f"Value error, Total sentences (%d) exceeds maximum ({m}). "
+                                            "Baseline: %d, Comparison: %d", total, F.col("nb"), F.col("nc")),
+                            "value_error"))
     if limits.total_warn_items is not None:
         w = limits.total_warn_items
         cond = total > w
         if limits.total_max_items is not None:
             cond = cond & (total <= limits.total_max_items)
-        out.append(_violation(
-            per_req.where(cond), F.lit(""),
-            F.format_string("Large request: %d sentences (may exceed 10s latency target)", total),
-            "large_request", severity="warning"))
+        rules.append(_first(cond, F.lit(""),
+                            F.format_string("Large request: %d sentences (may exceed 10s latency target)", total),
+                            "large_request", severity="warning"))
     for field, limit in (("query", C.QUERY_MAX_CHARS), ("survey_title", C.SURVEY_TITLE_MAX_CHARS),
                          ("theme", C.THEME_MAX_CHARS)):
         if field in meta.columns:
             name = "surveyTitle" if field == "survey_title" else field
-            out.append(_violation(meta.where(F.length(field) > limit), F.lit(name),
-                                  F.lit(_too_long(limit)), "string_too_long"))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res
+            rules.append(_first(F.length(field) > limit, F.lit(name), F.lit(_too_long(limit)), "string_too_long"))
+    return _explode_violations(per_req, rules)
 
 
 def corrupt_violations(requests: DataFrame) -> DataFrame:
@@ -169,9 +180,11 @@ def violations(sentences: DataFrame, meta: DataFrame | None = None,
                limits: Limits = Limits()) -> DataFrame:
     """VAL9: every violation of every rule, one row each."""
     meta = meta if meta is not None else meta_from_sentences(sentences)
+    per_id = id_counts(sentences)
+    counts = per_id.groupBy("request_id", "dataset").agg(F.sum("c").alias("n"))
     return (sentence_violations(sentences, limits)
-            .unionByName(duplicate_id_violations(sentences))
-            .unionByName(size_violations(meta, dataset_counts(sentences), limits)))
+            .unionByName(duplicate_id_violations(sentences, per_id))
+            .unionByName(size_violations(meta, counts, limits)))
 
 
 def keep_first(sentences: DataFrame) -> DataFrame:

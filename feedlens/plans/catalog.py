@@ -25,7 +25,7 @@ from ..streaming import jobs as ST
 from ..operators import sentiment as S
 from ..operators.validation import Limits, keep_first, violations
 from ..session import materialize, read_table, spread
-from ..sources.tables import embeddings_as_vectors
+from ..sources.tables import documents_to_sentences, embeddings_as_vectors
 from .analyze import analyze
 from .inputs import conv_sentences, doc_aspects, doc_lexicon, doc_lines, doc_sentences
 
@@ -48,7 +48,7 @@ def q_sentences_documents(spark, sf_dir):
 
 def q_validation_violations(spark, sf_dir):
     """VAL1-VAL9: all violations of the service limits, one row each."""
-    return violations(doc_lines(spark, sf_dir), limits=Limits())
+    return violations(documents_to_sentences(read_table(spark, sf_dir, "documents")), limits=Limits())
 
 
 def q_keep_first_by_text(spark, sf_dir):
@@ -220,7 +220,7 @@ QUERIES.update({
 def _log(spark, sf_dir):
     # Days and bins are UTC calendar units; the log's timestamps are UTC.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return L.parse(spread(read_table(spark, sf_dir, "events"), "event_id"))
+    return L.parse(read_table(spark, sf_dir, "events"))
 
 
 def q_log_counts(spark, sf_dir):
@@ -239,6 +239,11 @@ def q_log_duration_stats(spark, sf_dir):
     return L.duration_stats(_log(spark, sf_dir))
 
 
+def q_log_alarms(spark, sf_dir):
+    """OPS8: per event type the error rate and p95 with their alarm flags."""
+    return L.alarms(_log(spark, sf_dir), group=["event_type"])
+
+
 def q_log_slowest(spark, sf_dir):
     """OPS5: the 20 slowest events (a top-n report)."""
     return L.slowest(_log(spark, sf_dir), 20)
@@ -385,6 +390,7 @@ QUERIES.update({
     "log_counts": q_log_counts,
     "log_error_rate": q_log_error_rate,
     "log_duration_stats": q_log_duration_stats,
+    "log_alarms": q_log_alarms,
     "log_slowest": q_log_slowest,
     "log_cold_warm": q_log_cold_warm,
     "log_error_context": q_log_error_context,
@@ -540,13 +546,13 @@ def q_algorithm_comparison(spark, sf_dir):
     rows = []
     for name, lab in (("given", given), ("kmeans", km)):
         st = CL.cluster_stats(lab).join(CL.silhouette(pts, lab, EMB_DIM), ["request_id", "dataset"])
-        rows.append(st.select(F.lit(name).alias("algorithm"), "n_clusters", "noise_ratio",
+        rows.append(st.select("request_id", "dataset", F.lit(name).alias("algorithm"), "n_clusters", "noise_ratio",
                               F.round("quality", 6).alias("quality")))
     ri = CL.rand_index(given.withColumnRenamed("cluster_id", "label_a"),
                        km.withColumnRenamed("cluster_id", "label_b"), ["pos"], ["request_id", "dataset"])
-    # One number for the pair of labelings, attached to both rows.
-    return rows[0].unionByName(rows[1]).withColumn("rand_index_vs_given",
-                                                   F.lit(ri.first().rand_index))
+    both = rows[0].unionByName(rows[1])
+    return both.join(ri.select("request_id", "dataset", F.col("rand_index").alias("rand_index_vs_given")),
+                     ["request_id", "dataset"])
 
 
 def q_lda_topics(spark, sf_dir):

@@ -259,12 +259,18 @@ per AS (SELECT r.request_id,
                coalesce(CAST(sum(CASE WHEN dataset = 'comparison' THEN 1 ELSE 0 END) AS BIGINT), 0) AS nc
         FROM (SELECT DISTINCT request_id FROM s) r LEFT JOIN s USING (request_id)
         GROUP BY r.request_id),
-dup AS (SELECT request_id, dataset, id FROM s GROUP BY ALL HAVING count(*) > 1),
+dup AS (SELECT request_id, dataset, id FROM s WHERE id IS NOT NULL GROUP BY ALL HAVING count(*) > 1),
 dupr AS (SELECT request_id, dataset, id,
                 row_number() OVER (PARTITION BY request_id, dataset ORDER BY id) AS rn FROM dup)
 SELECT request_id, {path} || 'sentence' AS field, {short} AS message,
        'string_too_short' AS type, 'error' AS severity FROM s WHERE length(sentence) < 1
 UNION ALL
+SELECT request_id, {path} || 'sentence', 'Input should be a valid string', 'string_type', 'error'
+FROM s WHERE sentence IS NULL
+UNION ALL
+SELECT request_id, {path} || 'id', 'Input should be a valid string', 'string_type', 'error'
+FROM s WHERE id IS NULL
+UNION ALL
 SELECT request_id, {path} || 'id', {short}, 'string_too_short', 'error' FROM s WHERE length(id) < 1
 UNION ALL
 SELECT request_id, {path} || 'sentence', {too_long(C.SENTENCE_MAX_CHARS)}, 'string_too_long', 'error'
@@ -667,6 +673,10 @@ SELECT event_type, count(*) AS n, {dround('avg(duration)', 6)} AS avg_duration,
        {dround('quantile_cont(duration, 0.95)', 6)} AS p95,
        {dround('quantile_cont(duration, 0.99)', 6)} AS p99
 FROM ({LOG}) l GROUP BY event_type""",
+        "log_alarms": f"""
+WITH a AS (SELECT event_type, count(*) AS requests, {dround('avg(CAST(is_error AS DOUBLE)) * 100', 4)} AS error_rate_pct,
+                  {dround('quantile_cont(duration, 0.95)', 6)} AS p95 FROM ({LOG}) l GROUP BY event_type)
+SELECT *, error_rate_pct > 5.0 AS error_alarm, p95 > 10.0 AS latency_alarm FROM a""",
         "log_slowest": f"""
 SELECT * FROM (
   SELECT CAST(row_number() OVER (ORDER BY duration DESC, event_id) AS INTEGER) AS rank,

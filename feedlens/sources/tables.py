@@ -23,9 +23,14 @@ from pyspark.sql import functions as F
 LINE_STRIDE = 1_000_000
 
 
+def _lines(col: str) -> F.Column:
+    """The lines of a text; a NULL text is one NULL line, which validation reports."""
+    return F.coalesce(F.split(col, "\n"), F.array(F.lit(None).cast("string")))
+
+
 def documents_to_sentences(docs: DataFrame, with_theme: bool = True) -> DataFrame:
     lines = docs.select("doc_id", "source", "lang", "n_chars",
-                        F.posexplode(F.split("text", "\n")).alias("line_no", "sentence"))
+                        F.posexplode(_lines("text")).alias("line_no", "sentence"))
     cols = [
         F.col("source").alias("request_id"),
         F.when(F.coalesce(F.col("n_chars"), F.lit(0)) % 2 == 0, F.lit("baseline"))
@@ -42,7 +47,7 @@ def documents_to_sentences(docs: DataFrame, with_theme: bool = True) -> DataFram
 
 def conversations_to_sentences(convs: DataFrame) -> DataFrame:
     lines = convs.select("conv_id", "turn", "role",
-                         F.posexplode(F.split("text", "\n")).alias("line_no", "sentence"))
+                         F.posexplode(_lines("text")).alias("line_no", "sentence"))
     return lines.select(
         F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("request_id"),
         F.when(F.col("role") == "user", F.lit("baseline")).otherwise(F.lit("comparison"))

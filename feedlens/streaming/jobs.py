@@ -57,12 +57,13 @@ def run_available(stream: DataFrame, job: str, batch_fn=None, output_mode: str =
              .option("checkpointLocation", ck).outputMode(output_mode)
              .trigger(availableNow=True).start())
     else:
-        def write(df, _epoch):
-            batch_fn(df).write.mode("append").parquet(data)
+        def write(df, epoch):               # a retried batch overwrites its own folder
+            batch_fn(df).write.mode("overwrite").parquet(f"{data}/batch_id={epoch}")
         q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", ck)
              .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(data)
+    out = spark.read.parquet(data)
+    return out if batch_fn is None else out.drop("batch_id")
 
 
 def score_stream(spark: SparkSession, sf_dir: str, lexicon: DataFrame) -> DataFrame:

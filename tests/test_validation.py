@@ -97,3 +97,21 @@ def test_corpus_limits_keep_whole_texts(spark):
     valid, viol = validate(s, limits=Limits.corpus(), strict=False)
     assert valid.first().sentence == "y" * 5000
     assert violations(s, limits=Limits.corpus()).count() == 0
+
+
+def test_null_sentence_and_id_are_reported(spark):
+    df = spark.createDataFrame([("r", "baseline", 0, "a", "fine"), ("r", "baseline", 1, "b", None),
+                                ("r", "baseline", 2, None, "no id")],
+                               "request_id string, dataset string, pos long, id string, sentence string")
+    valid, viol = validate(df, limits=Limits.corpus(), strict=False)
+    got = sorted((r.field, r.type) for r in viol.collect())
+    assert got == [("baseline.1.sentence", "string_type"), ("baseline.2.id", "string_type")]
+    assert [r.id for r in valid.collect()] == ["a"]
+    assert validate(df, limits=Limits.corpus(), strict=True)[0].count() == 0
+
+
+def test_null_text_becomes_a_reported_row(spark):
+    from feedlens.sources.tables import documents_to_sentences
+    docs = spark.createDataFrame([(1, None, "s", "en", 0)], "doc_id long, text string, source string, lang string, n_chars long")
+    viol = violations(documents_to_sentences(docs), limits=Limits())
+    assert [(r.type) for r in viol.collect()] == ["string_type"]
