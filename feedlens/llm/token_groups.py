@@ -15,14 +15,13 @@ Each text is the set of hashes of its word shingles; equal sets are one set.
    prefix token with it and have a member of fitting size; of two groups the smaller
    asks.  All sets of a group meet their own.  Groups that are not met stay closed.
 5. A group met is opened by blocks of members.  Inside a task the sketches bound each
-   overlap; pairs that could reach the required one, and whose sets do not hang together
-   yet, are compared exactly by their tokens, a few for each set and block and round.
-   Rounds go on until no such pair is left.
+   overlap; only sets with a pair that could reach the required one send their tokens to
+   the block.  There all such pairs are compared exactly, but for those whose sets hang
+   together by links found before in the block.
 
-A group of copies never becomes pairs of rows: equal sets are joined by their hash,
-members of one group meet in blocks inside a task, and what already hangs together is
-not compared again.  Many queries of one block are dealt over tasks, each with a copy of
-its members.
+A group of copies never becomes pairs of rows: equal sets are joined by their hash, and
+members of one group meet in blocks inside a task, which returns fewer links than it has
+sets.  Many queries of one block are dealt over tasks, each with a copy of its members.
 
 Defined results: A-Z lower-cased; fewer words than the width give one token; null and
 blank texts have an empty set and no links; rows with equal ids each have their own
@@ -48,7 +47,6 @@ FREQUENCY_BITS = 20         # the frequency table has so many counters at most,
 STARTS = 4                  # first tokens of a set by which it finds a group
 ALIKE = 60                  # percent: sets that look less alike are not put in one group
 BLOCK = 512                 # members of a group, and queries, compared at once
-PROPOSALS = 4               # pairs of a set and a block compared exactly in one round
 TASK_ROWS = 20_000          # queries and members in one task, on average
 _PAIRS = 1 << 20            # pairs of sketches compared at once in a task
 
@@ -219,71 +217,74 @@ def _alike(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def _propose(percent: int, turn: int):
-    """Pairs of a task's queries and members whose sketches allow the similarity.
+def _possible(q: pd.DataFrame, m: pd.DataFrame, raw: list[bytes], percent: int):
+    """Yields (i, j): query and member rows of one block that their sketches do not keep apart.
 
-    Of each query row the pairs number ``turn`` * PROPOSALS and on, nearest first; a row with
-    ``more`` tells that later pairs of sets that do not hang together are left.  In the first
-    turn the rows (set, null) name all sets of such pairs.
+    Both frames are sorted by block; ``raw`` holds the sketches of the queries, then the members.
     """
+    sq, sm, nq, nm, own = q.set.to_numpy(), m.set.to_numpy(), q.n.to_numpy(), m.n.to_numpy(), q.own.to_numpy(bool)
+    lo, hi = (np.searchsorted(m.block.to_numpy(), q.block.to_numpy(), side) for side in ("left", "right"))
+    reach, at = np.cumsum(hi - lo), 0
+    while at < len(q):
+        end = max(at + 1, int(np.searchsorted(reach, (reach[at - 1] if at else 0) + _PAIRS, "right")))
+        k = (hi - lo)[at:end]
+        i = np.repeat(np.arange(at, end), k)
+        j = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) + np.repeat(lo[at:end], k)
+        fit = (~own[i] | (sq[i] < sm[j])) & (sq[i] != sm[j])
+        fit &= (nq[i] * 100 >= nm[j] * percent) & (nm[j] * 100 >= nq[i] * percent)
+        i, j = i[fit], j[fit]
+        if len(i):
+            got, _ = _differing(raw, i, j + len(q))
+            fit = got <= _allowed(percent, nq[i] + nm[j])
+            yield i[fit], j[fit]
+        at = end
+
+
+def _sides(pdf: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    return tuple(pdf[pdf.asks == side].sort_values(["block", "set"]) for side in (True, False))
+
+
+def _survivors(percent: int):
+    """Of a task's rows those with a pair that could be similar enough."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        q, m = pdf[pdf.asks].sort_values("block"), pdf[~pdf.asks].sort_values("block")
-        out = []
-        raw = [*q.sketch, *m.sketch]
-        sq, sm, nq, nm, cq, cm = (d[c].to_numpy() for c in ("set", "n", "class") for d in (q, m))
-        own = q.own.to_numpy()
-        lo, hi = (np.searchsorted(m.block.to_numpy(), q.block.to_numpy(), side) for side in ("left", "right"))
-        reach = np.cumsum(hi - lo)
-        at = 0
-        while at < len(q):
-            end = max(at + 1, int(np.searchsorted(reach, (reach[at - 1] if at else 0) + _PAIRS, "right")))
-            k = (hi - lo)[at:end]
-            i = np.repeat(np.arange(at, end), k)
-            j = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) + np.repeat(lo[at:end], k)
-            fit = (~own[i] | (sq[i] < sm[j])) & (sq[i] != sm[j])
-            fit &= (nq[i] * 100 >= nm[j] * percent) & (nm[j] * 100 >= nq[i] * percent)
-            i, j = i[fit], j[fit]
-            if len(i):
-                got, _ = _differing(raw, i, j + len(q))
-                fit = got <= _allowed(percent, nq[i] + nm[j])
-                i, j, got = i[fit], j[fit], got[fit]
-                order = np.lexsort((sm[j], got, i))
-                i, j = i[order], j[order]
-                # the number of a pair must not depend on what hangs together by now
-                rank = np.arange(len(i)) - np.searchsorted(i, i)
-                apart = cq[i] != cm[j]
-                now = apart & (rank >= turn * PROPOSALS) & (rank < (turn + 1) * PROPOSALS)
-                out.append(pd.DataFrame({"a": sq[i[now]], "b": sm[j[now]], "more": False}))
-                if (apart & (rank >= (turn + 1) * PROPOSALS)).any():
-                    out.append(pd.DataFrame({"a": [0], "b": [None], "more": [True]}))
-                if turn == 0:
-                    sets = np.unique(np.concatenate([sq[i], sm[j]]))
-                    out.append(pd.DataFrame({"a": sets, "b": [None] * len(sets), "more": False}))
-            at = end
-        if not out:
-            return pd.DataFrame({"a": [], "b": [], "more": []}).astype({"a": "int64", "b": "Int64", "more": bool})
-        return pd.concat([x.astype({"a": "int64", "b": "Int64", "more": bool}) for x in out])
+        q, m = _sides(pdf)
+        keep_q, keep_m = np.zeros(len(q), bool), np.zeros(len(m), bool)
+        for i, j in _possible(q, m, [*q.sketch, *m.sketch], percent):
+            keep_q[i] = keep_m[j] = True
+        return pd.concat([q[keep_q], m[keep_m]])[["block", "set", "n", "own", "asks"]]
     return run
 
 
-def _exact(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose whole sets are similar enough."""
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("ta"), batch.column("tb"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                shared = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
-    left, right = (tokens.select(F.col("set").alias(k), F.col("tokens").alias(f"t{k}")) for k in ("a", "b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+def _links(percent: int):
+    """Exact links of a task's blocks, at most one fewer than a block has sets."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        q, m = _sides(pdf)
+        tokens = {s: np.frombuffer(t, np.uint64) for s, t in zip(pdf.set, pdf.tokens, strict=True)}
+        raw = {s: sketches(t, np.array([len(t)]))[0] for s, t in tokens.items()}
+        out, root = [], {}
+        sq, sm = q.set.to_numpy(), m.set.to_numpy()
+
+        def find(x):
+            while (up := root.get(x, x)) != x:
+                root[x] = root.get(up, up)
+                x = up
+            return x
+
+        for i, j in _possible(q, m, [raw[s] for s in [*sq, *sm]], percent):
+            for a, b in zip(sq[i].tolist(), sm[j].tolist(), strict=True):
+                top_a, top_b = find(a), find(b)
+                if top_a != top_b:
+                    x, y = tokens[a], tokens[b]
+                    shared = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+                    if 100 * shared >= percent * (len(x) + len(y) - shared):
+                        root[top_b] = top_a
+                        out.append((a, b))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    return run
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                 percent: int = 80, frequency_bits: int = FREQUENCY_BITS,
-                 max_rounds: int = 10_000) -> tuple[DataFrame, DataFrame]:
+                 percent: int = 80, frequency_bits: int = FREQUENCY_BITS) -> tuple[DataFrame, DataFrame]:
     """((id, n, set) of each document, (id, component) of the sets with links): every two sets
     with 100 * overlap >= percent * union are in one component, which such links make."""
     spark = docs.sparkSession
@@ -339,22 +340,13 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = saved(rows.join(chosen.select("set", "n", "sketch"), "set").withColumn("block", F.xxhash64("block", "part")).drop("part"), "meetings")
     tasks = max(partitions(spark), rows.count() // TASK_ROWS + 1)
 
-    tokens, links, classes = None, None, None
-    for turn in range(max_rounds):          # most texts are done after one; a dense group needs more
-        known = rows if classes is None else rows.join(classes, "set", "left")
-        known = known.withColumn("class", F.col("set") if classes is None else F.coalesce("class", F.col("set")))
-        found = saved(known.withColumn("task", F.pmod(F.xxhash64("block", F.lit(1)), F.lit(tasks))).groupBy("task").applyInPandas(
-            _propose(percent, turn), "a long, b long, more boolean"), "proposed")
-        if tokens is None:
-            wanted = chosen.join(found.where("b is null and not more").select(F.col("a").alias("set")).distinct(), "set", "left_semi")
-            texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            tokens = saved(_tokens_of(texts.join(wanted.select("id", "set"), "id"), width).dropDuplicates(["set"]), "tokens")
-        new = _exact(found.where("b is not null").select("a", "b").distinct(), tokens, percent)
-        links = saved(new if links is None else links.unionByName(new), "links")
-        classes = components(links).select(F.col("id").alias("set"), F.col("component").alias("class"))
-        if found.where("more").isEmpty():
-            return by_doc.select("id", "n", "set"), classes.select(F.col("set").alias("id"), F.col("class").alias("component"))
-    raise RuntimeError(f"pairs are left after {max_rounds} rounds")
+    dealt = lambda df: df.withColumn("task", F.pmod(F.xxhash64("block", F.lit(1)), F.lit(tasks))).groupBy("task")
+    left = saved(dealt(rows).applyInPandas(_survivors(percent), "block long, set long, n long, own boolean, asks boolean"), "survivors")
+    wanted = chosen.join(left.select("set").distinct(), "set", "left_semi").select("set", "id")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    tokens = _tokens_of(texts.join(wanted, "id"), width).dropDuplicates(["set"])
+    links = dealt(left.join(tokens, "set")).applyInPandas(_links(percent), "a long, b long")
+    return by_doc.select("id", "n", "set"), components(links)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
