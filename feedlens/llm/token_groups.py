@@ -8,8 +8,8 @@ Each text is the set of hashes of its word shingles; equal sets are one set.
    as a prefix leaves out fewer tokens than the required overlap.
 2. Each set has a sketch, a table of one-byte sums of its tokens by bucket: two sets
    differ in at least as many tokens as their sketches differ in buckets.
-3. Sets are partitioned into groups of similar sets: those that start with the same
-   token, and whose sketches look alike, go together.
+3. Sets are partitioned into groups of similar sets: those that have the same smallest
+   token under one of a few hash orders, and whose sketches look alike, go together.
 4. The token-group matrix holds, for each group, the union of the prefix tokens of its
    members, with the range of their sizes.  A set meets the other groups that share a
    prefix token with it and have a member of fitting size; of two groups the smaller
@@ -44,7 +44,7 @@ from .kneser_ney import slices
 from .words import hash_words, mix, shingles
 
 FREQUENCY_BITS = 20         # the frequency table has so many counters at most, at 8 bytes each
-STARTS = 4                  # first tokens of a set by which it finds a group
+ORDERS = 4                  # hash orders by whose smallest token a set finds a group
 ALIKE = 60                  # percent: sets that look less alike are not put in one group
 BLOCK = 512                 # members of a group, and queries, compared at once
 TASK_ROWS = 20_000          # queries and members in one task, on average
@@ -112,17 +112,29 @@ def _differing(raw: list[bytes], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarr
     return out, common
 
 
+def smallest(token: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The smallest token of each (non-empty) row under each hash order, as a number of that order."""
+    out = np.zeros((len(size), ORDERS), np.uint64)
+    full = size > 0
+    if full.any():
+        starts = (np.cumsum(size) - size)[full]
+        for k in range(ORDERS):
+            out[full, k] = np.minimum.reduceat(mix(token + np.uint64(k + 1)), starts)
+    return out
+
+
 def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, n, set, sketch) of each row; ``n`` is the size of the set."""
+    """(id, n, set, sketch, smallest) of each row; ``n`` is the size of the set."""
     def run(batches):
         for batch in batches:
             for some in slices(batch, "text"):
                 token, n, key = shingle_sets(some.column("text"), width)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("id"), pa.array(n, pa.int64()), pa.array(key.view(np.int64)), pa.array(sketches(token, n), pa.binary())],
-                    names=["id", "n", "set", "sketch"])
+                    [some.column("id"), pa.array(n, pa.int64()), pa.array(key.view(np.int64)), pa.array(sketches(token, n), pa.binary()),
+                     pa.array(list(smallest(token, n).view(np.int64)), pa.list_(pa.int64()))],
+                    names=["id", "n", "set", "sketch", "smallest"])
     kind = docs.schema[id_col].dataType.simpleString()
-    return _by_id(docs, id_col, text_col).mapInArrow(run, f"id {kind}, n long, set long, sketch binary")
+    return _by_id(docs, id_col, text_col).mapInArrow(run, f"id {kind}, n long, set long, sketch binary, smallest array<long>")
 
 
 def token_levels(docs: DataFrame, text_col: str, width: int, bits: int) -> np.ndarray:
@@ -293,13 +305,14 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     levels = token_levels(docs, text_col, width, frequency_bits)
     prefix = saved(prefixes(docs, text_col, width, percent, levels), "prefixes")
     # the sketch and size of the document with the smallest id of each set
-    chosen = saved(by_doc.where("n > 0").groupBy("set").agg(F.min(F.struct("id", "n", "sketch")).alias("d")).select(
-        "set", F.col("d.id").alias("id"), F.col("d.n").alias("n"), F.col("d.sketch").alias("sketch")), "chosen")
-
-    # groups: sets that start with the same token as another, and look alike
-    starts = prefix.where(F.col("rank") < STARTS)
-    heads = starts.groupBy("token").agg(F.min(F.struct("set", "n")).alias("h"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    near = (starts.join(heads, "token").where(F.col("set") != F.col("h.set"))
+    chosen = saved(by_doc.where("n > 0").groupBy("set").agg(F.min(F.struct("id", "n", "sketch", "smallest")).alias("d")).select(
+        "set", F.col("d.id").alias("id"), F.col("d.n").alias("n"), F.col("d.sketch").alias("sketch"),
+        F.col("d.smallest").alias("smallest")), "chosen")
+
+    # groups: sets with the same smallest token as another, that look alike
+    starts = chosen.select("set", "n", F.posexplode("smallest").alias("order", "token"))
+    heads = starts.groupBy("order", "token").agg(F.min(F.struct("set", "n")).alias("h"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    near = (starts.join(heads, ["order", "token"]).where(F.col("set") != F.col("h.set"))
             .select(F.col("h.set").alias("a"), F.col("set").alias("b"), F.col("h.n").alias("na"), F.col("n").alias("nb"))
             .where((F.col("na") * 100 >= F.col("nb") * ALIKE) & (F.col("nb") * 100 >= F.col("na") * ALIKE)).distinct())
     kinds = lambda k: chosen.select(F.col("set").alias(k), F.col("sketch").alias(f"k{k}"))
