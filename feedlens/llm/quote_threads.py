@@ -110,15 +110,16 @@ def thread(messages: DataFrame, conv_col: str = "conv_id", pos_col: str = "turn"
     parsed = saved(parse(messages, text_col), "parsed")
     nodes = parsed.select(F.col(conv_col).alias("c"), F.col(pos_col).alias("p")).distinct()
     up = saved(nodes.join(_link(parsed, conv_col, pos_col), ["c", "p"], "left").select(
-        "c", "p", "parent", F.coalesce("parent", "p").alias("root"), F.col("parent").isNotNull().cast("int").alias("depth")), "up")
-    for _ in range(max_rounds):                    # each round doubles the distance
-        above = up.where("depth > 0").select(F.col("c").alias("c2"), F.col("p").alias("p2"), F.col("root").alias("r2"), F.col("depth").alias("d2"))
-        step = saved(up.join(above, (F.col("c") == F.col("c2")) & (F.col("root") == F.col("p2")) & (F.col("depth") > 0), "left").select(
-            "c", "p", "parent", F.coalesce("r2", "root").alias("root"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
-            F.col("d2").isNotNull().alias("moved")), "up")
-        up = step.drop("moved")
-        if step.where("moved").isEmpty():
+        "c", "p", "parent", F.coalesce("parent", "p").alias("root"), F.col("parent").isNotNull().cast("int").alias("depth"),
+        F.col("parent").isNotNull().alias("open")), "up")
+    for _ in range(max_rounds):                    # each round doubles the distance; settled rows stay out
+        above = up.select(F.col("c").alias("c2"), F.col("p").alias("p2"), F.col("root").alias("r2"), F.col("depth").alias("d2"), F.col("open").alias("o2"))
+        step = up.where("open").join(above, (F.col("c") == F.col("c2")) & (F.col("root") == F.col("p2"))).select(
+            "c", "p", "parent", F.col("r2").alias("root"), (F.col("depth") + F.col("d2")).alias("depth"), F.col("o2").alias("open"))
+        up = saved(up.where("not open").unionByName(step), "up")
+        if up.where("open").isEmpty():
             break
+    up = up.drop("open")
     placed = _order(up, partitions(messages.sparkSession)).select(
         F.col("c").alias("__c"), F.col("p").alias("__p"), F.col("parent").alias("reply_to"), "root", "depth", "reply_order")
     on = F.col(conv_col).eqNullSafe(F.col("__c")) & F.col(pos_col).eqNullSafe(F.col("__p"))
