@@ -8,9 +8,15 @@ pairs (a, b) with (a + 1)(b + 1) <= T), and leaves out cells that cannot hold a
 near enough by the bisector bound.  Members of visited cells are compared exactly, in
 double precision.
 
-T is measured, not guessed: a bounded set of sample queries is compared with all vectors
-by brute force, and T is the rank by which the sample's true neighbours reach the target
-recall.
+T is measured, not guessed, and has no upper limit but the number of cells: a bounded set
+of sample queries is compared with all vectors by brute force, and T is the rank by which
+their true neighbours reach the target recall, counted over all links and as the mean over
+the queries, so that the links of one large group do not hide the others.  If no sample
+query has a neighbour, T is measured on made neighbours that are just near enough.
+
+Code words of one half lie at least ``apart`` from each other: words that a large group of
+near copies draws close together are merged, and the other vectors get words in their
+place.  Such a group is one cell or a few, compared in blocks.
 
 Equal vectors of one label are one entry with a weight.  A pair that both sides find is
 counted once: a member learns of a query only if it does not visit the query's cell itself.
@@ -40,7 +46,7 @@ from .common import saved
 from .components import components
 
 SAMPLE, PROBES = 20_000, 256
-RECALL, MIN_CELLS, MAX_CELLS = 0.999, 4, 256
+RECALL, MIN_CELLS = 0.999, 4
 OCCUPANCY = 32              # vectors of a label in a cell, on average
 BLOCK = 1024                # members, and queries, of a cell compared in one task
 
@@ -51,7 +57,7 @@ def units(raw, dtype) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _codebook(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
+def _means(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     """k-means of half vectors."""
     rng = np.random.default_rng(5)
     centres = x[rng.permutation(len(x))[:k]]
@@ -64,6 +70,32 @@ def _codebook(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
+def _merged(x: np.ndarray, centres: np.ndarray, apart: float):
+    """The words left when, from the most used on, each takes those nearer than ``apart``; how many each took."""
+    use = np.bincount(_distances(x, centres).argmin(1), minlength=len(centres))
+    close, left, kept, took = _distances(centres, centres) < apart * apart, np.ones(len(centres), bool), [], []
+    for c in np.argsort(-use, kind="stable"):
+        if left[c]:
+            mine = close[c] & left
+            mine[c] = True
+            left &= ~mine
+            kept.append(np.average(centres[mine], axis=0, weights=np.maximum(use[mine], 1)))
+            took.append(int(mine.sum()))
+    return np.array(kept), np.array(took)
+
+
+def _codebook(x: np.ndarray, k: int, apart: float = 0.0) -> np.ndarray:
+    """Up to ``k`` code words for half vectors, none but rarely nearer than ``apart`` to another."""
+    words, took = _merged(x, _means(x, k), apart)
+    crowded = words[took > 1]
+    if len(crowded):                             # the words that groups gave up go to the other vectors
+        rest = x[took[_distances(x, words).argmin(1)] == 1]
+        free = min(k - len(crowded), len(rest) // 4)
+        if free > len(words) - len(crowded):
+            words, _ = _merged(x, np.concatenate([crowded, _means(rest, free)]), apart)
+    return words
+
+
 def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1), 0)
 
@@ -90,29 +122,30 @@ class Index:
 
     def visits(self, x: np.ndarray, cells: int) -> list[np.ndarray]:
         """For each vector the cells it visits, nearest first."""
-        (a, b), width = self.distances(x), len(self.books[1])
-        low = self._bound(a, self.books[0]), self._bound(b, self.books[1])
-        ra, rb = a.argsort(1, kind="stable"), b.argsort(1, kind="stable")
-        pairs = np.array([(i, j) for i in range(min(a.shape[1], cells)) for j in range(min(b.shape[1], cells // (i + 1)))])
-        take = lambda d, r, k: np.take_along_axis(np.take_along_axis(d, r, 1), np.broadcast_to(pairs[:, k], (len(x), len(pairs))), 1)
-        cost = take(a, ra, 0) + take(b, rb, 1)
-        bound = take(low[0], ra, 0) + take(low[1], rb, 1)
-        order = cost.argsort(1, kind="stable")[:, :cells]
+        wide, width = len(self.books[0]), len(self.books[1])
+        cells = min(cells, wide * width)
+        rows = [np.arange(min(width, cells // (i + 1))) for i in range(min(wide, cells))]
+        first, second = np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows)
         out = []
-        for r in range(len(x)):
-            p = pairs[order[r]]
-            near = bound[r, order[r]] <= self.reach + 1e-9
-            out.append((ra[r, p[:, 0]] * width + rb[r, p[:, 1]])[near])
+        for at in range(0, len(x), step := max(1, 1_000_000 // len(first))):
+            a, b = self.distances(x[at:at + step])
+            ra, rb = a.argsort(1, kind="stable"), b.argsort(1, kind="stable")
+            take = lambda d, r, k: np.take_along_axis(d, r, 1)[:, k]
+            cost = take(a, ra, first) + take(b, rb, second)
+            bound = take(self._bound(a, self.books[0]), ra, first) + take(self._bound(b, self.books[1]), rb, second)
+            order = cost.argsort(1, kind="stable")[:, :cells]
+            for r, o in enumerate(order):
+                o = o[bound[r, o] <= self.reach + 1e-9]
+                out.append(ra[r, first[o]] * width + rb[r, second[o]])
         return out
 
-    def rank(self, x: np.ndarray, cell: np.ndarray, cells: int) -> np.ndarray:
-        """At which place each vector of ``x`` visits the cell beside it; ``cells`` if not among them."""
-        at = np.full(len(x), cells)
-        for r, seen in enumerate(self.visits(x, cells)):
-            hit = np.flatnonzero(seen == cell[r])
-            if len(hit):
-                at[r] = hit[0]
-        return at
+    def rank(self, x: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """How many cells each vector of ``x`` must visit to come to the cell beside it."""
+        (a, b), width = self.distances(x), len(self.books[1])
+        at = np.arange(len(x))
+        cost = a[at, cell // width] + b[at, cell % width] + 1e-12
+        a, b = np.sort(a, 1), np.sort(b, 1)
+        return np.array([np.searchsorted(b[r], cost[r] - a[r], "right").sum() for r in at], np.int64)
 
 
 def _weighted(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
@@ -163,9 +196,11 @@ def _compare(cosine, dtype):
         if not len(q):
             return none
         # a member that visits the query's cell finds this pair itself
-        own = {k: set(members.visits.iloc[k].tolist()) for k in np.unique(m)}
-        home = queries.home.to_numpy()
-        alone = np.array([home[a] not in own[b] for a, b in zip(q, m, strict=True)])
+        homes, home = np.unique(queries.home.to_numpy(), return_inverse=True)
+        own = np.zeros((len(im), len(homes)), bool)
+        for k in np.unique(m):
+            own[k] = np.isin(homes, members.visits.iloc[k])
+        alone = ~own[m, home[q]]
         wq, wm = queries.weight.to_numpy(), members.weight.to_numpy()
         links_q = np.bincount(q, wm[m], len(iq))
         links_m = np.bincount(m, np.where(alone, wq[q], 0), len(im))
@@ -180,7 +215,16 @@ def _fit(packed: DataFrame, dim: int, labels: int, n: int, cosine: float, dtype,
     x = units([bytes(r.raw) for r in rows], dtype)
     k = int(min(max(4, np.ceil(np.sqrt(n / max(labels, 1) / OCCUPANCY))), max(1, len(x) // 4) if len(x) >= 16 else 1, 4096))
     half = (dim + 1) // 2
-    return Index((_codebook(x[:, :half], k), _codebook(x[:, half:], k)), 2 - 2 * cosine)
+    reach = 2 - 2 * cosine
+    apart = np.sqrt(max(reach, 0) / 2)           # of two linked vectors one half at least is as near as that
+    return Index((_codebook(x[:, :half], k, apart), _codebook(x[:, half:], k, apart)), reach)
+
+
+def _made(x: np.ndarray, cosine: float) -> np.ndarray:
+    """For each vector one at the threshold, in a direction by chance."""
+    other = np.random.default_rng(7).normal(size=x.shape)
+    other -= (other * x).sum(1, keepdims=True) * x
+    return cosine * x + np.sqrt(max(0.0, 1 - cosine * cosine)) * other / np.maximum(np.linalg.norm(other, axis=1, keepdims=True), 1e-12)
 
 
 def _cells_for(packed: DataFrame, dim: int, index: Index, cosine: float, dtype, probes: int, recall: float) -> int:
@@ -188,25 +232,34 @@ def _cells_for(packed: DataFrame, dim: int, index: Index, cosine: float, dtype,
     rows = packed.where(F.col("dim") == dim).orderBy(F.xxhash64("id", F.lit(4)), "id").limit(probes).select("id", "label", "raw").collect()
     ids, labels = np.array([r.id for r in rows]), np.array([r.label for r in rows])
     x = units([bytes(r.raw) for r in rows], dtype)
+    every = len(index.books[0]) * len(index.books[1])
+    steps = np.unique(np.r_[np.ceil(2 ** np.arange(0, np.log2(every) + 0.25, 0.25)).astype(np.int64).clip(max=every), every])
+    # found if either side visits the other's cell
+    place = lambda a, b: np.searchsorted(steps, np.minimum(index.rank(a, index.cells(b)), index.rank(b, index.cells(a))).clip(max=every))
 
     def run(batches):
-        seen = np.zeros(MAX_CELLS + 1, np.int64)
+        seen = np.zeros((len(x), len(steps)), np.int64)
         for b in batches:
             y = units([r.as_py() for r in b.column("raw")], dtype)
             q, m = np.nonzero((x @ y.T >= cosine) & (labels[:, None] == np.asarray(b.column("label"))) & (ids[:, None] != np.asarray(b.column("id"))))
-            if len(q):
-                # found if either side visits the other's cell
-                rank = np.minimum(index.rank(x[q], index.cells(y[m]), MAX_CELLS), index.rank(y[m], index.cells(x[q]), MAX_CELLS))
-                seen += np.bincount(rank, minlength=MAX_CELLS + 1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(MAX_CELLS + 1), pa.int32()), pa.array(seen)], names=["rank", "n"])
-
-    got = packed.where(F.col("dim") == dim).mapInArrow(run, "rank int, n long").groupBy("rank").agg(F.sum("n").alias("n")).collect()
-    n = np.zeros(MAX_CELLS + 1)
+            for at in range(0, len(q), 10_000):
+                some = slice(at, at + 10_000)
+                np.add.at(seen, (q[some], place(x[q[some]], y[m[some]])), 1)
+        q, k = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(q, pa.int32()), pa.array(k, pa.int32()), pa.array(seen[q, k])], names=["probe", "step", "n"])
+
+    got = packed.where(F.col("dim") == dim).mapInArrow(run, "probe int, step int, n long").groupBy("probe", "step").agg(F.sum("n").alias("n")).collect()
+    n = np.zeros((len(x), len(steps)))
     for r in got:
-        n[r["rank"]] = r["n"]
-    share = np.cumsum(n) / max(n.sum(), 1)
-    enough = np.flatnonzero(share >= recall)
-    return int(min(max(MIN_CELLS, 2 * (enough[0] + 1) if n.sum() and len(enough) else MAX_CELLS // 4), MAX_CELLS))
+        n[r["probe"], r["step"]] = r["n"]
+    if not n.any():
+        np.add.at(n, (np.arange(len(x)), place(x, _made(x, cosine))), 1)
+    n = n[n.sum(1) > 0]
+    share = np.minimum(np.cumsum(n.sum(0)) / n.sum(), np.cumsum(n / n.sum(1, keepdims=True), 1).mean(0))
+    enough = np.flatnonzero(share >= min(recall, 1 - 1e-9))
+    if not len(enough):
+        raise RuntimeError(f"all {every} cells hold {share[-1]:.4f} of the sample's links, less than {recall}")
+    return int(min(max(MIN_CELLS, 2 * steps[enough[0]]), every))
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.93, id_col: str = "vec_id", vec_col: str = "embedding",

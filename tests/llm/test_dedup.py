@@ -205,6 +205,26 @@ def test_near_vectors_match_brute_force(spark):
     assert all(got[i] == (0, i) for i in range(1000, 1008))
 
 
+def test_near_vectors_of_a_hot_group(spark, monkeypatch):
+    # as many code words as a large table has, and a third of the vectors are distinct near copies
+    monkeypatch.setattr(V, "OCCUPANCY", 0.15)
+    rng = np.random.default_rng(4)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    x = unit(rng.normal(size=(4000, 64)))
+    x[:1400] = unit(x[0] + unit(rng.normal(size=(1400, 64))) * 0.14)
+    x[2000:2400] = unit(x[2400:2800] + unit(rng.normal(size=(400, 64))) * 0.3)          # pairs elsewhere
+    x = x[rng.permutation(4000)].astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int").repartition(4)
+    got = {r.id: r.n_links for r in V.near_vectors(df, 0.93).collect()}
+    unit_x = unit(x.astype(float))
+    links = ((unit_x @ unit_x.T) >= 0.93).sum(1) - 1
+    found = np.array([got[i] for i in range(4000)])
+    hot = links > 100
+    assert hot.sum() == 1400 and (links[~hot] > 0).sum() >= 700
+    assert found[hot].sum() >= 0.99 * links[hot].sum()
+    assert found[~hot].sum() >= 0.99 * links[~hot].sum()
+
+
 def test_near_vectors_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert V.near_vectors(df).count() == 0
