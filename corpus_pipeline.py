@@ -4,7 +4,7 @@ Each stage is ``(spark, docs, sf_dir) -> DataFrame``; its result is written and
 as the next stage's ``docs``.  All but the last return the columns of ``documents``.
 
 1. quality: co-trained classifier, fitted on ``labels``; documents that it rejects go;
-2. lines: winnowing line dedup; later repeated runs of lines go from the texts, and
+2. lines: winnowing line dedup; later repeated runs of lines go whole from the texts, and
    documents with nothing left but blanks go;
 3. near_duplicates: token-group Jaccard join over sets of five words at 0.8; of each group
    of linked documents the one with the smallest id stays;
@@ -28,7 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.line_dedup(docs)
+    out = line_dedup.line_dedup(docs, extend=True)
     emptied = (F.col("lines_removed") > 0) & (F.trim("text") == "")
     return out.where(~F.coalesce(emptied, F.lit(False))).withColumn(
         "n_chars", F.when(F.col("lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(*docs.columns)

@@ -107,6 +107,40 @@ def test_line_dedup_matches_brute_force(spark):
     assert sum(removed) == sum(r.lines_removed for r in out)
 
 
+def brute_runs(rows, min_lines=3, min_words=50):
+    """Texts without the lines of maximal runs that an earlier place holds and that hold a window."""
+    places, out = [], {}
+    for i, text in sorted(set(rows)):
+        full = [k for k, x in enumerate(text.split("\n")) if x.strip(" ")]
+        places.append((i, text, full, [text.split("\n")[k].strip(" ") for k in full]))
+    for n, (i, text, full, lines) in enumerate(places):
+        gone = set()
+        for m in range(n + 1):
+            other = places[m][3]
+            for at in range(len(lines)):
+                for b in range(len(other) if m < n else at):
+                    k = 0
+                    while at + k < len(lines) and b + k < len(other) and lines[at + k] == other[b + k]:
+                        k += 1
+                    if k >= min_lines or sum(x.count(" ") + 1 for x in lines[at:at + k]) >= min_words:
+                        gone |= set(range(at, at + k))
+        drop = {full[k] for k in gone}
+        out[i, text] = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in drop) if gone else text
+    return out
+
+
+def test_line_dedup_extends_runs(spark):
+    rng = random.Random(5)
+    words = lambda n, c: " ".join(f"{c}{k}" for k in range(n))
+    lines = ["alpha beta", " gamma", "delta", "", words(60, "w"), words(30, "u"), words(25, "v"), words(55, "z")]
+    rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randint(0, 7)))) for i in range(60)]
+    rows += [(100, words(60, "a") + "\n" + words(8, "b")), (101, words(60, "a") + "\n" + words(8, "b")),
+             (102, words(60, "a") + "\n" + words(8, "b") + "\nnew"), (103, "x\n" * 30)]
+    got = {(r.doc_id, t): r.text for r, t in ((r, dict(rows)[r.doc_id]) for r in L.line_dedup(docs(spark, rows), extend=True).collect())}
+    assert got == brute_runs(rows)
+    assert got[101, rows[61][1]] == "" and got[102, rows[62][1]] == "new"
+
+
 def test_line_dedup_empty(spark):
     assert L.line_dedup(docs(spark, [])).count() == 0
 
