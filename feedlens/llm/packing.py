@@ -6,11 +6,15 @@
 2. The histogram of piece lengths (as many numbers as a sequence has tokens) is all
    that reaches the driver.  There the program "choose how often to use each pattern of
    lengths, cover all pieces, use few patterns" is solved by multiplicative weights: a
-   knapsack program prices the best pattern under the present weights, the pattern is
-   used until one of its lengths is covered, and the weights of what it covers shrink.
-3. The averaged solution is rounded down and cut to the pieces there are.  What is
-   left goes to its best fit, longest first, in bulk by length.  If best fit alone
-   needs no more sequences, it is taken.
+   knapsack program prices the best patterns under the present weights, each is used for
+   one small step (as often as covers the scarcest of its lengths once), and the weight
+   of a length shrinks by the factor exp(-rate) each time that its pieces are covered
+   once more, so lengths that few good patterns hold get dearer than the others.
+3. The solution averaged over the rounds, scaled so that it covers no length twice, is
+   rounded down, and the pieces left are a smaller program of the same kind, for a few
+   passes.  What is left then goes to its best fit, longest first, in bulk by length.
+   The same prices in a greedy fill (each pattern until a length runs out) and best fit
+   alone are tried too, and the plan with the fewest sequences is taken.
 4. The plan has one row for each (pattern, length), at most a few for each length,
    whatever the number of documents.  Pieces get their rank within their length by
    counts of hash parts, so a length that a third of all pieces have is dealt over all
@@ -38,7 +42,8 @@ from .kneser_ney import slices
 CAPACITY = 2048
 ROUNDS = 400                # rounds of multiplicative weights
 RATE = 0.05                 # how fast the weight of a covered length shrinks
-PATTERNS, NEAR = 32, 0.98   # patterns used from one round's prices, and how near the best they are
+PASSES, STEPS = 8, 8        # programs that share the rounds, and patterns that take a step in a round
+PATTERNS, NEAR = 32, 0.98   # patterns used from one round of the greedy fill, and how near the best they are
 END_ID = 0
 
 
@@ -139,9 +144,28 @@ def best_patterns(value: np.ndarray, most: int, near: float) -> list[dict[int, i
     return found
 
 
-def fractional(demand: np.ndarray, rounds: int = ROUNDS, rate: float = RATE) -> list[tuple[dict[int, int], float]]:
-    """Patterns with their fractional use, by multiplicative weights; together they cover the
-    demand as far as ``rounds`` rounds reach."""
+def averaged(demand: np.ndarray, rounds: int, rate: float = RATE) -> list[tuple[dict[int, int], float]]:
+    """Patterns with their fractional use, by multiplicative weights; no length is covered more than once."""
+    need = demand.astype(float)
+    have = need > 0
+    lengths = np.arange(len(need), dtype=float)
+    covered = np.zeros_like(need)               # how many times the pieces of a length are covered
+    uses: dict[tuple, float] = {}
+    for _ in range(rounds):
+        weight = np.where(have, lengths * np.exp(-rate * (covered - covered[have].min())), 0)
+        for pattern in best_patterns(weight, STEPS, NEAR):
+            step = min(need[l] / k for l, k in pattern.items())
+            for l, k in pattern.items():
+                covered[l] += step * k / need[l]
+            key = tuple(sorted(pattern.items(), reverse=True))
+            uses[key] = uses.get(key, 0.0) + step
+    most = covered.max()
+    return [(dict(k), x / most) for k, x in uses.items()]
+
+
+def filled(demand: np.ndarray, rounds: int = ROUNDS, rate: float = RATE) -> list[tuple[dict[int, int], float]]:
+    """Patterns with their fractional use, greedily: each is used until one of its lengths runs
+    out; together they cover the demand as far as ``rounds`` rounds reach."""
     need = demand.astype(float)
     left = need.copy()
     lengths = np.arange(len(need), dtype=float)
@@ -190,20 +214,33 @@ def best_fit(demand: np.ndarray) -> list[tuple[dict[int, int], int]]:
     return [(count(held), n) for bins in open_bins for held, n in bins]
 
 
-def plan(demand: np.ndarray, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
-    """Patterns with whole uses that hold every piece exactly once; ``demand[l]`` pieces of length l."""
-    left = demand.astype(np.int64).copy()
+def _whole(left: np.ndarray, program: list[tuple[dict[int, int], float]]) -> list[tuple[dict[int, int], int]]:
+    """``program`` rounded down and cut to the pieces there are, which are taken from ``left``."""
     chosen = []
-    for pattern, x in sorted(fractional(demand, rounds), key=lambda p: -p[1]):
+    for pattern, x in sorted(program, key=lambda p: -p[1]):
         n = min(int(x + 1e-9), *(int(left[l]) // k for l, k in pattern.items()))
         if n > 0:
             chosen.append((pattern, n))
             for l, k in pattern.items():
                 left[l] -= n * k
-    chosen += best_fit(left)
-    alone = best_fit(demand)
-    total = lambda p: sum(n for _, n in p)
-    return alone if total(alone) < total(chosen) else chosen
+    return chosen
+
+
+def plan(demand: np.ndarray, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
+    """Patterns with whole uses that hold every piece exactly once; ``demand[l]`` pieces of length l."""
+    left, program = demand.astype(np.int64).copy(), []
+    for _ in range(PASSES):
+        if not left.any():
+            break
+        some = _whole(left, averaged(left, max(1, rounds // PASSES)))
+        program += some
+        if not some:
+            break
+    program += best_fit(left)
+    left = demand.astype(np.int64).copy()
+    greedy = _whole(left, filled(demand, rounds))
+    greedy += best_fit(left)
+    return min(program, greedy, best_fit(demand), key=lambda p: sum(n for _, n in p))
 
 
 # -- placing ------------------------------------------------------------------------

@@ -161,6 +161,20 @@ def test_program_finds_a_packing_that_best_fit_misses():
     assert sum(n for _, n in P.plan(demand)) <= sum(n for _, n in P.best_fit(demand))
 
 
+def test_program_packs_few_hot_lengths():
+    demand = np.zeros(2049, np.int64)                      # 1,900 full sequences: 1536 + 512, 1032 + 520 + 496, 2 * 528 + 2 * 496
+    demand[[1536, 512, 1032, 528, 520, 496]] = [1000, 1000, 600, 600, 600, 1200]
+    plan = P.plan(demand)
+    held = np.zeros(2049, np.int64)
+    for pattern, n in plan:
+        assert sum(l * k for l, k in pattern.items()) <= 2048
+        for l, k in pattern.items():
+            held[l] += n * k
+    assert (held == demand).all()
+    assert sum(n for _, n in P.best_fit(demand)) == 2100
+    assert sum(n for _, n in plan) <= 1.01 * 1900
+
+
 def check_packed(rows, texts, capacity):
     by_seq, by_doc = defaultdict(list), defaultdict(list)
     for r in rows:
