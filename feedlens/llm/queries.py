@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import cotraining
+from . import cotraining, token_files
 from .common import table
+from .centroids import cluster
 from .exact_dedup import exact_dedup
+from .importance import resample
 from .kneser_ney import fit, held_out, score
 from .line_dedup import line_dedup
 from .multi_index import near_vectors
@@ -259,6 +261,75 @@ OP10_SQL = f"""WITH {mixing_sql('documents')}
 SELECT doc_id, topic, CAST(tokens AS BIGINT) AS tokens, round(probability, 6) AS probability, kept FROM mixed"""
 
 
+def op11_range_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as it was read back from the range-coded files of token ids."""
+    files = token_files.write(table(spark, sf_dir, "documents"), VOCABULARY, RANKS)
+    return token_files.read(spark, files).withColumnRenamed("id", "doc_id")
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its weight towards ``benchmark`` and its rank if it is drawn."""
+    out = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+#: DuckDB has no CRC-32, so its table is made by the rule and applied byte by byte to distinct words.
+OP12_SQL = r"""
+WITH RECURSIVE bit AS (SELECT range AS b, range AS c, 0 AS k FROM range(256) UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bit WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM bit WHERE k = 8),
+texts AS (SELECT 'd' AS side, doc_id, text FROM documents UNION ALL SELECT 't', NULL, text FROM benchmark),
+words AS (SELECT side, doc_id, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM texts),
+dict AS (SELECT w, list_transform(range(octet_length(encode(w))),
+    lambda i: CAST('0x' || substr(hex(encode(w)), 1 + 2 * i, 2) AS BIGINT)) AS bytes
+  FROM (SELECT DISTINCT unnest(ws) AS w FROM words)),
+coded AS (SELECT w, xor(list_reduce(list_prepend(4294967295, bytes),
+    lambda x, y: xor(t[xor(x & 255, y) + 1], x >> 8)), 4294967295) % 10000 AS bucket FROM dict, crc),
+feature AS (SELECT side, doc_id, bucket FROM (SELECT side, doc_id, unnest(ws) AS w FROM words) JOIN coded USING (w)),
+tally AS (SELECT bucket, count(*) FILTER (WHERE side = 'd') AS s, count(*) FILTER (WHERE side = 't') AS t FROM feature GROUP BY bucket),
+total AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM tally),
+gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (s_all + 10000) AS DOUBLE) / CAST((s + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS g
+  FROM tally, total),
+summed AS (SELECT doc_id, CAST(sum(g) AS BIGINT) AS weight FROM feature JOIN gain USING (bucket) WHERE side = 'd' GROUP BY doc_id),
+scored AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM words LEFT JOIN summed USING (doc_id) WHERE side = 'd'),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+
+def op13_rotated_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector of 64 finite components with its cluster after ten rounds."""
+    return cluster(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def centroids_sql(rounds: int = 10, k: int = 8, dims: int = 64, seed: int = 3) -> str:
+    steps, now = [], "c0"
+    near = lambda c: f"""SELECT id, min_by(cluster, dist * {k} + cluster) AS cluster, min(dist) AS dist FROM (
+    SELECT x.id, c.cluster, CAST(sum((x.x - c.x) * (x.x - c.x)) AS BIGINT) AS dist FROM x JOIN {c} c USING (pos) GROUP BY ALL) GROUP BY id"""
+    for r in range(1, rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED ({near(now)}),
+m{r} AS (SELECT cluster, pos, sum(x)::HUGEINT AS s, count(*) AS n FROM x JOIN a{r} USING (id) GROUP BY ALL),
+c{r} AS MATERIALIZED (SELECT {now}.cluster, {now}.pos, CAST(CASE WHEN n IS NULL THEN x ELSE (s - ((s % n) + n) % n) // n END AS BIGINT) AS x
+  FROM {now} LEFT JOIN m{r} USING (cluster, pos))""")
+        now = f"c{r}"
+    return f"""
+WITH v AS (SELECT row_number() OVER () AS id, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE len(embedding) = {dims}),
+ok AS (SELECT id, vec_id, list_transform(e, lambda y: CAST(floor(1024 * y) AS BIGINT)) AS e FROM v
+  WHERE len(list_filter(e, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+x AS MATERIALIZED (SELECT id, unnest(e) AS x, unnest(range({dims})) AS pos FROM ok),
+firsts AS (SELECT e, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), e) - 1 AS cluster FROM ok QUALIFY cluster < {k}),
+c0 AS MATERIALIZED (SELECT cluster, unnest(e) AS x, unnest(range({dims})) AS pos FROM firsts),
+{",".join(steps)},
+fin AS MATERIALIZED ({near(now)}),
+named AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY pos)) AS centroid_sha256 FROM {now} GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INT) AS cluster, dist AS distance, CAST(sum(dist) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(dist) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM fin JOIN ok USING (id) JOIN named USING (cluster)"""
+
+
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -270,6 +341,9 @@ LLM_QUERIES = {
     "op8_zip_warc": op8_zip_warc,
     "op9_packing": op9_packing,
     "op10_mixing": op10_mixing,
+    "op11_range_coding": op11_range_coding,
+    "op12_importance": op12_importance,
+    "op13_rotated_centroids": op13_rotated_centroids,
 }
 
 LLM_ORACLE = {
@@ -280,4 +354,6 @@ LLM_ORACLE = {
     "op7_jaccard_join": OP7_SQL,
     "op8_zip_warc": OP8_SQL,
     "op10_mixing": OP10_SQL,
+    "op12_importance": OP12_SQL,
+    "op13_rotated_centroids": centroids_sql(),
 }
