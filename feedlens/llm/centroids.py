@@ -60,7 +60,7 @@ def scatter(points: DataFrame, dims: int) -> tuple[int, np.ndarray, np.ndarray]:
         for batch in batches:
             v = _matrix(batch.column("v"), np.float64, dims)
             if len(v):
-                n, most = n + len(v), max(most, int(np.abs(v).max()))
+                n, most = n + len(v), max(most, min(int(np.abs(v).max()), 1 << 62))
                 one += v.sum(0)
                 two += v.T @ v
         yield pa.RecordBatch.from_pydict({"n": [n], "most": [most], "sums": [[*one, *two.ravel()]]})
