@@ -27,15 +27,14 @@ are never read.
 
 from __future__ import annotations
 
-import base64
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .byte_pairs import encoder as _encoder
 from .common import partitions, saved
 from .kneser_ney import slices
 
@@ -49,46 +48,16 @@ END_ID = 0
 
 # -- tokens ---------------------------------------------------------------------
 
-@lru_cache(maxsize=2)
-def _tokenizer(vocabulary: str, ranks: str | None):
-    """(encode of any text, encode of Latin text): both give the ids of ``vocabulary``."""
-    from tokenizers import Tokenizer
-
-    whole = Tokenizer.from_file(vocabulary)
-    slow = lambda text: whole.encode(text, add_special_tokens=False).ids
-    if ranks is None:
-        return slow, slow, ()
-    import public_tokenizers
-    import tiktoken
-
-    with open(ranks, "rb") as f:
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    fast = tiktoken.Encoding("same-ids", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-    special = tuple(t.content for t in whole.get_added_tokens_decoder().values())
-    return slow, fast.encode_ordinary, special
-
-
-def _encoder(vocabulary: str, ranks: str | None):
-    """Ids of a text as ``vocabulary`` gives them.  Texts of Latin letters without special
-    tokens take the faster library with the same vocabulary."""
-    slow, fast, special = _tokenizer(vocabulary, ranks)
-
-    def encode(text: str):
-        plain = (text.isascii() or max(text) < "ɐ") and not any(s in text for s in special)
-        return (fast if plain else slow)(text)
-    return encode
-
-
 def pieces(docs: DataFrame, vocabulary: str, ranks: str | None = None, id_col: str = "doc_id", text_col: str = "text",
            capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """(id, piece, start, length, ids_crc32[, ids]) of each piece of each document."""
     def run(batches):
-        encode = _encoder(vocabulary, ranks)
+        encode = _encoder(vocabulary, ranks, END_ID)
         for batch in batches:
             for some in slices(batch, "text"):
                 rows: list[list] = [[], [], [], [], [], []]
                 for at, text in enumerate(some.column("text").to_pylist()):
-                    ids = np.array([*encode(text or ""), END_ID], "<u4")
+                    ids = encode(text or "")
                     first = len(ids) % capacity or min(len(ids), capacity)
                     edges = [0, *range(first, len(ids) + 1, capacity)]
                     for k in range(len(edges) - 1):

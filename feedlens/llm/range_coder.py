@@ -31,6 +31,7 @@ class Table:
     def __init__(self, symbols: np.ndarray, freq: np.ndarray, bits: int):
         self.symbols, self.freq, self.bits = symbols.astype(np.uint32), freq.astype(np.uint64), bits
         self.start = np.cumsum(self.freq) - self.freq
+        self._place = None                  # symbol -> place, made when a coder asks
         if int(self.freq.sum()) != 1 << bits or (self.freq == 0).any():
             raise ValueError("the frequency table does not add up")
 
@@ -57,8 +58,10 @@ class Table:
         return cls(np.frombuffer(raw, "<u4", n, 12), np.frombuffer(raw, "<u4", n, 12 + 4 * n), bits)
 
     def places(self, ids: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.symbols, ids)
-        if len(ids) and (at.max() >= len(self.symbols) or (self.symbols[at] != ids).any()):
+        if self._place is None:
+            self._place = np.full(int(self.symbols.max()) + 1, -1, np.int32)
+            self._place[self.symbols] = np.arange(len(self.symbols), dtype=np.int32)
+        if len(ids) and ids.max() >= len(self._place) or ((at := self._place[ids]) < 0).any():
             raise ValueError("a symbol is not in the frequency table")
         return at
 

@@ -40,10 +40,11 @@ from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
 from . import range_coder as R
+from .byte_pairs import encoder
 from .common import partitions, saved, scratch
 from .files import filesystem, write_bytes
 from .kneser_ney import slices
-from .packing import END_ID, _encoder
+from .packing import END_ID
 
 UNIT = 1 << 20                  # ids of a reading unit, about
 GROUP = 16 * R.BLOCK            # ids that are coded or decoded at once
@@ -169,10 +170,10 @@ class TokenFiles:
 def tokenised(docs: DataFrame, vocabulary: str, ranks: str | None, id_col: str, text_col: str) -> DataFrame:
     """(id, ids) with the ids of each text and the end id as little-endian numbers of 16 or 32 bits."""
     def run(batches):
-        encode = _encoder(vocabulary, ranks)
+        encode = encoder(vocabulary, ranks, END_ID)
         for batch in batches:
             for some in slices(batch, "text"):
-                out = [np.array([*encode(t or ""), END_ID], "<u4") for t in some.column("text").to_pylist()]
+                out = [encode(t or "") for t in some.column("text").to_pylist()]
                 wide = [x.max() >= 1 << 16 for x in out]
                 yield pa.RecordBatch.from_arrays(
                     [some.column("id"), pa.array([(x if w else x.astype("<u2")).tobytes() for x, w in zip(out, wide, strict=True)], pa.binary()),
@@ -190,11 +191,14 @@ def frequencies(tokens: DataFrame) -> R.Table | None:
     def run(batches):
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for raw, width in zip(batch.column("ids").to_pylist(), batch.column("width").to_pylist(), strict=True):
-                got = np.bincount(_numbers(raw, width))
-                if len(got) > len(total):
-                    total = np.pad(total, (0, len(got) - len(total)))
-                total[:len(got)] += got
+            for some in slices(batch, "ids"):
+                raw, wide = some.column("ids"), np.asarray(some.column("width"))
+                for width in (2, 4):
+                    mine = raw.filter(pa.array(wide == width)).to_pylist()
+                    got = np.bincount(_numbers(b"".join(mine), width))
+                    if len(got) > len(total):
+                        total = np.pad(total, (0, len(got) - len(total)))
+                    total[:len(got)] += got
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["symbol", "n"])
     counts = tokens.select("ids", "width").mapInArrow(run, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
