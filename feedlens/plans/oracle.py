@@ -780,11 +780,10 @@ SELECT request_id, dataset, n, min_cluster_size,
        CAST(least({C.MAX_CLUSTERS}, n // 2 - 1) AS INTEGER) AS k_max, n < 3 AS too_few
 FROM m""",
         "noise_reassign_given": f"""
-WITH c AS (SELECT * FROM ({cent}) x WHERE given_label <> -1),
-d AS (SELECT * FROM ({VEC_DIMS}) y WHERE given_label = -1),
-dist AS (SELECT d.vec_id, c.given_label AS cl, sum((d.x - c.c) * (d.x - c.c)) AS dd
-         FROM d JOIN c ON d.i = c.i GROUP BY ALL)
-SELECT vec_id, CAST(arg_min(cl, (dd, cl)) AS INTEGER) AS cluster_id FROM dist GROUP BY vec_id""",
+WITH v AS (SELECT vec_id, given_label, CAST(embedding AS DOUBLE[]) AS x FROM ({VEC}) y),
+dist AS (SELECT n.vec_id, c.given_label AS cl, list_distance(n.x, c.x) AS dd, c.vec_id AS near
+         FROM v n JOIN v c ON n.given_label = -1 AND c.given_label <> -1)
+SELECT vec_id, CAST(arg_min(cl, (dd, near)) AS INTEGER) AS cluster_id FROM dist GROUP BY vec_id""",
         "small_cluster_merge": f"""
 WITH v AS ({VEC}),
 sz AS (SELECT given_label, count(*) AS size,
