@@ -4,7 +4,7 @@ The log table is ``events(event_id, ts, user_id, event_type, value, props)``:
 ``event_type = 'error'`` marks a failure, ``value`` is the duration and
 ``props`` a small JSON document.  No step sorts all rows of one key:
 
-* quantiles are exact, read from a (group, value) histogram;
+* quantiles are exact, by selection over range buckets (:mod:`quantiles`);
 * cold starts use per-(user, minute) buckets: only the first event of a
   bucket can open a new session, so the window runs over buckets, whose
   count is bounded by time, not by rows;
@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import quantiles
+
 
 def parse(events: DataFrame) -> DataFrame:
     """OPS1: typed log rows: error flag, duration, JSON attribute ``k``."""
@@ -74,27 +76,9 @@ def duration_stats(log: DataFrame, group=("event_type",)) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, group: list[str], value: str, probs) -> DataFrame:
-    """Continuous quantiles (linear interpolation) from a value histogram.
-
-    The histogram has one row per distinct value of a group, so the window
-    that accumulates counts holds distinct values, not rows.
-    """
-    hist = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    hist = hist.withColumn("_cum", F.sum("_c").over(w)).withColumn(
-        "_n", F.sum("_c").over(Window.partitionBy(*group)))
-    aggs, cols = [], []
-    for p in probs:
-        tag = int(round(p * 100))
-        h = (F.col("_n") - 1) * p
-        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
-        aggs += [F.min(F.when(F.col("_cum") >= lo, F.col(value))).alias(f"_lo{tag}"),
-                 F.min(F.when(F.col("_cum") >= hi, F.col(value))).alias(f"_hi{tag}"),
-                 F.max(h - F.floor(h)).alias(f"_f{tag}")]
-        cols.append(F.round(F.col(f"_lo{tag}") + (F.col(f"_hi{tag}") - F.col(f"_lo{tag}"))
-                            * F.col(f"_f{tag}"), 6).alias(f"p{tag}"))
-    out = hist.groupBy(*group).agg(*aggs)
-    return out.select(*group, *cols)
+    """Continuous quantiles (linear interpolation), as ``p50``, ``p95``, ... rounded to 6 places."""
+    out = quantiles(df, group, value, probs)
+    return out.select(*group, *[F.round(f"q{i}", 6).alias(f"p{int(round(p * 100))}") for i, p in enumerate(probs)])
 
 
 def alarms(log: DataFrame, group=("event_type",), error_pct: float = 5.0,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine, norm2
 from ..operators import clustering as CL
+from ..operators.density import density_cuts
 from ..operators import embedding as E
 from ..operators import insights as I
 from ..operators import logs as L
@@ -592,6 +593,18 @@ def q_density_clusters(spark, sf_dir):
     return CL.density_cluster(pts, 5, eps_factor=0.35).select(F.col("pos").alias("vec_id"), "cluster_id")
 
 
+#: The squared cut of the registered density query.
+DENSITY_EPS2 = 0.0025
+
+
+def q_density_reachability(spark, sf_dir):
+    """CLU5: DBSCAN* at a fixed cut over the first three coordinates of every vector."""
+    v = embeddings_as_vectors(read_table(spark, sf_dir, "embeddings")).where(F.size("embedding") >= 3)
+    pts = CL.array_points(v.select("request_id", "dataset", "pos", "embedding"), 3)
+    labels, _ = density_cuts(pts, CL.cluster_params(pts), 3, eps2=DENSITY_EPS2)
+    return labels.select(F.col("pos").alias("vec_id"), "cluster_id")
+
+
 def q_cluster_gate(spark, sf_dir):
     """CLU1-CLU11: density attempt, gate, k-means fallback on the vectors."""
     v = _vectors(spark, sf_dir)
@@ -602,4 +615,5 @@ def q_cluster_gate(spark, sf_dir):
 QUERIES.update({
     "density_clusters": q_density_clusters,
     "cluster_gate": q_cluster_gate,
+    "density_reachability": q_density_reachability,
 })

@@ -11,6 +11,7 @@ from __future__ import annotations
 from .. import constants as C
 from ..functions.text import NON_WORD, PUNCT_CHARS, WS, WS_CHARS
 from ..sources.tables import LINE_STRIDE
+from .catalog import DENSITY_EPS2
 from .inputs import DOC_ASPECTS, DOC_LEXICON
 
 
@@ -784,6 +785,21 @@ WITH v AS (SELECT vec_id, given_label, CAST(embedding AS DOUBLE[]) AS x FROM ({V
 dist AS (SELECT n.vec_id, c.given_label AS cl, list_distance(n.x, c.x) AS dd, c.vec_id AS near
          FROM v n JOIN v c ON n.given_label = -1 AND c.given_label <> -1)
 SELECT vec_id, CAST(arg_min(cl, (dd, near)) AS INTEGER) AS cluster_id FROM dist GROUP BY vec_id""",
+        "density_reachability": f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1,
+                            CAST(embedding[3] AS DOUBLE) AS x2 FROM embeddings WHERE len(embedding) >= 3),
+size AS (SELECT CASE WHEN count(*) < 50 THEN 3 WHEN count(*) < 200 THEN greatest(5, count(*) // 30)
+                     ELSE greatest(10, count(*) // 40) END AS mcs FROM v),
+near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+         ON (a.x0 - b.x0) * (a.x0 - b.x0) + (a.x1 - b.x1) * (a.x1 - b.x1) + (a.x2 - b.x2) * (a.x2 - b.x2) <= {DENSITY_EPS2}),
+core AS (SELECT a AS vec_id FROM near GROUP BY a HAVING count(*) >= (SELECT greatest(2, mcs // 2) FROM size)),
+link AS (SELECT a, b FROM near WHERE a IN (FROM core) AND b IN (FROM core)),
+reach AS (SELECT a, a AS least FROM link UNION SELECT link.b, least FROM reach JOIN link ON link.a = reach.a),
+low AS (SELECT a AS vec_id, min(least) AS least FROM reach GROUP BY a),
+kept AS (SELECT least, row_number() OVER (ORDER BY least) - 1 AS cluster_id FROM low
+         GROUP BY least HAVING count(*) >= (SELECT mcs FROM size))
+SELECT v.vec_id, CAST(coalesce(kept.cluster_id, -1) AS INTEGER) AS cluster_id
+FROM v LEFT JOIN low USING (vec_id) LEFT JOIN kept USING (least)""",
         "small_cluster_merge": f"""
 WITH v AS ({VEC}),
 sz AS (SELECT given_label, count(*) AS size,
