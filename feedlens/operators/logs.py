@@ -8,7 +8,7 @@ The log table is ``events(event_id, ts, user_id, event_type, value, props)``:
 * cold starts use per-(user, minute) buckets: only the first event of a
   bucket can open a new session, so the window runs over buckets, whose
   count is bounded by time, not by rows;
-* error context windows run per (user, day).
+* error context runs per (user, hour), with what lies beyond the hour's edges known.
 """
 
 from __future__ import annotations
@@ -108,12 +108,33 @@ def cold_warm(log: DataFrame, gap_minutes: int = 15) -> DataFrame:
     return b.agg(F.sum("_cold").alias("cold"), (F.sum("_n") - F.sum("_cold")).alias("warm"))
 
 
-def error_context(log: DataFrame, lines: int = 5) -> DataFrame:
-    """OPS7: events within ``lines`` events of an error, per (user, day)."""
-    w = (Window.partitionBy("user_id", F.to_date("ts")).orderBy("ts", "event_id")
-         .rowsBetween(-lines, lines))
-    return (log.withColumn("_near", F.max(F.col("is_error").cast("int")).over(w))
-            .where(F.col("_near") == 1).drop("_near"))
+def error_context(log: DataFrame, lines: int = 5, block: str = "hour") -> DataFrame:
+    """OPS7: events within ``lines`` events of an error in the stream of their user.
+
+    A user's stream is cut into time blocks, and rows are ordered within a block only.  Each block
+    knows its first and last ``lines`` error flags; from those of the ``lines`` blocks on either side
+    follows how far the nearest error before and after the block is, so no context is cut and a
+    busy user is as many tasks as it has blocks.
+    """
+    key, order = ["user_id", "_b"], ["ts", "event_id"]
+    rows = log.withColumn("_b", F.date_trunc(block, "ts")).withColumn("_e", F.col("is_error").cast("int"))
+    inside = Window.partitionBy(*key).orderBy(*order)
+    rows = rows.withColumn("_i", F.row_number().over(inside)).withColumn(
+        "_back", F.row_number().over(Window.partitionBy(*key).orderBy(*[F.desc(c) for c in order]))).withColumn(
+        "_near", F.max("_e").over(inside.rowsBetween(-lines, lines)))
+    edge = lambda place: F.sort_array(F.collect_list(
+        F.when(F.col(place) <= lines, F.struct(F.col(place).alias("at"), F.col("_e").alias("e")))))
+    blocks = rows.groupBy(*key).agg(edge("_i").alias("_head"), edge("_back").alias("_tail"))
+    flow = Window.partitionBy("user_id").orderBy("_b")                # one row for each block
+    flags = lambda c, step: F.flatten(F.array(*[
+        F.coalesce(step(c, k).over(flow), F.array().cast("array<struct<at:int,e:int>>")) for k in range(1, lines + 1)]))
+    first = lambda c, step: F.array_position(F.transform(F.slice(flags(c, step), 1, lines), lambda x: x["e"]), 1)
+    blocks = blocks.select(*key, first("_tail", F.lag).alias("_before"), first("_head", F.lead).alias("_after"))
+    both = rows.alias("r").join(blocks.alias("k"), F.col("r.user_id").eqNullSafe(F.col("k.user_id")) & F.col("r._b").eqNullSafe(F.col("k._b")))
+    # an error that is the n-th row beyond the block's edge is i - 1 + n rows away from the i-th row inside
+    close = lambda place, far: (F.col(far) > 0) & (F.col(place) - 1 + F.col(far) <= lines)
+    return both.where((F.col("_near") == 1) | close("_i", "_before") | close("_back", "_after")).select(
+        *[F.col(f"r.{c}") for c in log.columns])
 
 
 def five_minute_bins(log: DataFrame, minutes: int = 5) -> DataFrame:

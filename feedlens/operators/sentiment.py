@@ -183,9 +183,9 @@ def sentence_details(scores: DataFrame) -> DataFrame:
         F.substring("sentence", 1, 100).alias("text"),
         F.col("label").alias("sentiment"),
         F.round("compound", 3).alias("compound"),
-        F.round("pos_score", 2).alias("pos"),
-        F.round("neu_score", 2).alias("neu"),
-        F.round("neg_score", 2).alias("neg"),
+        F.round("pos_score", 2).alias("pos_score"),
+        F.round("neu_score", 2).alias("neu_score"),
+        F.round("neg_score", 2).alias("neg_score"),
         F.greatest("pos_score", "neg_score", "neu_score").alias("confidence"))
 
 

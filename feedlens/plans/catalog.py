@@ -25,8 +25,8 @@ from ..sources import sinks as SK
 from ..streaming import jobs as ST
 from ..operators import sentiment as S
 from ..operators.validation import Limits, keep_first, violations
-from ..session import materialize, read_table, spread
-from ..sources.tables import documents_to_sentences, embeddings_as_vectors
+from ..session import materialize, read_table, spread, stored
+from ..sources.tables import LINE_STRIDE, documents_to_sentences, embeddings_as_vectors
 from .analyze import analyze
 from .inputs import conv_sentences, doc_aspects, doc_lexicon, doc_lines, doc_sentences
 
@@ -485,10 +485,20 @@ def q_stream_windows(spark, sf_dir):
 
 
 def q_stream_dedupe(spark, sf_dir):
-    """STR3: repeated (user, event type) dropped within a 30-minute watermark."""
+    """STR3: an event goes if a kept one of its user and type lies within 30 minutes before it."""
     return ST.dedupe_events(spark, sf_dir).select("event_id", "user_id", "event_type")
 
 
+def q_stream_theme_windows(spark, sf_dir):
+    """STR2: sentiment per theme in sliding windows; an event brings in the document of its user."""
+    scores = scored_doc_sentences(spark, sf_dir)
+    themes = scores.groupBy(F.floor(F.col("pos") / LINE_STRIDE).cast("long").alias("doc_id")).agg(
+        F.first("theme", ignorenulls=True).alias("theme"), F.count(F.lit(1)).alias("sentences"),
+        F.sum(F.round(F.col("compound") * 10000).cast("long")).alias("total"),
+        F.count_if(F.col("label") == "positive").alias("positive"))
+    return ST.theme_windows(spark, sf_dir, stored(themes))
+
+
 def q_stream_assign(spark, sf_dir):
     """STR4: streamed vectors assigned to the nearest given-label centroid."""
     v = _vectors(spark, sf_dir).where(F.col("given_label") != -1)
@@ -505,6 +515,7 @@ QUERIES.update({
     "stream_scores": q_stream_scores,
     "stream_windows": q_stream_windows,
     "stream_dedupe": q_stream_dedupe,
+    "stream_theme_windows": q_stream_theme_windows,
     "stream_assign": q_stream_assign,
 })
 

@@ -320,8 +320,8 @@ WHERE rn = 1
 def sentence_details_sql() -> str:
     return f"""
 SELECT request_id, dataset, pos, id, substring(sentence, 1, 100) AS text, label AS sentiment,
-       {dround('compound', 3)} AS compound, {dround('pos_score', 2)} AS pos,
-       {dround('neu_score', 2)} AS neu, {dround('neg_score', 2)} AS neg,
+       {dround('compound', 3)} AS compound, {dround('pos_score', 2)} AS pos_score,
+       {dround('neu_score', 2)} AS neu_score, {dround('neg_score', 2)} AS neg_score,
        greatest(pos_score, neg_score, neu_score) AS confidence
 FROM ({doc_scores_sql()}) s
 """
@@ -693,7 +693,7 @@ FROM g""",
         "log_error_context": f"""
 SELECT event_id, user_id, event_type FROM (
   SELECT *, max(CASE WHEN is_error THEN 1 ELSE 0 END) OVER (
-           PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id
+           PARTITION BY user_id ORDER BY ts, event_id
            ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS near
   FROM ({LOG}) l) x
 WHERE near = 1""",
@@ -835,6 +835,28 @@ SELECT CAST(page_id AS VARCHAR) AS request_id, 'body' AS field, 'Invalid JSON in
        'json_invalid' AS type, 'error' AS severity
 FROM pages WHERE html IS NOT NULL AND (NOT json_valid(html) OR json_type(html) <> 'OBJECT')""",
     "stream_scores": sentence_scores_sql(),
+    "stream_dedupe": """
+WITH RECURSIVE e AS (SELECT event_id, user_id, event_type, ts,
+                            row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS r
+                     FROM events WHERE ts IS NOT NULL),
+step AS (SELECT *, ts AS last, true AS kept FROM e WHERE r = 1
+         UNION ALL
+         SELECT e.*, CASE WHEN e.ts - s.last > INTERVAL 30 MINUTE THEN e.ts ELSE s.last END,
+                e.ts - s.last > INTERVAL 30 MINUTE
+         FROM step s JOIN e ON e.user_id IS NOT DISTINCT FROM s.user_id
+              AND e.event_type IS NOT DISTINCT FROM s.event_type AND e.r = s.r + 1)
+SELECT event_id, user_id, event_type FROM step WHERE kept""",
+    "stream_theme_windows": f"""
+WITH doc AS (SELECT d.doc_id, any_value(lang) AS theme, count(*) AS sentences,
+                    sum(CAST(round(compound * 10000) AS BIGINT)) AS total,
+                    count(*) FILTER (WHERE label = 'positive') AS positive
+             FROM ({doc_scores_sql()}) s JOIN documents d ON d.doc_id = s.pos // {LINE_STRIDE} GROUP BY d.doc_id),
+hit AS (SELECT unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS window_start,
+               doc.* FROM events JOIN doc ON doc.doc_id = events.user_id WHERE ts IS NOT NULL)
+SELECT window_start, window_start + INTERVAL 60 MINUTE AS window_end, theme, count(*) AS events,
+       CAST(sum(sentences) AS BIGINT) AS sentences, {dround('sum(total) / sum(sentences) / 10000', 6)} AS mean_compound,
+       CAST(sum(positive) AS BIGINT) AS positive
+FROM hit GROUP BY window_start, theme""",
     "stream_assign": f"""
 WITH c AS (SELECT * FROM ({VEC_DIMS.replace('FROM (', 'FROM (', 1)}) x),
 cen AS (SELECT given_label, i, avg(x) AS c FROM c WHERE given_label <> -1 GROUP BY ALL),
