@@ -5,7 +5,7 @@ delimiter.  Features are all runs of 1 to ``max_words`` consecutive words joined
 blank; a feature's bucket is the CRC-32 of its bytes modulo ``buckets``.
 
 1. Words of all documents and of all target texts are counted in Spark.  The most frequent
-   ones, ``DICTIONARY`` words of at most ``WORD_BYTES`` bytes (a proven bound of 3.2 MB), form
+   ones, at most ``DICTIONARY`` words of at most ``WORD_BYTES`` bytes (a bound of 3.2 MB), form
    the dictionary: each word between two delimiters is a pattern that carries its CRC and its
    length as payload.
 2. An automaton scan of a text emits the payloads of its words in order.  Words outside the
@@ -170,9 +170,20 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def dictionary_of(texts: DataFrame, size: int = DICTIONARY) -> list[bytes]:
-    """The ``size`` most frequent words of at most ``WORD_BYTES`` bytes."""
-    top = word_counts(texts).orderBy(F.desc("n"), "word").limit(size)
-    return [bytes(r.word) for r in top.collect()]    # bounded by ``size``
+    """The most frequent words of at most ``WORD_BYTES`` bytes, ``size`` of them at most.
+
+    Counts are put on a scale of 32 steps a doubling; the words of the highest steps that fit
+    together are taken whole, so no more than ``size`` words ever leave the tasks.
+    """
+    counts = saved(word_counts(texts).withColumn("step", F.floor(F.log2("n") * 32).cast("int")), "words")
+    left, least = size, None
+    for r in counts.groupBy("step").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("step")).collect():  # 32 * 63 rows at most
+        if r.words > left:
+            break
+        left, least = left - r.words, r.step
+    if least is None:
+        return []
+    return sorted(bytes(r.word) for r in counts.where(F.col("step") >= least).select("word").collect())
 
 
 def _buckets(plain: bytes, dictionary, max_words: int, buckets: int) -> tuple[int, np.ndarray]:
