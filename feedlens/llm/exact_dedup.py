@@ -55,7 +55,7 @@ def absorb(spark: SparkSession, path: str, state_dir: str, id_col: str = "doc_id
     files came.
     """
     schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFileAge", "36500d")    # late files with old time stamps count too
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     pattern = f"{path[:-1]}[{path[-1]}]"        # a pattern may also name one single file

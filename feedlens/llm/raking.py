@@ -33,6 +33,7 @@ from .common import WORD, saved
 #: The share of each category is the observed share to this power.
 POWERS = {"source": 0.7, "lang": 0.85, "topic": 1.0}
 TOLERANCE, MAX_ROUNDS, SEED = 1e-9, 200, "mix-1"
+UNSETTLED = 1e-6                # a marginal that far off after all rounds is an error
 
 
 def token_count(text: Column) -> Column:
@@ -66,7 +67,9 @@ def _targets(cells: DataFrame, dim: str, target) -> DataFrame:
 
 def rake(cells: DataFrame, targets: Mapping[str, object], tolerance: float = TOLERANCE,
          max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """``cells`` (the dimensions and ``weight``) plus ``fitted``, a share of 1."""
+    """``cells`` (the dimensions and ``weight``) plus ``fitted``, a share of 1.
+
+    Targets that cannot all hold are an error."""
     goal = {d: saved(_targets(cells, d, t), f"target-{d}") for d, t in targets.items()}
     total = cells.agg(F.sum("weight").alias("all"))
     now = saved(cells.crossJoin(F.broadcast(total)).select(      # one row
@@ -84,6 +87,9 @@ def rake(cells: DataFrame, targets: Mapping[str, object], tolerance: float = TOL
         now = step.drop(*off)
         if worst <= tolerance:
             break
+    else:
+        if worst > UNSETTLED:
+            raise ValueError(f"the targets do not settle: a marginal is still off by {worst:.2g} of itself after {max_rounds} rounds")
     return now
 
 

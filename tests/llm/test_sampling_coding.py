@@ -280,3 +280,30 @@ def test_token_files_query_against_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = Q.op11_range_coding(spark, SF).collect()
     assert sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got), key=lambda r: r[1]) == brute_tokens(rows)
+
+
+# -- mended: late files, targets that cannot hold ---------------------------------------------
+
+def test_a_late_file_with_an_old_time_stamp_counts(spark, tmp_path):
+    from feedlens.llm import exact_dedup as X
+
+    folder, state = str(tmp_path / "docs"), str(tmp_path / "state")
+    token_docs(spark, [(1, "same"), (2, "other")], 1).write.parquet(folder)
+    X.absorb(spark, folder, state)
+    before = set(os.listdir(folder))
+    token_docs(spark, [(3, "same"), (4, "new")], 1).write.mode("append").parquet(folder)
+    for name in set(os.listdir(folder)) - before:
+        if name.endswith(".parquet"):
+            os.utime(f"{folder}/{name}", (1e9, 1e9))                # many years back
+    out = {r.id: (r.keep_id, r.group_size) for r in X.exact_dedup(spark, folder, state_dir=state).collect()}
+    assert out == {1: (3, 2), 3: (3, 2), 2: (2, 1), 4: (4, 1)}
+
+
+def test_targets_that_cannot_hold_are_an_error(spark):
+    from feedlens.llm import raking
+
+    cells = spark.createDataFrame([("=a", "=en", 3.0), ("=b", "=fr", 1.0)], "source string, lang string, weight double")
+    half = spark.createDataFrame([("a", 0.5), ("b", 0.5)], "category string, share double")
+    most = spark.createDataFrame([("en", 0.9), ("fr", 0.1)], "category string, share double")
+    with pytest.raises(ValueError, match="do not settle"):
+        raking.rake(cells, {"source": half, "lang": most}, max_rounds=6)
