@@ -337,7 +337,8 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = saved(met, "met-groups")
 
     # blocks of the groups met, their own included: at most BLOCK members or so, dealt by hash
-    alone = met.select("group").distinct().join(members, "group", "left_anti")
+    # the groups are written first: else the anti-join would be done for each row of ``met``
+    alone = saved(met.select("group").distinct(), "groups").join(members, "group", "left_anti")
     parts = members.select("group", F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
     inside = (group.join(parts, "group").select("set", "group", F.pmod(F.xxhash64("set"), F.col("parts")).cast("int").alias("part"))
               .unionByName(alone.select(F.col("group").alias("set"), "group", F.lit(0).alias("part"))))
