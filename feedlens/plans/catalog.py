@@ -374,10 +374,10 @@ def q_kmeans_embeddings(spark, sf_dir):
 
 
 def q_bisecting_subclusters(spark, sf_dir):
-    """CLU15: themes and sub-themes with bisecting k-means."""
+    """CLU15: themes and sub-themes, each level split by k-means in one plan."""
     v = _vectors(spark, sf_dir)
     pts = CL.reduce_pca(v, EMB_DIM, 5)
-    return CL.bisecting_subclusters(pts, 5).select(F.col("pos").alias("vec_id"), "top", "sub")
+    return CL.nested_themes(pts, 5).select(F.col("pos").alias("vec_id"), "top", "sub")
 
 
 def q_embed_sentences(spark, sf_dir):
