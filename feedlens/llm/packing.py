@@ -6,15 +6,20 @@
 2. The histogram of piece lengths (as many numbers as a sequence has tokens) is all
    that reaches the driver.  There the program "choose how often to use each pattern of
    lengths, cover all pieces, use few patterns" is solved by multiplicative weights: a
-   knapsack program prices the best patterns under the present weights, each is used for
-   one small step (as often as covers the scarcest of its lengths once), and the weight
-   of a length shrinks by the factor exp(-rate) each time that its pieces are covered
-   once more, so lengths that few good patterns hold get dearer than the others.
-3. The solution averaged over the rounds, scaled so that it covers no length twice, is
-   rounded down, and the pieces left are a smaller program of the same kind, for a few
-   passes.  What is left then goes to its best fit, longest first, in bulk by length.
-   The same prices in a greedy fill (each pattern until a length runs out) and best fit
-   alone are tried too, and the plan with the fewest sequences is taken.
+   knapsack table prices patterns under the present weights; the least covered lengths
+   each open one pattern within a thousandth of the best, used as often as covers the
+   scarcest of its lengths once; and the weight of a length shrinks by the factor
+   exp(-rate) each time that its pieces are covered once more, so lengths that few good
+   patterns hold get dearer than the others.  Rounds end once the least covered length
+   has ``EVEN`` times the coverage of the most covered one.
+3. The solution averaged over the rounds, scaled so that it covers pieces once in the
+   mean, is rounded to whole uses for half of the pieces, most used patterns first, and
+   what would cover a piece twice is trimmed.  The pieces left are a program of the same
+   kind, whose prices make up for the rounding before, and so on; the last of a few passes
+   takes all it can.  The remainder of the rounding (under a fiftieth of the pieces on the
+   given tables) goes to its best fit, longest first, in bulk by length.  On a small histogram,
+   where one sequence is a large share, rounding may cost one that best fit alone would
+   not; then best fit's plan is taken.
 4. The plan has one row for each (pattern, length), at most a few for each length,
    whatever the number of documents.  Pieces get their rank within their length by
    counts of hash parts, so a length that a third of all pieces have is dealt over all
@@ -39,10 +44,10 @@ from .common import partitions, saved
 from .kneser_ney import slices
 
 CAPACITY = 2048
-ROUNDS = 400                # rounds of multiplicative weights
-RATE = 0.05                 # how fast the weight of a covered length shrinks
-PASSES, STEPS = 8, 8        # programs that share the rounds, and patterns that take a step in a round
-PATTERNS, NEAR = 32, 0.98   # patterns used from one round of the greedy fill, and how near the best they are
+ROUNDS = 150                # rounds of multiplicative weights at most, half as many in later passes
+RATE = 0.01                 # how fast the weight of a covered length shrinks
+PASSES, OPENED = 5, 256     # programs, one for what the last left, and patterns that take a step in a round
+NEAR, EVEN = 0.999, 0.8     # worth of a pattern against the best; coverage of the least against the most covered length
 END_ID = 0
 
 
@@ -79,82 +84,63 @@ def pieces(docs: DataFrame, vocabulary: str, ranks: str | None = None, id_col: s
 
 # -- the program ------------------------------------------------------------------
 
-def best_patterns(value: np.ndarray, most: int, near: float) -> list[dict[int, int]]:
-    """Up to ``most`` patterns worth at least ``near`` times the best; ``value[l]`` is length l's.
+def knapsack(value: np.ndarray) -> np.ndarray:
+    """The worth of the best pattern for each room 0, 1, ..; ``value[l]`` is length l's (0: not there)."""
+    lengths = np.flatnonzero(value > 0)
+    worth, best = value[lengths], np.zeros(len(value))
+    fitting = np.searchsorted(lengths, np.arange(len(value)), "right")
+    for c in range(1, len(value)):
+        n = fitting[c]
+        best[c] = max(best[c - 1], (best[c - lengths[:n]] + worth[:n]).max()) if n else best[c - 1]
+    return best
+
+
+def pattern_from(first: int, best: np.ndarray, value: np.ndarray, need: np.ndarray, covered: np.ndarray,
+                 near: float = NEAR) -> dict[int, int]:
+    """A pattern with length ``first`` worth ``near`` times the best one, or as much as can be.
 
-    Unbounded knapsack: best[c] = max over l of best[c - l] + value[l].  One table prices all
-    patterns; each starts with another length.
+    Of the lengths that keep it so, the least covered is put in next; no length more often than
+    there are pieces.
     """
-    capacity = len(value) - 1
     lengths = np.flatnonzero(value > 0)
-    best, choice = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    worth = value[lengths]
-    fitting = np.searchsorted(lengths, np.arange(capacity + 1), "right")
-    for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
-        if n := fitting[c]:
-            got = best[c - lengths[:n]] + worth[:n]
-            k = int(got.argmax())
-            if got[k] > best[c]:
-                best[c], choice[c] = got[k], lengths[k]
-    total = worth + best[capacity - lengths]
-    found = []
-    for first in lengths[np.argsort(-total, kind="stable")[:most]]:
-        if value[first] + best[capacity - first] < near * best[capacity]:
+    pattern, room, got = {first: 1}, len(value) - 1 - first, value[first]
+    while n := int(np.searchsorted(lengths, room, "right")):
+        some = lengths[:n]
+        total = got + value[some] + best[room - some]
+        for l, k in pattern.items():
+            if l <= room and k >= need[l]:
+                total[np.searchsorted(some, l)] = -1.0
+        good = np.flatnonzero(total >= near * best[-1])
+        at = good[covered[some[good]].argmin()] if len(good) else total.argmax()
+        if total[at] < 0:
             break
-        pattern, c = {int(first): 1}, int(capacity - first)
-        while c > 0:
-            if choice[c]:
-                pattern[int(choice[c])] = pattern.get(int(choice[c]), 0) + 1
-                c -= int(choice[c])
-            else:
-                c -= 1
-        found.append(pattern)
-    return found
+        l = int(some[at])
+        pattern[l] = pattern.get(l, 0) + 1
+        room, got = room - l, got + value[l]
+    return pattern
 
 
 def averaged(demand: np.ndarray, rounds: int, rate: float = RATE) -> list[tuple[dict[int, int], float]]:
-    """Patterns with their fractional use, by multiplicative weights; no length is covered more than once."""
+    """Patterns with their fractional use, by multiplicative weights; pieces are covered once in the mean."""
     need = demand.astype(float)
-    have = need > 0
-    lengths = np.arange(len(need), dtype=float)
+    have = np.flatnonzero(need)
     covered = np.zeros_like(need)               # how many times the pieces of a length are covered
     uses: dict[tuple, float] = {}
     for _ in range(rounds):
-        weight = np.where(have, lengths * np.exp(-rate * (covered - covered[have].min())), 0)
-        for pattern in best_patterns(weight, STEPS, NEAR):
+        value = np.zeros_like(need)
+        value[have] = have * np.exp(-rate * (covered[have] - covered[have].min()))
+        best = knapsack(value)
+        for first in have[np.lexsort((-have, covered[have]))][:OPENED].tolist():
+            pattern = pattern_from(first, best, value, need, covered)
             step = min(need[l] / k for l, k in pattern.items())
             for l, k in pattern.items():
                 covered[l] += step * k / need[l]
             key = tuple(sorted(pattern.items(), reverse=True))
             uses[key] = uses.get(key, 0.0) + step
-    most = covered.max()
-    return [(dict(k), x / most) for k, x in uses.items()]
-
-
-def filled(demand: np.ndarray, rounds: int = ROUNDS, rate: float = RATE) -> list[tuple[dict[int, int], float]]:
-    """Patterns with their fractional use, greedily: each is used until one of its lengths runs
-    out; together they cover the demand as far as ``rounds`` rounds reach."""
-    need = demand.astype(float)
-    left = need.copy()
-    lengths = np.arange(len(need), dtype=float)
-    uses: dict[tuple, float] = {}
-    for _ in range(rounds):
-        if not left.any():
+        if covered[have].min() >= EVEN * covered.max():
             break
-        # a length's weight: its share of a sequence, shrunk by what is covered already
-        covered = 1 - np.divide(left, need, out=np.zeros_like(need), where=need > 0)
-        weight = np.where(left > 0, lengths * np.exp(-rate * covered), 0)
-        for pattern in best_patterns(weight, PATTERNS, NEAR):
-            step = min(left[l] / k for l, k in pattern.items())
-            if step > 0:
-                for l, k in pattern.items():
-                    left[l] -= step * k
-                    if left[l] < 1e-9 * need[l]:
-                        left[l] = 0
-                key = tuple(sorted(pattern.items(), reverse=True))
-                uses[key] = uses.get(key, 0.0) + step
-    return [(dict(k), x) for k, x in uses.items()]
+    mean = (covered * need).sum() / need.sum()
+    return [(dict(k), x / mean) for k, x in uses.items()]
 
 
 def best_fit(demand: np.ndarray) -> list[tuple[dict[int, int], int]]:
@@ -183,11 +169,14 @@ def best_fit(demand: np.ndarray) -> list[tuple[dict[int, int], int]]:
     return [(count(held), n) for bins in open_bins for held, n in bins]
 
 
-def _whole(left: np.ndarray, program: list[tuple[dict[int, int], float]]) -> list[tuple[dict[int, int], int]]:
-    """``program`` rounded down and cut to the pieces there are, which are taken from ``left``."""
-    chosen = []
-    for pattern, x in sorted(program, key=lambda p: -p[1]):
-        n = min(int(x + 1e-9), *(int(left[l]) // k for l, k in pattern.items()))
+def _whole(left: np.ndarray, uses: list[tuple[dict[int, int], float]], share: float) -> list[tuple[dict[int, int], int]]:
+    """``share`` of ``uses`` as whole numbers (one at least) until that share of the pieces is
+    held; they are taken from ``left``."""
+    chosen, goal = [], left.sum() * (1 - share)
+    for pattern, x in sorted(uses, key=lambda p: -p[1]):
+        if left.sum() <= goal:
+            break
+        n = min(max(1, round(x * share)), *(int(left[l]) // k for l, k in pattern.items()))
         if n > 0:
             chosen.append((pattern, n))
             for l, k in pattern.items():
@@ -195,21 +184,21 @@ def _whole(left: np.ndarray, program: list[tuple[dict[int, int], float]]) -> lis
     return chosen
 
 
-def plan(demand: np.ndarray, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
-    """Patterns with whole uses that hold every piece exactly once; ``demand[l]`` pieces of length l."""
-    left, program = demand.astype(np.int64).copy(), []
-    for _ in range(PASSES):
+def program(demand: np.ndarray, rounds: int = ROUNDS) -> tuple[list[tuple[dict[int, int], int]], np.ndarray]:
+    """Patterns with whole uses by the configuration program, and the pieces that rounding left."""
+    left, chosen = demand.astype(np.int64).copy(), []
+    for k in range(PASSES):
         if not left.any():
             break
-        some = _whole(left, averaged(left, max(1, rounds // PASSES)))
-        program += some
-        if not some:
-            break
-    program += best_fit(left)
-    left = demand.astype(np.int64).copy()
-    greedy = _whole(left, filled(demand, rounds))
-    greedy += best_fit(left)
-    return min(program, greedy, best_fit(demand), key=lambda p: sum(n for _, n in p))
+        uses = averaged(left, rounds if k == 0 else max(1, rounds // 2))
+        chosen += _whole(left, uses, 0.5 if k < PASSES - 1 else 1.0)
+    return chosen, left
+
+
+def plan(demand: np.ndarray, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
+    """Patterns with whole uses that hold every piece exactly once; ``demand[l]`` pieces of length l."""
+    chosen, left = program(demand, rounds)
+    return min(chosen + best_fit(left), best_fit(demand), key=lambda p: sum(n for _, n in p))
 
 
 # -- placing ------------------------------------------------------------------------

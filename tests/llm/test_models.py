@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -175,6 +176,28 @@ def test_program_packs_few_hot_lengths():
     assert sum(n for _, n in plan) <= 1.01 * 1900
 
 
+@pytest.mark.parametrize("times", [1, 20])
+def test_program_holds_the_pieces_of_real_documents(times):
+    encode = P._encoder(VOCABULARY, RANKS, P.END_ID)
+    demand = np.zeros(2049, np.int64)
+    for text in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist():
+        n = len(encode(text or ""))
+        demand[2048] += n // 2048
+        demand[n % 2048] += n % 2048 > 0
+    demand *= times
+    chosen, left = P.program(demand)
+    held = left.copy()
+    for pattern, n in chosen:
+        assert n > 0 and sum(l * k for l, k in pattern.items()) <= 2048
+        for l, k in pattern.items():
+            held[l] += n * k
+    assert (held == demand).all()
+    assert left.sum() <= 0.05 * demand.sum()
+    packed = sum(n for _, n in chosen) + sum(n for _, n in P.best_fit(left))
+    assert packed < sum(n for _, n in P.best_fit(demand))
+    assert packed >= -(-int((demand * np.arange(2049)).sum()) // 2048)
+
+
 def check_packed(rows, texts, capacity):
     by_seq, by_doc = defaultdict(list), defaultdict(list)
     for r in rows:
