@@ -174,10 +174,10 @@ def key_statements(shift: DataFrame, baseline_kw: DataFrame, comparison_kw: Data
                                                F.array_join(F.slice(shared, 1, 3), ", ")))
     diff_share = F.when(F.abs("share_shift_pct") >= 1, F.format_string(
         "Share %s by %.1f points", F.when(F.col("share_shift_pct") > 0, F.lit("rises"))
-        .otherwise(F.lit("falls")), F.abs("share_shift_pct")))
+        .otherwise(F.lit("falls")), F.round(F.abs("share_shift_pct"), 1)))
     diff_sent = F.when(F.abs("sentiment_shift") >= 0.05, F.format_string(
         "Sentiment %s by %.2f", F.when(F.col("sentiment_shift") > 0, F.lit("improves"))
-        .otherwise(F.lit("worsens")), F.abs("sentiment_shift")))
+        .otherwise(F.lit("worsens")), F.round(F.abs("sentiment_shift"), 2)))
     return j.select("request_id", cluster_col,
                     F.filter(F.array(sim), lambda x: x.isNotNull()).alias("key_similarities"),
                     F.filter(F.array(diff_share, diff_sent), lambda x: x.isNotNull())

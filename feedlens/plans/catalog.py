@@ -207,7 +207,41 @@ def q_share_shift(spark, sf_dir):
     return R.share_shift(a, scored)
 
 
+def q_key_statements(spark, sf_dir):
+    """CMP4: what a joint theme's two datasets share and how they differ."""
+    scored = scored_doc_sentences(spark, sf_dir)
+    joint = scored.withColumnRenamed("theme", "cluster_id")
+    kw = materialize(K.keyword_lists(K.keywords(joint, CONV_KEY), CONV_KEY))
+    side = lambda d: kw.where(F.col("dataset") == d).drop("dataset")
+    out = R.key_statements(R.share_shift(joint.select(*CONV_KEY, "pos"), scored), side("baseline"), side("comparison"))
+    return out.select("request_id", "cluster_id", F.array_join("key_similarities", " | ").alias("key_similarities"),
+                      F.array_join("key_differences", " | ").alias("key_differences"))
+
+
+def q_theme_grid(spark, sf_dir):
+    """SEN11, INS8: each theme of a survey in each of its datasets, without sentences too."""
+    s = doc_sentences(spark, sf_dir)
+    scored = materialize(S.score_sentences(s, doc_lexicon(spark)))
+    sizes = materialize(K.cluster_sizes(s, THEME_KEY))
+    grid = sizes.select("request_id", "theme").distinct().join(
+        sizes.select("request_id", "dataset").distinct(), "request_id")
+    sent = materialize(S.cluster_sentiment(scored, THEME_KEY))
+    themes = materialize(K.titles(s, K.keywords(s, THEME_KEY), THEME_KEY))
+    kw_lists = themes.select(*THEME_KEY, "keywords")
+    totals = s.groupBy("request_id", "dataset").agg(F.count(F.lit(1)).alias("total"))
+    ins = I.insights(sizes, totals, sent, kw_lists, K.phrases(s, THEME_KEY),
+                     I.keyword_mentions(s, kw_lists, THEME_KEY), THEME_KEY)
+    out = I.empty_cluster_themes(grid, sizes, themes, ins, THEME_KEY).join(
+        S.empty_cluster_sentiment(grid, sent, THEME_KEY), THEME_KEY)
+    return out.select(*THEME_KEY, "size", "title", F.array_join("keywords", "|").alias("keywords"),
+                      F.array_join("key_insights", " | ").alias("key_insights"), "total_sentences", "positive",
+                      "neutral", "negative", "pct_positive", "pct_neutral", "pct_negative", "overall",
+                      "average_score", "median", "std", "min", "max")
+
+
 QUERIES.update({
+    "key_statements": q_key_statements,
+    "theme_grid": q_theme_grid,
     "theme_report": q_theme_report,
     "theme_summary": q_theme_summary,
     "theme_comparison": q_theme_comparison,

@@ -639,7 +639,57 @@ FROM j
 """
 
 
+def key_statements_sql() -> str:
+    half_up = lambda x, n: f"printf('%.{n}f', CAST(round(CAST(abs({x}) AS DECIMAL(18, 4)), {n}) AS DOUBLE))"
+    return f"""
+WITH sh AS ({share_shift_sql()}),
+kw AS ({keywords_sql(DOC_VALID, THEME_GROUP)}),
+both_sides AS (SELECT b.request_id, b.theme AS cluster_id, list(b.keyword ORDER BY b.rank)[1:3] AS shared
+         FROM kw b JOIN kw c ON b.request_id = c.request_id AND b.theme = c.theme AND b.keyword = c.keyword
+         WHERE b.dataset = 'baseline' AND c.dataset = 'comparison' GROUP BY ALL)
+SELECT sh.request_id, sh.cluster_id,
+       coalesce('Both mention ' || array_to_string(shared, ', '), '') AS key_similarities,
+       concat_ws(' | ',
+         CASE WHEN abs(share_shift_pct) >= 1 THEN 'Share ' || CASE WHEN share_shift_pct > 0 THEN 'rises' ELSE 'falls' END
+              || ' by ' || {half_up('share_shift_pct', 1)} || ' points' END,
+         CASE WHEN abs(sentiment_shift) >= 0.05 THEN 'Sentiment '
+              || CASE WHEN sentiment_shift > 0 THEN 'improves' ELSE 'worsens' END
+              || ' by ' || {half_up('sentiment_shift', 2)} END) AS key_differences
+FROM sh LEFT JOIN both_sides USING (request_id, cluster_id)
+"""
+
+
+def theme_grid_sql() -> str:
+    g = THEME_GROUP
+    return f"""
+WITH s AS ({DOC_VALID}),
+sz AS (SELECT request_id, dataset, theme, count(*) AS n FROM s GROUP BY ALL),
+grid AS (SELECT t.request_id, d.dataset, t.theme
+         FROM (SELECT DISTINCT request_id, theme FROM sz) t
+         JOIN (SELECT DISTINCT request_id, dataset FROM sz) d USING (request_id)),
+cs AS ({theme_sentiment_sql()}),
+tt AS ({titles_sql(DOC_VALID, g)}),
+ins AS ({insights_sql(DOC_VALID, doc_scores_with_theme_sql(), g)})
+SELECT {_g(g, 'grid')}, coalesce(sz.n, 0) AS size,
+       CASE WHEN sz.n IS NULL THEN {_q(C.EMPTY_TITLE)} ELSE tt.title END AS title,
+       coalesce(tt.keywords, '') AS keywords, coalesce(ins.key_insights, '') AS key_insights,
+       coalesce(cs.total_sentences, 0) AS total_sentences, coalesce(cs.positive, 0) AS positive,
+       coalesce(cs.neutral, 0) AS neutral, coalesce(cs.negative, 0) AS negative,
+       coalesce(cs.pct_positive, 0.0) AS pct_positive, coalesce(cs.pct_neutral, 100.0) AS pct_neutral,
+       coalesce(cs.pct_negative, 0.0) AS pct_negative, coalesce(cs.overall, 'neutral') AS overall,
+       coalesce(cs.average_score, 0.0) AS average_score, coalesce(cs.median, 0.0) AS median,
+       coalesce(cs.std, 0.0) AS std, coalesce(cs.min, 0.0) AS min, coalesce(cs.max, 0.0) AS max
+FROM grid
+LEFT JOIN sz ON {_on(g, 'grid', 'sz')}
+LEFT JOIN cs ON {_on(g, 'grid', 'cs')}
+LEFT JOIN tt ON {_on(g, 'grid', 'tt')}
+LEFT JOIN ins ON {_on(g, 'grid', 'ins')}
+"""
+
+
 ORACLE.update({
+    "key_statements": key_statements_sql(),
+    "theme_grid": theme_grid_sql(),
     "theme_report": theme_report_sql(),
     "theme_summary": theme_summary_sql(),
     "theme_comparison": theme_comparison_sql(),

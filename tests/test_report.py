@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from feedlens.operators import insights as I
 from feedlens.operators import report as R
 from feedlens.operators import sentiment as S
 
@@ -74,3 +75,26 @@ def test_sizes_plus_unclustered_equals_total(spark):   # property from the test
     rows = _rows(spark, a)
     summ = R.summary(s, a, rows).first()
     assert sum(r.size for r in rows.collect()) + summ.unclustered == summ.total_sentences == 200
+
+
+def test_empty_cluster_theme(spark):                  # INS8
+    key = "request_id string, dataset string, cluster_id int"
+    clusters = spark.createDataFrame([("r", "baseline", 0), ("r", "baseline", 1)], key)
+    sizes = spark.createDataFrame([("r", "baseline", 0, 4)], key + ", n long")
+    themes = spark.createDataFrame([("r", "baseline", 0, ["tea"], "Tea")], key + ", keywords array<string>, title string")
+    found = spark.createDataFrame([("r", "baseline", 0, ["much tea"])], key + ", key_insights array<string>")
+    rows = {r.cluster_id: r for r in I.empty_cluster_themes(clusters, sizes, themes, found).collect()}
+    assert (rows[0].size, rows[0].title, rows[0].keywords, rows[0].key_insights) == (4, "Tea", ["tea"], ["much tea"])
+    assert (rows[1].size, rows[1].title, rows[1].keywords, rows[1].key_insights) == (0, "Empty Cluster", [], [])
+
+
+def test_key_statements(spark):                       # CMP4
+    shift = spark.createDataFrame(
+        [("r", 0, 12.25, -0.125), ("r", 1, -0.5, 0.04), ("r", 2, None, None)],
+        "request_id string, cluster_id int, share_shift_pct double, sentiment_shift double")
+    kw = "request_id string, cluster_id int, keywords array<string>"
+    base = spark.createDataFrame([("r", 0, ["d", "a", "b", "c"]), ("r", 1, ["a"])], kw)
+    comp = spark.createDataFrame([("r", 0, ["a", "b", "c", "d"]), ("r", 2, ["a"])], kw)
+    rows = {r.cluster_id: (r.key_similarities, r.key_differences) for r in R.key_statements(shift, base, comp).collect()}
+    assert rows[0] == (["Both mention d, a, b"], ["Share rises by 12.3 points", "Sentiment worsens by 0.13"])
+    assert rows[1] == ([], []) and rows[2] == ([], [])
