@@ -209,8 +209,9 @@ def q_share_shift(spark, sf_dir):
 
 def q_key_statements(spark, sf_dir):
     """CMP4: what a joint theme's two datasets share and how they differ."""
-    scored = scored_doc_sentences(spark, sf_dir)
-    joint = scored.withColumnRenamed("theme", "cluster_id")
+    s = doc_sentences(spark, sf_dir)
+    joint = s.withColumnRenamed("theme", "cluster_id")
+    scored = materialize(S.score_sentences(s, doc_lexicon(spark)).select("request_id", "dataset", "pos", "compound"))
     kw = materialize(K.keyword_lists(K.keywords(joint, CONV_KEY), CONV_KEY))
     side = lambda d: kw.where(F.col("dataset") == d).drop("dataset")
     out = R.key_statements(R.share_shift(joint.select(*CONV_KEY, "pos"), scored), side("baseline"), side("comparison"))
