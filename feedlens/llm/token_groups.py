@@ -5,14 +5,16 @@ Each text is the set of hashes of its word shingles; equal sets are one set.
 1. All tokens are put in one global order: common ones last, by an exact count of
    token hashes in a table of fixed size (``frequency_bits``), then by hash.  Two sets
    with the required similarity share one of their first tokens (the prefix), as long
-   as a prefix leaves out fewer tokens than the required overlap.
+   as a prefix leaves out fewer tokens than the required overlap.  Prefix tokens of one
+   set only are dropped where the prefixes are dealt by token, before anything is written.
 2. Each set has a sketch, a table of one-byte sums of its tokens by bucket: two sets
    differ in at least as many tokens as their sketches differ in buckets.
 3. Sets are partitioned into groups of similar sets: those that have the same smallest
    token under one of a few hash orders, and whose sketches look alike, go together.
 4. The token-group matrix holds, for each group, the union of the prefix tokens of its
    members, with the range of their sizes.  A set meets the other groups that share a
-   prefix token with it and have a member of fitting size; of two groups the smaller
+   prefix token with it and have a member of fitting size, if the token, as the first one
+   shared, leaves both enough tokens behind it for the overlap; of two groups the smaller
    asks.  All sets of a group meet their own.  Groups that are not met stay closed.
 5. A group met is opened by blocks of members.  Inside a task the sketches bound each
    overlap; only sets with a pair that could reach the required one send their tokens to
@@ -35,7 +37,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import partitions, saved
@@ -138,7 +140,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> Da
 
 
 def token_levels(docs: DataFrame, text_col: str, width: int, bits: int) -> np.ndarray:
-    """For each hash bucket of tokens how common it is: 0, or the logarithm above the mean.
+    """For each hash bucket of tokens how common it is, as a level.
 
     Counts come from all documents.  The table has 2^bits counters, whatever the input.
     """
@@ -168,7 +170,17 @@ def token_levels(docs: DataFrame, text_col: str, width: int, bits: int) -> np.nd
     for r in parts:
         counts[r.chunk] = np.frombuffer(r.counts, np.int64)
     counts = counts.ravel()
-    return np.maximum(0, np.floor(np.log2(np.maximum(counts, 1) / max(counts.mean(), 1e-9)))).astype(np.uint8)
+    return _levels(counts)
+
+
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """Counts as levels: steps of a twentieth of their spread near the middle, of a twentieth of e far above.
+
+    A full counter holds many rare tokens, whose number differs by its root only: a token that
+    comes a few times as often as that root stands out, long before it comes as often as the middle.
+    """
+    middle = max(np.median(counts), 1.0)
+    return np.clip(60 + 20 * np.arcsinh((counts - middle) / np.sqrt(middle)), 0, 255).astype(np.uint8)
 
 
 def _ordered(token, size, levels):
@@ -181,15 +193,16 @@ def _ordered(token, size, levels):
 
 
 def prefixes(docs, text_col, width, percent, levels) -> DataFrame:
-    """(token, rank, set, n): the prefix of each distinct set."""
+    """(token, rank, set, n): of the prefix of each distinct set the tokens that another prefix has too."""
     def run(batches):
+        seen: set[int] = set()                  # a task's sets, so that copies in it are dealt once
         for batch in batches:
             for some in slices(batch, text_col):
                 token, n, key = shingle_sets(some.column(text_col), width)
                 _, first = np.unique(key, return_index=True)
                 one = np.zeros(len(n), bool)
-                one[first] = True
-                one &= n > 0
+                one[[i for i, k in zip(first.tolist(), key[first].tolist(), strict=True) if n[i] and k not in seen]] = True
+                seen.update(key[one].tolist())
                 token = token[np.repeat(one, n)]
                 n, key = n[one], key[one]
                 ordered, rank, row = _ordered(token, n, levels)
@@ -198,8 +211,10 @@ def prefixes(docs, text_col, width, percent, levels) -> DataFrame:
                     pa.array(ordered[keep].view(np.int64)), pa.array(rank[keep], pa.int32()),
                     pa.array(key[row[keep]].view(np.int64)), pa.array(n[row[keep]], pa.int64())],
                     names=["token", "rank", "set", "n"])
-    rows = docs.select(text_col).mapInArrow(run, "token long, rank int, set long, n long")
-    return rows.groupBy("token", "set", "n").agg(F.min("rank").alias("rank"))
+    # dealt by token once: copies and tokens of one set go before anything is written
+    rows = docs.select(text_col).mapInArrow(run, "token long, rank int, set long, n long").repartition("token")
+    rows = rows.groupBy("token", "set", "n").agg(F.min("rank").alias("rank"))
+    return rows.withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("sets > 1").drop("sets")
 
 
 def _tokens_of(rows: DataFrame, width: int) -> DataFrame:
@@ -321,18 +336,21 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # the matrix: (token, group) of all groups; only tokens of more than one group can lead on
     own = F.coalesce("group", F.col("set"))
-    grouped = saved(prefix.join(group, "set", "left").select("token", "set", "n", own.alias("group")), "grouped")
+    # the first token that two sets share leaves them (100 + percent) * (n - rank) >= percent * (both sizes): ``room``
+    room = ((100 + percent) * (F.col("n") - F.col("rank")) - percent * F.col("n")).alias("room")
+    grouped = saved(prefix.join(group, "set", "left").select("token", "set", "n", room, own.alias("group")), "grouped")
     shared = grouped.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi")
     grouped = saved(grouped.join(shared.select("token"), "token", "left_semi"), "shared-tokens")
     members = group.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
-    matrix = grouped.groupBy("token", "group").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    matrix = grouped.groupBy("token", "group").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("room").alias("rooms"))
     matrix = matrix.join(members, "group", "left").select(
-        "token", F.col("group").alias("other"), "least", "most", F.coalesce("members", F.lit(1)).alias("others"))
+        "token", F.col("group").alias("other"), "least", "most", "rooms", F.coalesce("members", F.lit(1)).alias("others"))
     asking = grouped.join(members, "group", "left").select(
-        "token", "set", "n", "group", F.coalesce("members", F.lit(1)).alias("members"))
+        "token", "set", "n", "room", "group", F.coalesce("members", F.lit(1)).alias("members"))
     met = (asking.join(matrix, "token")
            .where((F.struct("members", "group") < F.struct("others", "other"))
-                  & (F.col("n") * 100 >= F.col("least") * percent) & (F.col("most") * 100 >= F.col("n") * percent))
+                  & (F.col("n") * 100 >= F.col("least") * percent) & (F.col("most") * 100 >= F.col("n") * percent)
+                  & (F.col("room") >= F.col("least") * percent) & (F.col("rooms") >= F.col("n") * percent))
            .select("set", F.col("other").alias("group")).distinct())
     met = saved(met, "met-groups")
 

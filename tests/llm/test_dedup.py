@@ -4,6 +4,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -192,6 +193,47 @@ def test_jaccard_components_match_brute_force(spark, width, percent):
     assert got == {i: (len(sets[i]), low[i]) for i, _ in rows}
 
 
+def test_jaccard_prefixes_avoid_tokens_that_hide_in_full_counters(spark):
+    """A token of 12 texts is below the mean of a full counter (50), and yet goes behind the rare ones."""
+    rng = random.Random(8)
+    common = [" ".join(f"c{k}_{j}" for j in range(20)) for k in range(5)]
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(200)) + " " + common[i % 5]) for i in range(60)]
+    d = docs(spark, rows)
+    levels = G.token_levels(d, "text", 1, 8)
+    words, _ = hash_words(pa.array(common, pa.string()))
+    shared = set(shingles(words, np.array([len(words)]), 1)[0].view(np.int64).tolist())
+    kept = G.prefixes(d, "text", 1, 80, levels).collect()
+    assert {r.token for r in kept} <= shared                     # tokens of one set only are not written
+    assert len(kept) < 150                                       # of 1200; the prefix is a fifth of each text
+
+
+def test_jaccard_first_shared_token_leaves_room(spark, monkeypatch):
+    """Sets that first meet so late in their prefixes that the rest cannot reach the overlap are not opened."""
+    names, at = [], {}
+    saved = G.saved
+
+    def noted(df, name):
+        names.append(name)
+        at[name] = saved(df, name)
+        return at[name]
+
+    monkeypatch.setattr(G, "saved", noted)
+    # equal counts everywhere: the order is that of the hashes, so the shared word lies anywhere in a prefix
+    rng = random.Random(3)
+    words = [f"t{k}" for k in range(40)]
+    rows = [(i, " ".join([words[i // 2], *(f"u{i}_{j}" for j in range(rng.choice([60, 61])))])) for i in range(80)]
+    sets, low = brute_jaccard(rows, 1, 80)
+    monkeypatch.setattr(G, "token_levels", lambda *a: np.zeros(256, np.uint8))
+    got = {r.id: r.component for r in G.jaccard_components(docs(spark, rows), width=1, percent=80).collect()}
+    assert got == low
+    prefix, met = at["prefixes"], at["met-groups"].count()
+    room = {}
+    for r in prefix.collect():
+        room.setdefault(r.token, []).append((r.n, r.rank))
+    can = sum(all(180 * (n - k) - 80 * n >= 80 * m for (n, k), (m, _) in ((x, y), (y, x))) for x, y in room.values())
+    assert met == can < len(room)
+
+
 def test_jaccard_null_and_repeated_ids(spark):
     rows = [(1, "a b c d"), (1, "x y z w"), (2, "a b c d"), (3, "x y z w"), (None, "a b c d")]
     got = sorted((r.id or -1, r.n, r.component) for r in G.jaccard_components(docs(spark, rows), width=3, percent=90).collect())
